@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from lakemart.functions.money import money_sum
+from lakemart.functions.money import cents_sum, money_sum
 
 
 def order_total(items: DataFrame) -> DataFrame:
@@ -28,7 +28,7 @@ def sales_by_customer(fact: DataFrame) -> DataFrame:
     """
     return fact.groupBy("customer_id").agg(
         F.count_distinct("order_id").alias("orders"),
-        money_sum("gross_revenue").alias("revenue"),
+        cents_sum("gross_revenue").alias("cents"),
         F.sum("review_score").alias("score_sum"),
         F.count("review_score").alias("score_count"),
         F.min("order_date").alias("first_order_date"),
@@ -37,17 +37,17 @@ def sales_by_customer(fact: DataFrame) -> DataFrame:
 
 
 def sales_by_product(fact: DataFrame) -> DataFrame:
-    """One row per product: exact revenue and items sold."""
+    """One row per product: revenue in cents and items sold."""
     return fact.groupBy("product_id").agg(
-        money_sum("gross_revenue").alias("revenue"),
+        cents_sum("gross_revenue").alias("cents"),
         F.count("order_item_id").alias("items_sold"),
     )
 
 
 def sales_by_seller(fact: DataFrame) -> DataFrame:
-    """One row per seller: exact revenue, rows, items and the two averages."""
+    """One row per seller: revenue in cents, rows, items and the two averages."""
     return fact.groupBy("seller_id").agg(
-        money_sum("gross_revenue").alias("revenue"),
+        cents_sum("gross_revenue").alias("cents"),
         F.count(F.lit(1)).alias("rows_sold"),
         F.count("order_item_id").alias("items_sold"),
         F.avg("review_score").alias("avg_score"),

@@ -4,27 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 
-def latest_first(*columns: str) -> list[Column]:
-    return [F.col(c).desc_nulls_last() for c in columns]
+def dedup(df: DataFrame, keys: Sequence[str], latest_by: Sequence[str] = ()) -> DataFrame:
+    """Keep the row of each key that is latest by the given columns, missing values last.
 
-
-def tie_break(*columns: str) -> list[Column]:
-    return [F.col(c).asc_nulls_first() for c in columns]
-
-
-def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
-    """Keep the first row of each key in the given order; remaining columns break ties.
+    All remaining columns break ties in their order, smallest first, so the choice is the
+    same in every run.
 
     ``row_number() = 1`` is planned with a group limit on both sides of the shuffle, so
     every task sends at most one row per key: a key that holds a third of the table costs
     its map tasks a local sort and the reducer one row per map task.
     """
-    named = set(keys)
-    rest = tie_break(*[c for c in df.columns if c not in named])
-    window = Window.partitionBy(*keys).orderBy(*order, *rest)
+    used = {*keys, *latest_by}
+    order = [F.col(c).desc_nulls_last() for c in latest_by]
+    order += [F.col(c).asc_nulls_first() for c in df.columns if c not in used]
+    window = Window.partitionBy(*keys).orderBy(*(order or keys))
     return df.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
 
 

@@ -21,7 +21,12 @@ def hot_keys(rows: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
 
 
 def join_spread(
-    rows: DataFrame, lookup: DataFrame, key: str, how: str = "inner", hot_rows: int = HOT_ROWS
+    rows: DataFrame,
+    lookup: DataFrame,
+    key: str,
+    how: str = "inner",
+    hot_rows: int = HOT_ROWS,
+    strategy: str | None = None,
 ) -> DataFrame:
     """Join many ``rows`` per key to a ``lookup`` with one row per key, splitting hot keys.
 
@@ -29,6 +34,8 @@ def join_spread(
     shuffle. A lookup that is itself an aggregate on the key does not, so hot keys are split
     here: their rows get a salt from a hash of the row (the same again if a task is retried),
     and only their lookup rows are repeated, once per salt. Other keys have the single salt 0.
+
+    ``strategy`` may name a join hint for a lookup that is known to be large.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"join_spread cannot repeat lookup rows in a {how} join")
@@ -43,4 +50,5 @@ def join_spread(
     right = lookup.join(hot, key, "left").select(
         *lookup.columns, F.explode(F.sequence(F.lit(0), last_copy)).alias("_salt")
     )
+    right = right.hint(strategy) if strategy else right
     return left.join(right, [key, "_salt"], how).drop("_salt")

@@ -68,6 +68,7 @@ def order_facts(
     All inputs are reduced to one row per order first and share one partitioning by
     ``order_id``, so the three joins add no shuffle and no key outweighs another. The optimizer
     knows the aggregates to be unique and drops those whose column a query does not use.
+    Tables of order grain grow with the business: they are merged, never broadcast.
     """
     count_days = DAY_COUNTS[days]
     base = orders.select(
@@ -78,9 +79,9 @@ def order_facts(
         count_days("order_purchase_timestamp", "order_delivered_customer_date").alias("delivery_days"),
     )
     return (
-        base.join(order_total(items), "order_id", "left")
-        .join(payment_total(payments), "order_id", "left")
-        .join(latest_review(reviews, null_date_wins), "order_id", "left")
+        base.join(order_total(items).hint("merge"), "order_id", "left")
+        .join(payment_total(payments).hint("merge"), "order_id", "left")
+        .join(latest_review(reviews, null_date_wins).hint("merge"), "order_id", "left")
     )
 
 
@@ -102,7 +103,7 @@ def fact_sales(
     lines = items.select(
         "order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value"
     )
-    return join_spread(lines, per_order, "order_id", "inner", hot_rows).select(
+    return join_spread(lines, per_order, "order_id", "inner", hot_rows, "merge").select(
         "order_id",
         "order_item_id",
         "product_id",

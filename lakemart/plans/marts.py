@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from lakemart.functions.dates import iso_month, iso_week, iso_year
-from lakemart.functions.money import half_up, money_sum, weighted_sum
+from lakemart.functions.money import amount, cents_sum, half_up, money_sum, weighted_sum
 from lakemart.functions.text import (
     UNKNOWN,
     fixed_places,
@@ -44,25 +44,23 @@ def top_k(df: DataFrame, measure: str, tie_break: str, k: int) -> DataFrame:
     return df.orderBy(F.col(measure).desc_nulls_last(), F.col(tie_break).asc_nulls_last()).limit(k)
 
 
-def as_double(*names: str) -> dict[str, Column]:
-    return {n: F.col(n).cast("double") for n in names}
-
-
 def sales_by_category(fact: DataFrame, product: DataFrame) -> DataFrame:
-    """Exact revenue and items sold per English category."""
+    """Revenue in cents and items sold per English category."""
     categories = product.select("product_id", "product_category_en")
     return (
         sales_by_product(fact)
         .join(categories, "product_id")
         .groupBy("product_category_en")
-        .agg(F.sum("revenue").alias("revenue"), F.sum("items_sold").alias("items_sold"))
+        .agg(F.sum("cents").alias("cents"), F.sum("items_sold").alias("items_sold"))
     )
 
 
 def revenue_by_category(fact: DataFrame, product: DataFrame, n: int = LIMIT_DEFAULT) -> DataFrame:
     """The best-selling categories, products of unknown category included."""
     sales = sales_by_category(fact, product)
-    return top_k(sales, "revenue", "product_category_en", n).withColumns(as_double("revenue"))
+    return top_k(sales, "cents", "product_category_en", n).select(
+        "product_category_en", amount("cents").alias("revenue"), "items_sold"
+    )
 
 
 def top_categories(fact: DataFrame, product: DataFrame, limit: int = LIMIT_DEFAULT) -> DataFrame:
@@ -70,9 +68,9 @@ def top_categories(fact: DataFrame, product: DataFrame, limit: int = LIMIT_DEFAU
     check_limit(limit)
     known = product.where(F.col("product_category_en") != UNKNOWN)
     sales = sales_by_category(fact, known)
-    return top_k(sales, "revenue", "product_category_en", limit).select(
+    return top_k(sales, "cents", "product_category_en", limit).select(
         F.col("product_category_en").alias("category"),
-        F.col("revenue").cast("double").alias("revenue"),
+        amount("cents").alias("revenue"),
         "items_sold",
     )
 
@@ -85,7 +83,7 @@ def distinct_keys(dim: DataFrame, key: str) -> Column:
 def kpis(fact: DataFrame, customer: DataFrame, product: DataFrame, seller: DataFrame) -> DataFrame:
     """One row of headline figures. Averages are over items."""
     headline = fact.agg(
-        F.coalesce(money_sum("gross_revenue").cast("double"), F.lit(0.0)).alias("total_revenue"),
+        F.coalesce(money_sum("gross_revenue"), F.lit(0.0)).alias("total_revenue"),
         F.count_distinct("order_id").alias("total_orders"),
         half_up(F.avg("review_score"), 2).alias("avg_review_score"),
         half_up(F.avg("delivery_days"), 1).alias("avg_delivery_days"),
@@ -120,14 +118,14 @@ def state_revenue(fact: DataFrame, customer: DataFrame, n: int | None = None) ->
         sales_by_customer(fact)
         .join(located.select("customer_id", F.col("customer_state").alias("state")), "customer_id")
         .groupBy("state")
-        .agg(F.sum("revenue").alias("revenue"), F.sum("orders").alias("orders"))
+        .agg(F.sum("cents").alias("cents"), F.sum("orders").alias("orders"))
     )
     ranked = (
-        sales.orderBy(F.col("revenue").desc_nulls_last(), "state")
+        sales.orderBy(F.col("cents").desc_nulls_last(), "state")
         if n is None
-        else top_k(sales, "revenue", "state", n)
+        else top_k(sales, "cents", "state", n)
     )
-    return ranked.withColumns(as_double("revenue"))
+    return ranked.select("state", amount("cents").alias("revenue"), "orders")
 
 
 def revenue_trend(fact: DataFrame) -> DataFrame:
@@ -137,7 +135,7 @@ def revenue_trend(fact: DataFrame) -> DataFrame:
         .where(looks_like_month("month"))
         .groupBy("month")
         .agg(
-            money_sum("gross_revenue").cast("double").alias("revenue"),
+            money_sum("gross_revenue").alias("revenue"),
             F.count_distinct("order_id").alias("orders"),
         )
         .orderBy("month")
@@ -151,10 +149,10 @@ def top_sellers(fact: DataFrame, seller: DataFrame, limit: int = LIMIT_DEFAULT)
     sales = sales_by_seller(fact).join(
         located.select("seller_id", F.col("seller_state").alias("state")), "seller_id"
     )
-    return top_k(sales, "revenue", "seller_id", limit).select(
+    return top_k(sales, "cents", "seller_id", limit).select(
         "seller_id",
         "state",
-        F.col("revenue").cast("double").alias("revenue"),
+        amount("cents").alias("revenue"),
         "items_sold",
         half_up(F.col("avg_score"), 2).alias("avg_review"),
         half_up(F.col("avg_days"), 1).alias("avg_delivery_days"),
@@ -176,8 +174,8 @@ def monthly_by_category(fact: DataFrame, date: DataFrame, product: DataFrame) ->
         .groupBy("year", "month", "month_name", "product_category_en")
         .agg(
             F.count_distinct("order_id").alias("orders"),
-            money_sum("gross_revenue").cast("double").alias("gross_revenue"),
-            weighted_sum("gross_revenue", "margin_pct").cast("double").alias("estimated_margin"),
+            money_sum("gross_revenue").alias("gross_revenue"),
+            weighted_sum("gross_revenue", "margin_pct").alias("estimated_margin"),
         )
     )
 
@@ -194,7 +192,7 @@ def customer_ltv(fact: DataFrame, customer: DataFrame, key: str = "customer_id")
         .groupBy(key, "customer_state")
         .agg(
             F.sum("orders").alias("lifetime_orders"),
-            F.sum("revenue").cast("double").alias("lifetime_revenue"),
+            amount(F.sum("cents")).alias("lifetime_revenue"),
             F.try_divide(F.sum("score_sum"), F.sum("score_count")).alias("avg_review_score"),
             F.min("first_order_date").alias("first_order_date"),
             F.max("last_order_date").alias("last_order_date"),
@@ -212,7 +210,7 @@ def seller_performance(fact: DataFrame, seller: DataFrame) -> DataFrame:
             "seller_id",
             "seller_state",
             F.col("rows_sold").alias("items_sold"),
-            F.col("revenue").cast("double").alias("gross_revenue"),
+            amount("cents").alias("gross_revenue"),
             F.col("avg_days").alias("avg_delivery_days"),
             F.col("avg_score").alias("avg_review_score"),
         )
@@ -233,7 +231,7 @@ def customer_days(fact: DataFrame) -> DataFrame:
     daily = (
         fact.where(F.col("order_date").isNotNull() & F.col("customer_id").isNotNull())
         .groupBy("customer_id", "order_date")
-        .agg(money_sum("gross_revenue").alias("revenue"))
+        .agg(cents_sum("gross_revenue").alias("cents"))
     )
     return daily.withColumn(
         "first_date", F.min("order_date").over(Window.partitionBy("customer_id"))
@@ -249,12 +247,12 @@ def count_new_and_returning(days: DataFrame, *period: str) -> DataFrame:
     per_customer = days.groupBy(*period, "customer_id").agg(
         F.bool_or(F.col("order_date") == F.col("first_date")).alias("is_new"),
         F.bool_or(F.col("order_date") > F.col("first_date")).alias("is_returning"),
-        F.sum("revenue").alias("revenue"),
+        F.sum("cents").alias("cents"),
     )
     return per_customer.groupBy(*period).agg(
         F.count_if("is_new").alias("new_customers"),
         F.count_if("is_returning").alias("returning_customers"),
-        F.sum("revenue").cast("double").alias("revenue"),
+        amount(F.sum("cents")).alias("revenue"),
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from lakemart.functions.dates import iso_month
-from lakemart.functions.money import weighted_sum
+from lakemart.functions.money import amount, weighted_amount, weighted_steps
 from lakemart.operators.aggregates import sales_by_product
 from lakemart.plans.marts import count_new_and_returning, customer_days, customer_ltv, sales_by_category
 
@@ -32,8 +32,8 @@ def category_share(fact: DataFrame, product: DataFrame) -> DataFrame:
     The total is a scalar subquery over the same aggregate, not a window over one task.
     """
     sales = sales_by_category(fact, product)
-    total = sales.agg(F.sum("revenue").cast("double")).scalar()
-    revenue = F.col("revenue").cast("double")
+    total = sales.agg(amount(F.sum("cents"))).scalar()
+    revenue = amount("cents")
     return sales.select(
         "product_category_en",
         revenue.alias("revenue"),
@@ -52,14 +52,14 @@ def margin_waterfall(fact: DataFrame, product: DataFrame) -> DataFrame:
         sales_by_product(fact)
         .join(priced, "product_id")
         .groupBy("product_category_en")
-        .agg(weighted_sum("revenue", "margin_pct").alias("margin"))
+        .agg(weighted_steps(F.col("cents"), "margin_pct").alias("margin"))
     )
     order = Window.orderBy(F.col("margin").desc_nulls_last(), F.col("product_category_en"))
     running = F.sum("margin").over(order.rowsBetween(Window.unboundedPreceding, 0))
     return margins.select(
         "product_category_en",
-        F.col("margin").cast("double").alias("margin"),
-        running.cast("double").alias("running_margin"),
+        weighted_amount("margin").alias("margin"),
+        weighted_amount(running).alias("running_margin"),
     )
 
 

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from lakemart.operators.dedup import dedup, latest_first
+from lakemart.operators.dedup import dedup
 from lakemart.schemas import TableSpec
 from lakemart.sinks.tables import write_table
 from lakemart.sources.files import CORRUPT, read_csv_text, read_snapshots
@@ -24,7 +24,7 @@ def with_lineage(df: DataFrame, run_ts: Column | None = None) -> DataFrame:
 
 def latest_snapshot(snapshots: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per key over all snapshots, the newest snapshot winning."""
-    return dedup(snapshots, keys, latest_first(INGEST_DATE)).drop(INGEST_DATE)
+    return dedup(snapshots, keys, [INGEST_DATE]).drop(INGEST_DATE)
 
 
 @dataclass(frozen=True)

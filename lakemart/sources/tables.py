@@ -5,6 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 
 # View names that reports query.
 TABLE_VIEWS = {
@@ -46,6 +49,20 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/{done[-1]}")
 
 
+def read_partitioned(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    """A table partitioned into many folders, under its known schema.
+
+    Spark lists every folder in a task of its own, up to ten thousand. Two tasks per core
+    list thousands of folders sooner, so that is what this read uses.
+    """
+    before = spark.conf.get(LISTING_TASKS)
+    spark.conf.set(LISTING_TASKS, 2 * spark.sparkContext.defaultParallelism)
+    try:
+        return spark.read.schema(schema).parquet(path)
+    finally:
+        spark.conf.set(LISTING_TASKS, before)
+
+
 def register_views(tables: Mapping[str, DataFrame], prefix: str = "") -> None:
     """Name the star-schema tables for SQL."""
     for name, df in tables.items():

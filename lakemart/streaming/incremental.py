@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from lakemart.operators.dedup import dedup, latest_first
+from lakemart.operators.dedup import dedup
 
 INGEST_DATE = "ingest_date"
 BATCH = "batch_id"
@@ -37,7 +37,7 @@ def ingest_incremental(
     )
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        latest = dedup(batch, keys, latest_first(INGEST_DATE))
+        latest = dedup(batch, keys, [INGEST_DATE])
         latest.write.mode("overwrite").parquet(f"{target}/{BATCH}={batch_id}")
 
     query = (
@@ -57,11 +57,11 @@ def current_rows(spark: SparkSession, target: str, ddl: str, keys: Sequence[str]
     """
     stored = spark.read.schema(f"{ddl}, {INGEST_DATE} date, {BATCH} bigint").parquet(target)
     columns = StructType.fromDDL(ddl).fieldNames()
-    return dedup(stored, keys, latest_first(INGEST_DATE, BATCH)).select(*columns)
+    return dedup(stored, keys, [INGEST_DATE, BATCH]).select(*columns)
 
 
 def compact(spark: SparkSession, target: str, ddl: str, keys: Sequence[str], into: str) -> None:
     """Fold all batches into a new folder holding one row per key, as a batch before all others."""
     stored = spark.read.schema(f"{ddl}, {INGEST_DATE} date, {BATCH} bigint").parquet(target)
-    folded = dedup(stored, keys, latest_first(INGEST_DATE, BATCH)).drop(BATCH)
+    folded = dedup(stored, keys, [INGEST_DATE, BATCH]).drop(BATCH)
     folded.write.mode("overwrite").parquet(f"{into}/{BATCH}=-1")

@@ -11,7 +11,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakemart.operators.dedup import dedup, latest_first
+from lakemart.operators.dedup import dedup
 from lakemart.plans.catalogue import build_catalogue, margin_from_number
 from lakemart.schemas import NATURAL_KEYS
 
@@ -87,9 +87,7 @@ class Inputs:
 
     @cached_property
     def order_items(self) -> DataFrame:
-        return dedup(
-            self.order_items_raw, NATURAL_KEYS["order_items"], latest_first("shipping_limit_date")
-        )
+        return dedup(self.order_items_raw, NATURAL_KEYS["order_items"], ["shipping_limit_date"])
 
     def _nations(self) -> DataFrame:
         return self._table("nation").select("n_nationkey", "n_name")
@@ -168,9 +166,7 @@ class Inputs:
     @cached_property
     def reviews(self) -> DataFrame:
         """Reviews with one row per review id."""
-        return dedup(
-            self.reviews_raw, NATURAL_KEYS["reviews"], latest_first("review_creation_date")
-        )
+        return dedup(self.reviews_raw, NATURAL_KEYS["reviews"], ["review_creation_date"])
 
     @cached_property
     def translation(self) -> DataFrame:

@@ -16,10 +16,10 @@ from lakemart.functions.dates import (
     iso_week,
     iso_year,
 )
-from lakemart.functions.money import gross_revenue, half_up, money_sum, weighted_sum
+from lakemart.functions.money import amount, gross_revenue, half_up
 from lakemart.functions.text import category_tags, flat_tags, looks_like_month, or_unknown, UNKNOWN
-from lakemart.operators.aggregates import first_order, order_total, payment_total
-from lakemart.operators.dedup import dedup, latest_first
+from lakemart.operators.aggregates import first_order, order_total, payment_total, sales_by_product
+from lakemart.operators.dedup import dedup
 from lakemart.operators.joins import join_spread
 from lakemart.operators.quality import expectations, file_count, gate_unique, row_floor
 from lakemart.operators.reviews import latest_review, latest_review_ranked
@@ -51,7 +51,7 @@ from lakemart.sources.files import (
     read_snapshots,
     read_translation,
 )
-from lakemart.sources.tables import read_table, register_views
+from lakemart.sources.tables import read_partitioned, read_table, register_views
 from lakemart.streaming.incremental import current_rows, ingest_incremental
 from lakemart.workload.lakehouse import NEXT_DATE, RUN_DATE, Lakehouse, run_ts
 
@@ -239,7 +239,7 @@ def write_fact_partitioned(lake: Lakehouse) -> DataFrame:
     path = scratch_path(lake.spark, "fact-by-day")
     fact = lake.fact()
     write_partitioned(fact, path, "order_date")
-    return lake.spark.read.parquet(path).select(fact.columns)
+    return read_partitioned(lake.spark, path, fact.schema)
 
 
 def exported(lake: Lakehouse) -> dict[str, DataFrame]:
@@ -384,18 +384,14 @@ def join_items_orders(lake: Lakehouse) -> DataFrame:
 @register()
 def join_order_total(lake: Lakehouse) -> DataFrame:
     items = lake.silver("order_items").select(*ITEM, "price")
-    return join_spread(items, order_total(items), "order_id").withColumns(
-        marts.as_double("order_total_price")
-    )
+    return join_spread(items, order_total(items), "order_id")
 
 
 @register()
 def join_payment_total(lake: Lakehouse) -> DataFrame:
     items = lake.silver("order_items").select(*ITEM)
     totals = payment_total(lake.silver("payments"))
-    return join_spread(items, totals, "order_id", "left").withColumns(
-        marts.as_double("payment_total")
-    )
+    return join_spread(items, totals, "order_id", "left")
 
 
 @register()
@@ -455,10 +451,9 @@ def join_first_order(lake: Lakehouse) -> DataFrame:
     return marts.with_first_order(sales)
 
 
-def built_fact(lake: Lakehouse, **options) -> DataFrame:
-    """The fact planned from the raw tables, nothing written in between."""
-    raw = lake.raw
-    return gold.fact_sales(raw.order_items, raw.orders, raw.payments, raw.reviews, **options)
+def built_fact(lake: Lakehouse) -> DataFrame:
+    """The fact planned from the cleaned tables."""
+    return gold.fact_sales(*map(lake.silver, ("order_items", "orders", "payments", "reviews")))
 
 
 @register()
@@ -471,12 +466,12 @@ def fact_sales(lake: Lakehouse) -> DataFrame:
 
 @register()
 def agg_order_total(lake: Lakehouse) -> DataFrame:
-    return order_total(lake.silver("order_items")).withColumns(marts.as_double("order_total_price"))
+    return order_total(lake.silver("order_items"))
 
 
 @register()
 def agg_payment_total(lake: Lakehouse) -> DataFrame:
-    return payment_total(lake.silver("payments")).withColumns(marts.as_double("payment_total"))
+    return payment_total(lake.silver("payments"))
 
 
 @register()
@@ -565,8 +560,8 @@ def latest_review_sorted_dedup(lake: Lakehouse) -> DataFrame:
 
 @register("top_k")
 def top_products(lake: Lakehouse) -> DataFrame:
-    revenue = lake.fact().groupBy("product_id").agg(money_sum("gross_revenue").alias("revenue"))
-    return marts.top_k(revenue, "revenue", "product_id", 10).withColumns(marts.as_double("revenue"))
+    best = marts.top_k(sales_by_product(lake.fact()), "cents", "product_id", 10)
+    return best.select("product_id", amount("cents").alias("revenue"))
 
 
 @register()
@@ -586,10 +581,10 @@ def dedup_orders(lake: Lakehouse) -> DataFrame:
     return latest_snapshot(read_snapshots(lake.spark, path, ddl), NATURAL_KEYS["orders"])
 
 
-def _register_dedup(table: str, source: str, order: str | None = None) -> None:
+def _register_dedup(table: str, source: str, *latest_by: str) -> None:
     def build(lake: Lakehouse) -> DataFrame:
         rows = getattr(lake.raw, source)
-        return dedup(rows, NATURAL_KEYS[table], latest_first(order) if order else ())
+        return dedup(rows, NATURAL_KEYS[table], latest_by)
 
     register(f"dedup_{table}")(build)
 
@@ -694,12 +689,9 @@ def dim_date(lake: Lakehouse) -> DataFrame:
 @register()
 def fact_sales_elapsed(lake: Lakehouse) -> DataFrame:
     """Whole elapsed days, undated reviews last, reviews as landed."""
-    raw = lake.raw
     return gold.fact_sales(
-        raw.order_items,
-        raw.orders,
-        raw.payments,
-        raw.reviews_raw,
+        *map(lake.silver, ("order_items", "orders", "payments")),
+        lake.raw.reviews_raw,
         days="elapsed",
         null_date_wins=True,
     )
