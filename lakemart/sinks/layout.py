@@ -38,12 +38,17 @@ def _interleave(buckets: Sequence[Column]) -> Column:
     return z
 
 
-def zorder(df: DataFrame, columns: Sequence[str], files: int | None = None) -> DataFrame:
+def zorder(
+    df: DataFrame, columns: Sequence[str], files: int | None = None, within: Sequence[str] = ()
+) -> DataFrame:
     """The same rows, range-partitioned so that rows close in all of ``columns`` share files.
 
     Each column is cut into 256 ranges of about equal row count by approximate percentiles
     (one pass, a bounded sketch per task). A hash of the row follows the curve value in
     the range partitioning, so many rows with equal columns still spread over files.
+
+    ``within`` names partition columns of the write that follows: rows are ranged by them
+    first, so a large partition value is split over tasks and small ones share one.
     """
     kinds = dict(df.dtypes)
     positions = {c: _position(c, kinds[c]) for c in columns}
@@ -61,6 +66,6 @@ def zorder(df: DataFrame, columns: Sequence[str], files: int | None = None) -> D
     ]
     keyed = located.withColumn("_z", _interleave(buckets)).drop("_cuts")
     keyed = keyed.withColumn("_row", F.xxhash64(*df.columns))
-    by = ["_z", "_row"]
+    by = [*within, "_z", "_row"]
     ranged = keyed.repartitionByRange(files, *by) if files else keyed.repartitionByRange(*by)
-    return ranged.sortWithinPartitions(*by).drop(*by)
+    return ranged.sortWithinPartitions(*by).drop("_z", "_row")

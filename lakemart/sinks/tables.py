@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from lakemart.functions.money import MONEY
 from lakemart.functions.text import flat_tags
+from lakemart.sinks.layout import zorder
 
 
 def write_table(
-    df: DataFrame, path: str, partition_by: str | None = None, metrics: dict[str, Column] | None = None
+    df: DataFrame,
+    path: str,
+    partition_by: str | None = None,
+    zorder_by: Sequence[str] = (),
+    metrics: dict[str, Column] | None = None,
 ) -> dict[str, object]:
     """Replace a table, schema included, and return counts taken during the write.
 
@@ -22,23 +28,35 @@ def write_table(
     version = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
     seen = Observation()
     counts = {"rows": F.count(F.lit(1)), **(metrics or {})}
-    df = df.observe(seen, *[c.alias(n) for n, c in counts.items()])
-    if partition_by is None:
-        df.write.parquet(f"{path}/version={version}")
-    else:
-        write_partitioned(df, f"{path}/version={version}", partition_by)
+    arranged = arrange(df, partition_by, zorder_by)
+    writer = arranged.observe(seen, *[c.alias(n) for n, c in counts.items()]).write
+    if partition_by is not None:
+        writer = writer.partitionBy(partition_by)
+    writer.parquet(f"{path}/version={version}")
     return seen.get
 
 
-def write_partitioned(df: DataFrame, path: str, column: str) -> None:
+def arrange(df: DataFrame, partition_by: str | None, zorder_by: Sequence[str] = ()) -> DataFrame:
+    """Rows placed for writing.
+
+    The rows of a partition value are brought together, so that a day is a few files and not
+    one per task, and a value that is too big for one task is split: by adaptive execution
+    after a rebalance, or by the ranges of a z-order when clustering columns are given.
+    """
+    if zorder_by:
+        return zorder(df, zorder_by, within=[partition_by] if partition_by else [])
+    return df.hint("rebalance", partition_by) if partition_by else df
+
+
+def write_partitioned(
+    df: DataFrame, path: str, column: str, zorder_by: Sequence[str] = ()
+) -> None:
     """Write partitioned by a column; a rerun replaces only the partitions it has rows for.
 
-    The rebalance brings the rows of a value together, so that a day is a few files and not
-    one per task, and lets adaptive execution split a value that is too big for one task.
     Rows without a value go to the default partition.
     """
     (
-        df.hint("rebalance", column)
+        arrange(df, column, zorder_by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(column)

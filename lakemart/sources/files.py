@@ -89,7 +89,10 @@ def read_gold_csv(spark: SparkSession, root: str, ddl: dict[str, str] = GOLD_CSV
 
 
 def file_inventory(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
-    """Path and size of landed files; their contents are never read."""
+    """Path and size of landed files; their contents are never read.
+
+    Files of zero bytes are not listed: Spark leaves them out of every scan.
+    """
     return (
         spark.read.format("binaryFile")
         .options(pathGlobFilter=glob, recursiveFileLookup=True)
