@@ -24,13 +24,14 @@ def bronze_to_silver(
     quarantine: str | None = None,
     run_ts: Column | None = None,
     order_floor: int = 0,
+    since: str | None = None,
 ) -> dict[str, dict[str, object]]:
     """Clean all seven tables and return the counts of each write.
 
     The gate on the orders uses the count observed during their write; no table is read again.
     """
     counts = {
-        name: csv_to_silver(spark, spec, bronze, silver, quarantine, run_ts)
+        name: csv_to_silver(spark, spec, bronze, silver, quarantine, run_ts, since)
         for name, spec in SILVER.items()
     }
     if counts["orders"]["rows"] <= order_floor:

@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 from lakemart.operators.dedup import dedup
 from lakemart.schemas import TableSpec
 from lakemart.sinks.tables import write_table
-from lakemart.sources.files import CORRUPT, read_csv_text, read_snapshots
+from lakemart.sources.files import CORRUPT, from_day, read_csv_text, read_snapshots
 
 INGEST_DATE = "ingest_date"
 INGEST_TS = "_ingest_ts"
@@ -61,9 +61,11 @@ def split_bad_rows(text: DataFrame, ddl: str, required: Sequence[str]) -> Checke
     )
 
 
-def read_checked(spark: SparkSession, root: str, spec: TableSpec) -> Checked:
-    """All snapshots of a table, split into typed rows and refused ones."""
-    text = read_csv_text(spark, root, spec.ddl, spec.multi_line)
+def read_checked(
+    spark: SparkSession, root: str, spec: TableSpec, since: str | None = None
+) -> Checked:
+    """The snapshots of a table, split into typed rows and refused ones."""
+    text = from_day(read_csv_text(spark, root, spec.ddl, spec.multi_line), since)
     return split_bad_rows(text, spec.ddl, spec.required)
 
 
@@ -74,17 +76,18 @@ def csv_to_silver(
     silver: str,
     quarantine: str | None = None,
     run_ts: Column | None = None,
+    since: str | None = None,
 ) -> dict[str, object]:
     """Ingest one table: scan, keep the latest row per key, stamp, write. Returns write counts.
 
     With a quarantine folder, refused rows go there; without one, cells that do not fit
-    become NULL.
+    become NULL. ``since`` leaves out older snapshots, whose folders are then not read.
     """
     root = f"{bronze}/{spec.name}"
     if quarantine is None:
-        rows = read_snapshots(spark, root, spec.ddl, multi_line=spec.multi_line)
+        rows = read_snapshots(spark, root, spec.ddl, since, spec.multi_line)
     else:
-        checked = read_checked(spark, root, spec)
+        checked = read_checked(spark, root, spec, since)
         rows = checked.good
         write_table(checked.bad, f"{quarantine}/{spec.name}")
     clean = latest_snapshot(rows, spec.keys)

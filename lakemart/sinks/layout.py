@@ -43,10 +43,10 @@ def _locate(df: DataFrame, positions: dict[str, Column], cuts: dict[str, list[fl
         step = RANGES >> (level + 1)
         located = located.withColumns(
             {
-                f"_z_{c}": F.when(
-                    F.get(bounds[c], F.col(f"_z_{c}") + (step - 1)) <= F.col(f"_at_{c}"),
-                    F.col(f"_z_{c}") + step,
-                ).otherwise(F.col(f"_z_{c}"))
+                f"_z_{c}": F.col(f"_z_{c}")
+                + F.when(
+                    F.get(bounds[c], F.col(f"_z_{c}") + (step - 1)) <= F.col(f"_at_{c}"), step
+                ).otherwise(0)
                 for c in positions
             }
         )

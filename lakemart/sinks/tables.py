@@ -71,12 +71,11 @@ def export_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").options(header=True, quote='"', escape='"').csv(path)
 
 
-def to_json_rows(df: DataFrame) -> DataFrame:
-    """Result rows as JSON records. Fractions are written as exact two-place decimals, and
-    a missing value as an explicit null."""
-    shown = [
-        F.col(name).cast(MONEY).alias(name) if kind == "double" else F.col(name)
-        for name, kind in df.dtypes
-    ]
+def to_json_rows(df: DataFrame, amounts: Sequence[str] = ()) -> DataFrame:
+    """Result rows as JSON records, a missing value as an explicit null.
+
+    The columns named as amounts are written with two decimals and never with an exponent.
+    """
+    shown = [F.col(c).cast(MONEY).alias(c) if c in amounts else F.col(c) for c in df.columns]
     record = F.to_json(F.struct(*shown), {"ignoreNullFields": "false"})
     return df.select(record.alias("json"))

@@ -56,10 +56,14 @@ def read_snapshots(
 
     ``ingest_date`` comes from the directory names, so a bound on it skips whole directories.
     """
-    snapshots = read_csv(spark, root, f"{ddl}, ingest_date date", multi_line)
-    return snapshots if since is None else snapshots.where(
-        F.col("ingest_date") >= F.lit(since).cast("date")
-    )
+    return from_day(read_csv(spark, root, f"{ddl}, ingest_date date", multi_line), since)
+
+
+def from_day(snapshots: DataFrame, since: str | None) -> DataFrame:
+    """The snapshots from a day on, or all of them."""
+    if since is None:
+        return snapshots
+    return snapshots.where(F.col("ingest_date") >= F.lit(since).cast("date"))
 
 
 def read_catalogue(spark: SparkSession, path: str, fmt: str = "json", **options: str) -> DataFrame:

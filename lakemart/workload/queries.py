@@ -276,7 +276,8 @@ def optimize_zorder(lake: Lakehouse) -> DataFrame:
 
 @register()
 def result_json(lake: Lakehouse) -> DataFrame:
-    return to_json_rows(marts.top_sellers(lake.fact(), lake.seller(), marts.LIMIT_MAX))
+    sellers = marts.top_sellers(lake.fact(), lake.seller(), marts.LIMIT_MAX)
+    return to_json_rows(sellers, ["revenue", "avg_review", "avg_delivery_days"])
 
 
 # ---- projections and predicates

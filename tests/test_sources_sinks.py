@@ -118,6 +118,7 @@ def test_checked_snapshots_keep_their_ingest_date(spark, tmp_path):
     checked = read_checked(spark, str(tmp_path / "t"), SPEC)
     assert dict(checked.good.dtypes)["ingest_date"] == "date"
     assert checked.good.count() == 2
+    assert read_checked(spark, str(tmp_path / "t"), SPEC, since="2024-01-02").good.count() == 0
 
 
 def test_pinned_schemas_cover_keys_and_required_columns():
@@ -179,8 +180,9 @@ def test_hot_day_is_split_when_partitioning(spark, tmp_path, set_conf):
 
 
 def test_json_rows_keep_missing_values(frame):
-    df = frame("state string, revenue double, avg double, n bigint", ("SP", 12345678.9, None, 3))
-    assert to_json_rows(df).first()["json"] == '{"state":"SP","revenue":12345678.90,"avg":null,"n":3}'
+    df = frame("state string, revenue double, share double, n bigint", ("SP", 12345678.9, 0.125, None))
+    got = to_json_rows(df, ["revenue"]).first()["json"]
+    assert got == '{"state":"SP","revenue":12345678.90,"share":0.125,"n":null}'
 
 
 def test_export_flattens_tags(spark, tmp_path, frame):
