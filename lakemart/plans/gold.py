@@ -103,7 +103,9 @@ def fact_sales(
     lines = items.select(
         "order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value"
     )
-    return join_spread(lines, per_order, "order_id", "inner", hot_rows, "merge").select(
+    return join_spread(
+        lines, per_order, "order_id", ["order_item_id"], "inner", hot_rows, "merge"
+    ).select(
         "order_id",
         "order_item_id",
         "product_id",

@@ -219,7 +219,7 @@ def seller_performance(fact: DataFrame, seller: DataFrame) -> DataFrame:
 
 def with_first_order(fact: DataFrame) -> DataFrame:
     """Every sale with its customer's first order date."""
-    return join_spread(fact, first_order(fact), "customer_id")
+    return join_spread(fact, first_order(fact), "customer_id", ["order_id", "order_item_id"])
 
 
 def customer_days(fact: DataFrame) -> DataFrame:

@@ -41,6 +41,20 @@ def versions(spark: SparkSession, path: str) -> list[str]:
     )
 
 
+def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
+    """Delete all but the newest completed versions and return the names of those deleted.
+
+    Keep more than one while queries that started on an older version may still run.
+    """
+    if keep < 1:
+        raise ValueError("the current version has to stay")
+    old = versions(spark, path)[:-keep]
+    for name in old:
+        fs, folder = _hadoop(spark, f"{path}/{name}")
+        fs.delete(folder, True)
+    return old
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """The latest completed version of a written table."""
     done = versions(spark, path)

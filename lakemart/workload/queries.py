@@ -385,20 +385,21 @@ def join_items_orders(lake: Lakehouse) -> DataFrame:
 @register()
 def join_order_total(lake: Lakehouse) -> DataFrame:
     items = lake.silver("order_items").select(*ITEM, "price")
-    return join_spread(items, order_total(items), "order_id")
+    return join_spread(items, order_total(items), "order_id", ["order_item_id"])
 
 
 @register()
 def join_payment_total(lake: Lakehouse) -> DataFrame:
     items = lake.silver("order_items").select(*ITEM)
     totals = payment_total(lake.silver("payments"))
-    return join_spread(items, totals, "order_id", "left")
+    return join_spread(items, totals, "order_id", ["order_item_id"], "left")
 
 
 @register()
 def join_latest_review(lake: Lakehouse) -> DataFrame:
     items = lake.silver("order_items").select(*ITEM)
-    return join_spread(items, latest_review(lake.silver("reviews")), "order_id", "left")
+    latest = latest_review(lake.silver("reviews"))
+    return join_spread(items, latest, "order_id", ["order_item_id"], "left")
 
 
 def fact_with(lake: Lakehouse, dim: DataFrame, key: str, how: str, *columns: str) -> DataFrame:

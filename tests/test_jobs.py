@@ -60,7 +60,7 @@ def test_daily_jobs(spark, sf_dir, lakehouse_dir):
         path = f"{root}/bronze/catalogue/ingest_date=2024-01-0{n}"
         return silver_to_gold(spark, f"{root}/silver", path, f"{root}/gold", f"2024-01-0{n}", **options)
 
-    first = day(1)
+    first = day(1, partition_by="order_status")
     assert first["fact_sales"]["rows"] == counts["order_items"]["rows"]
     assert first["dim_product"]["rows"] == raw.products.count()
     day(2, keep_history=True, partition_by=None)

@@ -223,6 +223,48 @@ def test_scans_read_only_what_a_mart_needs(lake, plan_of):
     assert "PushedFilters: [IsNotNull(order_date)" in plan
 
 
+def test_hot_product_is_split_in_a_plain_join(spark, tmp_path, set_conf, plan_of):
+    set_conf(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="20KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.5",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="10KB",
+        spark__sql__shuffle__partitions="8",
+    )
+    product = F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 500).cast("string")
+    spark.range(0, 60000, 1, 8).select(
+        F.col("id").cast("string").alias("order_id"),
+        product.alias("product_id"),
+        F.lit("2017-01-01").cast("date").alias("order_date"),
+        F.lit(1.0).alias("gross_revenue"),
+    ).write.parquet(f"{tmp_path}/fact")
+    spark.range(-1, 500).select(
+        F.col("id").cast("string").alias("product_id"),
+        (F.col("id") % 5).cast("string").alias("product_category_en"),
+        F.lit(0.1).alias("margin_pct"),
+        F.lit(True).alias("is_current"),
+    ).write.parquet(f"{tmp_path}/product")
+    calendar = spark.sql("select date'2017-01-01' date_key, 2017 year, 1 month, 'January' month_name")
+    fact, dim = (spark.read.parquet(f"{tmp_path}/{n}") for n in ("fact", "product"))
+    monthly = marts.monthly_by_category(fact, calendar, dim)
+    assert sum(r.orders for r in monthly.collect()) == 60000
+    assert "skew=true" in plan_of(monthly, final=True)
+
+
+def test_a_filtered_calendar_prunes_fact_partitions(spark, tmp_path, plan_of):
+    day = F.date_add(F.lit("2017-01-01").cast("date"), (F.col("id") % 5).cast("int"))
+    spark.range(100).select("id", day.alias("order_date"), F.lit(1.0).alias("gross_revenue")).write.partitionBy(
+        "order_date"
+    ).parquet(f"{tmp_path}/fact")
+    spark.range(5).select(day.alias("date_key"), (F.col("id") + 1).alias("day")).write.parquet(f"{tmp_path}/date")
+    fact, date_dim = (spark.read.parquet(f"{tmp_path}/{n}") for n in ("fact", "date"))
+    wanted = F.broadcast(date_dim.where("day = 2"))
+    joined = fact.join(wanted, F.col("order_date") == F.col("date_key"))
+    assert joined.count() == 20
+    assert "dynamicpruning" in plan_of(joined.select("id"))
+
+
 def test_business_views(spark, lake):
     register_views(lake.star(), prefix="t_")
     marts.register_business_views(spark, prefix="t_")

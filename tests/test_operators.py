@@ -104,7 +104,7 @@ def test_join_spread_equals_plain_join(spark, rows_of, how, hot_rows):
     )
     rows = rows.unionByName(spark.sql("select cast(null as string) as k, cast(1 as bigint) as v"))
     lookup = rows.where("k = 'hot' or v % 2 = 0").groupBy("k").agg(F.sum("v").alias("total"))
-    got = join_spread(rows, lookup, "k", how, hot_rows).select("k", "v", "total")
+    got = join_spread(rows, lookup, "k", ["v"], how, hot_rows).select("k", "v", "total")
     assert rows_of(got) == rows_of(rows.join(lookup, "k", how).select("k", "v", "total"))
 
 
@@ -114,7 +114,7 @@ def test_hot_key_is_spread_over_tasks(spark, set_conf):
     lookup = rows.groupBy("k").agg(F.sum("v").alias("total"))
 
     def tasks(hot_rows):
-        joined = join_spread(rows, lookup, "k", hot_rows=hot_rows, strategy="merge")
+        joined = join_spread(rows, lookup, "k", ["v"], hot_rows=hot_rows, strategy="merge")
         return joined.select(F.spark_partition_id().alias("p")).distinct().count()
 
     assert tasks(hot_rows=1_000_000) == 1
@@ -122,15 +122,24 @@ def test_hot_key_is_spread_over_tasks(spark, set_conf):
 
 
 def test_hot_keys_are_few(spark):
-    rows = spark.range(1000).select((F.col("id") % 4).alias("k"))
-    assert hot_keys(rows, "k", 250).count() == 0
-    assert {r["_copies"] for r in hot_keys(rows, "k", 100).collect()} == {3}
+    rows = spark.range(1000).select((F.col("id") % 4).alias("k"), "id")
+    assert hot_keys(rows, "k", ["id"], 250).count() == 0
+    assert {r["_copies"] for r in hot_keys(rows, "k", ["id"], 100).collect()} == {3}
+
+
+def test_hot_keys_are_recognised_by_a_sample(spark):
+    key = F.when(F.col("id") < 500_000, F.lit("hot")).otherwise(F.col("id").cast("string"))
+    rows = spark.range(600_000).select(key.alias("k"), "id")
+    assert [tuple(r) for r in hot_keys(rows, "k", ["id"], 100_000).collect()] in (
+        [("hot", 5)],
+        [("hot", 6)],
+    )
 
 
 def test_join_spread_refuses_joins_that_would_repeat_lookup_rows(frame):
     df = frame("k string", ("a",))
     with pytest.raises(ValueError):
-        join_spread(df, df, "k", "full")
+        join_spread(df, df, "k", ["k"], "full")
 
 
 def test_adaptive_execution_splits_a_hot_key_after_salting(spark, set_conf, plan_of):
@@ -143,8 +152,10 @@ def test_adaptive_execution_splits_a_hot_key_after_salting(spark, set_conf, plan
         spark__sql__shuffle__partitions="8",
     )
     key = F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).cast("string")
-    items = spark.range(0, 60000, 1, 8).select(key.alias("order_id"), (F.col("id") * 1.0).alias("price"))
-    joined = join_spread(items, order_total(items), "order_id", strategy="merge")
+    items = spark.range(0, 60000, 1, 8).select(
+        key.alias("order_id"), F.col("id").alias("order_item_id"), (F.col("id") * 1.0).alias("price")
+    )
+    joined = join_spread(items, order_total(items), "order_id", ["order_item_id"], strategy="merge")
     assert "skew=true" in plan_of(joined, final=True).lower().replace("isskew", "skew").replace(" ", "")
 
 

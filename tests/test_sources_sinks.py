@@ -19,7 +19,7 @@ from lakemart.sources.files import (
     read_snapshots,
     read_translation,
 )
-from lakemart.sources.tables import read_partitioned, read_table, versions
+from lakemart.sources.tables import drop_old_versions, read_partitioned, read_table, versions
 
 DDL = "id string, n int, price double"
 SPEC = TableSpec("t", DDL, ("id",), ("id",), False)
@@ -149,6 +149,18 @@ def test_a_table_may_be_rewritten_from_itself(spark, tmp_path, frame):
     assert read_table(spark, path).first()["n"] == 2
 
 
+def test_old_versions_are_dropped_on_request(spark, tmp_path, frame):
+    path = str(tmp_path / "t")
+    for n in (1, 2, 3):
+        write_table(frame(DDL, ("a", n, 1.0)), path)
+    before = versions(spark, path)
+    assert drop_old_versions(spark, path, keep=2) == before[:1]
+    assert versions(spark, path) == before[1:]
+    assert read_table(spark, path).first()["n"] == 3
+    with pytest.raises(ValueError):
+        drop_old_versions(spark, path, keep=0)
+
+
 def test_unfinished_version_is_invisible(spark, tmp_path, frame):
     path = tmp_path / "t"
     write_table(frame(DDL, ("a", 1, 1.0)), str(path))
