@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
+
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from lakemart.operators.quality import GateError
@@ -9,6 +13,7 @@ from lakemart.operators.scd2 import scd2_merge
 from lakemart.plans import gold
 from lakemart.plans.silver import csv_to_silver
 from lakemart.schemas import SILVER
+from lakemart.session import folder_bytes, sized_shuffles
 from lakemart.sinks.tables import write_table
 from lakemart.sources.files import read_catalogue
 from lakemart.sources.tables import read_table, versions
@@ -16,6 +21,21 @@ from lakemart.sources.tables import read_table, versions
 CLUSTER_BY = ("customer_id", "product_id")
 TRACKED = ("product_category_en",)
 
+# Fixed value: tables written at a time.
+TABLES_AT_ONCE = 4
+
+Counts = dict[str, object]
+
+
+def write_all(writes: Mapping[str, Callable[[], Counts]]) -> dict[str, Counts]:
+    """Run independent table writes, a few at a time, so small ones do not idle the cluster.
+
+    The first failure is raised once the writes already started have ended.
+    """
+    with ThreadPoolExecutor(TABLES_AT_ONCE) as pool:
+        started = {name: pool.submit(write) for name, write in writes.items()}
+    return {name: done.result() for name, done in started.items()}
+
 
 def bronze_to_silver(
     spark: SparkSession,
@@ -25,15 +45,18 @@ def bronze_to_silver(
     run_ts: Column | None = None,
     order_floor: int = 0,
     since: str | None = None,
-) -> dict[str, dict[str, object]]:
+) -> dict[str, Counts]:
     """Clean all seven tables and return the counts of each write.
 
     The gate on the orders uses the count observed during their write; no table is read again.
     """
-    counts = {
-        name: csv_to_silver(spark, spec, bronze, silver, quarantine, run_ts, since)
+    writes = {
+        name: partial(csv_to_silver, spark, spec, bronze, silver, quarantine, run_ts, since)
         for name, spec in SILVER.items()
     }
+    sources = [f"{bronze}/{name}" for name in SILVER]
+    with sized_shuffles(spark, folder_bytes(spark, *sources)):
+        counts = write_all(writes)
     if counts["orders"]["rows"] <= order_floor:
         raise GateError(f"orders: {counts['orders']['rows']} rows, need more than {order_floor}")
     return counts
@@ -57,7 +80,7 @@ def silver_to_gold(
     run_date: str | Column | None = None,
     keep_history: bool = False,
     partition_by: str | None = "order_date",
-) -> dict[str, dict[str, object]]:
+) -> dict[str, Counts]:
     """Build the star schema from written tables and return the counts of each write.
 
     The fact is partitioned by order date and clustered within it; ``partition_by=None`` only
@@ -74,14 +97,14 @@ def silver_to_gold(
         "dim_seller": gold.dim_seller(table["sellers"]),
         "dim_date": gold.dim_date(table["orders"]),
     }
-    counts = {name: write_table(df, f"{target}/{name}") for name, df in star.items()}
     fact = gold.fact_sales(
         table["order_items"], table["orders"], table["payments"], table["reviews"]
     )
-    counts["fact_sales"] = write_table(
-        fact, f"{target}/fact_sales", partition_by, CLUSTER_BY
-    )
-    return counts
+    writes = {"fact_sales": partial(write_table, fact, f"{target}/fact_sales", partition_by, CLUSTER_BY)}
+    for name, df in star.items():
+        writes[name] = partial(write_table, df, f"{target}/{name}")
+    with sized_shuffles(spark, folder_bytes(spark, silver)):
+        return write_all(writes)
 
 
 def read_star(spark: SparkSession, target: str) -> dict[str, DataFrame]:

@@ -4,10 +4,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+
+# Input bytes per shuffle partition, and the most partitions a shuffle may have: every map task
+# keeps one block per partition, so more of them cost more than larger, spilling ones.
+BYTES_PER_PARTITION = 256 * 1024**2
+MAX_PARTITIONS = 50_000
 
 _local_scratch: dict[str, str] = {}
 
@@ -15,8 +23,9 @@ _local_scratch: dict[str, str] = {}
 def build_session(app: str = "lakemart", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the jobs are designed for.
 
-    The number of shuffle partitions is left to the cluster: adaptive execution
-    coalesces small partitions and splits skewed ones at run time.
+    The number of shuffle partitions is left to the cluster here and raised by the jobs that
+    know their input (``sized_shuffles``); adaptive execution coalesces small partitions and
+    splits skewed ones at run time.
     """
     builder = SparkSession.builder.appName(app)
     if master:
@@ -34,6 +43,34 @@ def build_session(app: str = "lakemart", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def folder_bytes(spark: SparkSession, *paths: str) -> int:
+    """Total size of the files below some folders, from the file system's own listing."""
+    context = spark.sparkContext
+    total = 0
+    for path in paths:
+        folder = context._jvm.org.apache.hadoop.fs.Path(path)
+        fs = folder.getFileSystem(context._jsc.hadoopConfiguration())
+        total += fs.getContentSummary(folder).getLength()
+    return total
+
+
+def shuffle_partitions_for(input_bytes: int, at_least: int) -> int:
+    """Partitions for a shuffle of that much input: never fewer than configured."""
+    wanted = -(-input_bytes // BYTES_PER_PARTITION)
+    return max(at_least, min(MAX_PARTITIONS, wanted))
+
+
+@contextmanager
+def sized_shuffles(spark: SparkSession, input_bytes: int) -> Iterator[None]:
+    """Run jobs with as many shuffle partitions as their input calls for."""
+    before = spark.conf.get(SHUFFLE_PARTITIONS)
+    spark.conf.set(SHUFFLE_PARTITIONS, shuffle_partitions_for(input_bytes, int(before)))
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_PARTITIONS, before)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 

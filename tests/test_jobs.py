@@ -8,9 +8,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lakemart.operators.quality import GateError
-from lakemart.plans.jobs import bronze_to_silver, read_star, silver_to_gold
+from lakemart.plans.jobs import bronze_to_silver, read_star, silver_to_gold, write_all
 from lakemart.schemas import SILVER
-from lakemart.session import shared_dir
+from lakemart.session import (
+    MAX_PARTITIONS,
+    SHUFFLE_PARTITIONS,
+    folder_bytes,
+    shared_dir,
+    shuffle_partitions_for,
+    sized_shuffles,
+)
 from lakemart.sinks.bronze import land_csv, land_jsonl
 from lakemart.sources.tables import read_table
 from lakemart.streaming.incremental import compact, current_rows, ingest_incremental
@@ -87,6 +94,30 @@ def test_shared_dir_is_the_one_the_session_names(spark):
     assert shared_dir(spark) == (named or shared_dir(spark)).rstrip("/")
 
 
+def test_shuffles_grow_with_the_input(spark, tmp_path):
+    assert shuffle_partitions_for(10**6, at_least=200) == 200
+    assert shuffle_partitions_for(10**12, at_least=200) == 3726
+    assert shuffle_partitions_for(10**14, at_least=200) == MAX_PARTITIONS
+    assert shuffle_partitions_for(10**14, at_least=10**5) == 10**5
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "x").write_bytes(b"12345")
+    assert folder_bytes(spark, str(tmp_path)) == 5
+    before = spark.conf.get(SHUFFLE_PARTITIONS)
+    with pytest.raises(KeyError), sized_shuffles(spark, 10**12):
+        assert spark.conf.get(SHUFFLE_PARTITIONS) == "3726"
+        raise KeyError
+    assert spark.conf.get(SHUFFLE_PARTITIONS) == before
+
+
+def test_failed_write_fails_the_job(frame):
+    def fail():
+        raise OSError("disk")
+
+    with pytest.raises(OSError):
+        write_all({"good": lambda: {"rows": 1}, "bad": fail})
+    assert write_all({"good": lambda: {"rows": 1}}) == {"good": {"rows": 1}}
+
+
 # ---- incremental
 
 
