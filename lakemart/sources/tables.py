@@ -41,6 +41,12 @@ def versions(spark: SparkSession, path: str) -> list[str]:
     )
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table that is no longer needed."""
+    fs, folder = _hadoop(spark, path)
+    fs.delete(folder, True)
+
+
 def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
     """Delete all but the newest completed versions and return the names of those deleted.
 
@@ -50,8 +56,7 @@ def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> list[str
         raise ValueError("the current version has to stay")
     old = versions(spark, path)[:-keep]
     for name in old:
-        fs, folder = _hadoop(spark, f"{path}/{name}")
-        fs.delete(folder, True)
+        delete_folder(spark, f"{path}/{name}")
     return old
 
 
