@@ -34,7 +34,6 @@ from lakemart.schemas import (
     NATURAL_KEYS,
     REQUIRED,
     SILVER_DDL,
-    TRANSLATION_DDL,
     pick,
 )
 from lakemart.session import scratch_path
