@@ -7,9 +7,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from lakemart.workload.oracle import oracle_sql
+from lakemart.workload.queries import REGISTRY as QUERIES
 
-QUERIES = contract.queries()
-ORACLES = contract.oracle_sql()
+ORACLES = oracle_sql()
 
 TYPES = {
     "string": "VARCHAR",
@@ -32,6 +33,8 @@ def duck(sf_dir):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(ORACLES) <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
