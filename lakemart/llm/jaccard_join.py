@@ -327,7 +327,7 @@ def jaccard_groups(spark: SparkSession, documents: DataFrame) -> DataFrame:
         .select("key", F.ceil(F.col("c") / CELL_BLOCK).cast("int").alias("n_blocks"))
     )
     cells = scratch.write(cells, "cells")
-    members = scratch.join_ids(keyed, cells, "key").select(F.col("doc_id").alias("rep"), "key", "n_blocks")
+    members = scratch.join_small(keyed, cells, "key").select(F.col("doc_id").alias("rep"), "key", "n_blocks")
     points = named.where("keys is not null").select(F.col("doc_id").alias("rep"), "n", "point")
     met = _in_blocks(members, "key").select("cell", "rep").join(points, "rep")
     candidates = (
@@ -341,7 +341,7 @@ def jaccard_groups(spark: SparkSession, documents: DataFrame) -> DataFrame:
     maybe = components(candidates, scratch)
     counts = maybe.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / SET_BLOCK).cast("int").alias("n_blocks"))
     maybe = scratch.write(maybe.join(counts, "component").withColumnRenamed("node", "doc_id"), "maybe")
-    sets = scratch.join_ids(documents, maybe, "doc_id").select("doc_id", "text", "component", "n_blocks")
+    sets = scratch.join_small(documents, maybe, "doc_id").select("doc_id", "text", "component", "n_blocks")
     sets = sets.mapInArrow(_sets_of, "rep long, component long, n_blocks int, shingles binary")
     links = (
         _in_blocks(sets, "component")

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from lakemart.llm.license_scan import _NOTICES, COPYRIGHT_LINE, NOT_WORD, SPELLINGS
+
 _LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 #: Smallest id that links reach, for a relation links(a, b) that holds both directions.
@@ -36,6 +40,86 @@ links as (
 select d.doc_id, coalesce(s.n, 0) as n_shingles, least(d.doc_id, coalesce(l.other, d.doc_id)) as component_id
 from documents d left join sizes s using (doc_id) left join least l on l.id = d.doc_id"""
 
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _canonical(text: str) -> str:
+    plain = f"regexp_replace(lower({text}), {_quoted(COPYRIGHT_LINE)}, '', 'g')"
+    plain = f"regexp_replace({plain}, {_quoted(NOT_WORD)}, ' ', 'g')"
+    return reduce(lambda t, s: f"regexp_replace({t}, {_quoted(s[0])}, {_quoted(s[1])}, 'g')", SPELLINGS, plain)
+
+
+def _canonical_lines(text: str) -> str:
+    split = f"string_split({_canonical(text)}, chr(10))"
+    return f"list_filter(list_transform({split}, lambda x: trim(x, ' ')), lambda x: x <> '')"
+
+
+OP4 = f"""
+with known as (
+    select sha256(array_to_string({_canonical_lines("t")}, ' ')) as digest, min(id) as id
+    from (values {", ".join(f"({_quoted(i)}, {_quoted(t)})" for i, t in _NOTICES)}) v(id, t) group by 1
+),
+texts as (
+    select doc_id, {_canonical_lines("coalesce(text, '')")} as lines, row_number() over () as r from documents
+),
+wholes as (select *, sha256(array_to_string(lines, ' ')) as canonical_sha256 from texts),
+hits as (
+    select r, count(*) as n, string_agg(distinct id, ',' order by id) as ids
+    from (select r, unnest(lines) as line from wholes) join known on digest = sha256(line) group by r
+)
+select doc_id, canonical_sha256, max(known.id) as license_id, coalesce(max(n), 0)::bigint as n_notices,
+    coalesce(max(ids), '') as notices, count(*) as n_rows
+from wholes left join known on digest = canonical_sha256 left join hits using (r)
+group by doc_id, canonical_sha256"""
+
+OP5 = f"""
+with lines as (
+    select doc_id, k, cut || case when k < n then chr(10) else '' end as unit
+    from (select doc_id, unnest(l) as cut, generate_subscripts(l, 1) as k, len(l) as n
+          from (select doc_id, string_split(text, chr(10)) as l from documents))
+),
+placed as (
+    select *, coalesce(sum(strlen(unit)) over (
+        partition by doc_id order by k rows between unbounded preceding and 1 preceding), 0)::bigint as first,
+        trim(regexp_replace(translate(unit, {_LETTERS}), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') as plain
+    from lines where unit <> ''
+),
+ranked as (
+    select *, row_number() over (partition by plain order by doc_id, first) > 1
+        and len(string_split(plain, ' ')) >= 5 as later
+    from placed
+)
+select d.doc_id, count(*) filter (later) as n_removed,
+    coalesce(string_agg(first || '-' || (first + strlen(unit)), ',' order by k) filter (later), '') as removed,
+    sha256(coalesce(string_agg(unit, '' order by k) filter (not later), '')) as kept_sha256
+from documents d left join ranked r using (doc_id) group by d.doc_id"""
+
+OP6 = """
+with lines as (select doc_id, string_split(text, chr(10)) as l from documents),
+hashed as (select *, list_transform(l, lambda x: ('0x' || substr(md5(x), 1, 8))::bigint) as h from lines),
+cut as (
+    select *, list_filter(range(1, len(l) + 1),
+        lambda i: i = len(l) or (coalesce(h[i - 1], 0) * 31 + h[i]) % 4 = 0) as e
+    from hashed
+),
+chunks as (
+    select doc_id, k - 1 as k, e[k] - coalesce(e[k - 1], 0) as n,
+        array_to_string(l[coalesce(e[k - 1], 0) + 1 : e[k]], chr(10)) as body
+    from (select *, unnest(range(1, len(e) + 1)) as k from cut)
+),
+ranked as (
+    select *, n > 1 and row_number() over (partition by n > 1, body order by doc_id, k) > 1 as later from chunks
+)
+select d.doc_id, count(k) as n_chunks, coalesce(string_agg(k::varchar, ',' order by k) filter (later), '') as removed,
+    sha256(coalesce(string_agg(body, chr(10) order by k) filter (not later), '')) as kept_sha256
+from documents d left join ranked r using (doc_id) group by d.doc_id"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_ngram_jaccard_join": OP2,
+    "op4_license_scan": OP4,
+    "op5_substring_dedup": OP5,
+    "op6_line_dedup": OP6,
 }

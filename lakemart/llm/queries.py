@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakemart.llm.jaccard_join import jaccard_groups
+from lakemart.llm.license_scan import known_licenses, scan_licenses
+from lakemart.llm.line_dedup import dedup_lines
+from lakemart.llm.substring_dedup import dedup_units
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,9 +22,38 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups(spark, _read(spark, sf_dir, "documents"))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_licenses(_read(spark, sf_dir, "documents"), known_licenses(spark))
+    return found.withColumn("notices", F.array_join("notices", ","))
+
+
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = dedup_units(spark, _read(spark, sf_dir, "documents"))
+    cut = F.coalesce("removed", F.array().cast("array<struct<start: long, end: long>>"))
+    return kept.select(
+        "doc_id",
+        F.size(cut).cast("long").alias("n_removed"),
+        F.array_join(F.transform(cut, lambda s: F.concat_ws("-", s["start"], s["end"])), ",").alias("removed"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = dedup_lines(spark, _read(spark, sf_dir, "documents"))
+    return kept.select(
+        "doc_id",
+        F.col("n_chunks").cast("long").alias("n_chunks"),
+        F.array_join("removed", ",").alias("removed"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
 REGISTRY: dict[str, Query] = {
     f.__name__: f
     for f in (
         op2_ngram_jaccard_join,
+        op4_license_scan,
+        op5_substring_dedup,
+        op6_line_dedup,
     )
 }

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakemart.session import scratch_path
+from lakemart.session import folder_bytes, scratch_path
 
-#: Largest table that is sent to every executor, in rows of a few longs each. Beyond it the join
-#: shuffles both sides; the answer is the same.
-BROADCAST_ROWS = 1_000_000
+#: Largest table that is sent to every executor, in bytes of its files. Beyond it the join shuffles
+#: both sides; the answer is the same.
+BROADCAST_BYTES = 8 * 1024**2
 
 
 class Scratch:
@@ -34,7 +34,8 @@ class Scratch:
             path = jvm.org.apache.hadoop.fs.Path(folder)
             path.getFileSystem(conf).delete(path, True)
 
-    def join_ids(self, big: DataFrame, ids: DataFrame, on: str, how: str = "inner") -> DataFrame:
-        """Join to a written table of keys, broadcast only if its counted rows are few."""
-        few = ids.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-        return big.join(ids.hint("broadcast" if few else "merge"), on, how)
+    def join_small(self, big: DataFrame, table: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+        """Join to a written table, sent to every executor only if its files are small."""
+        folders = {f.rsplit("/", 1)[0] for f in table.inputFiles()}
+        small = folder_bytes(self.spark, *folders) <= BROADCAST_BYTES
+        return big.join(table.hint("broadcast" if small else "merge"), on, how)
