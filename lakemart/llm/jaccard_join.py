@@ -1,7 +1,7 @@
 """N-gram Jaccard join by group counts: near-copies of documents and the groups they form.
 
-A document's set is that of its distinct word shingles. Shingle hashes are dealt to ``GROUPS``
-groups, and a set becomes the point of its group counts. Two sets share at most the sum of the
+A document's set is that of its distinct word shingles. Shingle hashes are dealt to groups, about one
+for every six shingles, and a set becomes the point of its group counts. Two sets share at most the sum of the
 smaller of their counts, group by group, so a pair whose sum is too small is never compared.
 
 Steps, each a Spark job over all documents:
@@ -12,8 +12,9 @@ Steps, each a Spark job over all documents:
 2. *Signatures.* Size, digest and point of every set, and the first shingles in that order: two sets
    that are similar enough share one of them.
 3. *Cells.* The sets that share such a shingle. Cells of one set, and cells with the same members as
-   another, are dropped by counts and digests that combine map-side. Each remaining cell is searched
-   by a count-vector R-tree; only links that connect are emitted, at most one per member.
+   another, are dropped by counts and digests that combine map-side. Each remaining cell is split by
+   classes of set size, which set the number of groups, and searched by a count-vector R-tree; only
+   links that connect are emitted, at most one per member.
 4. *Verification.* Sets that may be connected meet once, with their shingles, and are compared exactly.
    Pairs already known to be connected are skipped, so a group of m near-copies of one text
    costs about m comparisons.
@@ -37,14 +38,28 @@ from lakemart.llm.tables import Scratch
 SHINGLE = 5
 #: Similarity as a fraction: two documents link when TEN * shared >= EIGHT * union.
 NUMERATOR, DENOMINATOR = 8, 10
-GROUPS = 64
+#: Least number of groups; the larger size classes have more.
+LEAST_GROUPS = 64
 #: Entries of the ordering list, and of each task's contribution to it.
 FREQUENT, FREQUENT_PER_TASK = 65_536, 8_192
 #: Members that meet in one task: of a cell (points only) and of a group (whole sets).
 CELL_BLOCK, SET_BLOCK = 4_096, 1_024
 FANOUT = 16
 
-_SIGNATURE = "doc_id long, n int, d1 long, d2 long, point binary, keys array<long>"
+_SIGNATURE = "doc_id long, n int, d1 long, d2 long, classes array<int>, point binary, keys array<long>"
+
+
+def _classes(n: int) -> list[int]:
+    """Size classes (powers of two) in which a set of n shingles meets its possible partners.
+
+    A partner has at most n * DENOMINATOR / NUMERATOR shingles if it is the larger one; the two meet in
+    the class of the larger.
+    """
+    return sorted({n.bit_length() - 1, (n * DENOMINATOR // NUMERATOR).bit_length() - 1})
+
+
+def _groups_of(size_class: int) -> int:
+    return max(LEAST_GROUPS, 1 << max(0, size_class - 2))
 
 
 def _needed(n_a, n_b):
@@ -63,8 +78,10 @@ def _sets(texts: list[bytes]) -> Iterator[np.ndarray]:
         yield found[np.concatenate(([True], found[1:] != found[:-1]))] if b > a else found
 
 
-def _point(found: np.ndarray) -> np.ndarray:
-    return np.bincount((found >> np.uint64(58)).astype(np.int64), minlength=GROUPS).astype(np.uint32)
+def _point(found: np.ndarray, groups: int) -> np.ndarray:
+    """Group counts; groups are the first bits of the hash, so two halves of a group add up to it."""
+    shift = np.uint64(64 - (groups.bit_length() - 1))
+    return np.bincount((found >> shift).astype(np.int64), minlength=groups).astype(np.uint32)
 
 
 def _count_frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,26 +118,28 @@ def _signatures(frequent: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], It
                 for doc_id, found in zip(ids[first:], _sets(texts)):
                     n = len(found)
                     if not n:
-                        rows.append((doc_id, 0, 0, 0, None, None))
+                        rows.append((doc_id, 0, 0, 0, None, None, None))
                         continue
-                    signed = found.view(np.int64)
                     d1 = int(np.bitwise_xor.reduce(found).view(np.int64))
                     d2 = int(np.sum(found * (found >> np.uint64(7) | np.uint64(1)), dtype=np.uint64).view(np.int64))
                     keys = None
                     if doc_id is not None and (d1, d2) not in seen:
                         seen.add((d1, d2))
                         keys = first_keys(found).view(np.int64)
-                    rows.append((doc_id, n, d1, d2, _point(signed.view(np.uint64)).tobytes(), keys))
+                    classes = _classes(n)
+                    point = _point(found, _groups_of(classes[-1])).tobytes()
+                    rows.append((doc_id, n, d1, d2, classes, point, keys))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([r[0] for r in rows], pa.int64()),
                         pa.array([r[1] for r in rows], pa.int32()),
                         pa.array([r[2] for r in rows], pa.int64()),
                         pa.array([r[3] for r in rows], pa.int64()),
-                        pa.array([r[4] for r in rows], pa.binary()),
-                        pa.array([r[5] for r in rows], pa.list_(pa.int64())),
+                        pa.array([r[4] for r in rows], pa.list_(pa.int32())),
+                        pa.array([r[5] for r in rows], pa.binary()),
+                        pa.array([r[6] for r in rows], pa.list_(pa.int64())),
                     ],
-                    ["doc_id", "n", "d1", "d2", "point", "keys"],
+                    ["doc_id", "n", "d1", "d2", "classes", "point", "keys"],
                 )
 
     return run
@@ -220,10 +239,11 @@ def _links(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
 
 def _search_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     out = []
-    for group in _groups(batches, ["cell", "rep", "n", "point"]):
+    for group in _groups(batches, ["cell", "rep", "n", "size_class", "point"]):
         reps = group["rep"]
         if len(reps) > 1:
-            points = np.frombuffer(b"".join(group["point"]), np.uint32).reshape(-1, GROUPS)
+            size = _groups_of(group["size_class"][0])
+            points = np.stack([np.frombuffer(p, np.uint32).reshape(size, -1).sum(axis=1) for p in group["point"]])
             sizes = np.array(group["n"], dtype=np.int64)
             out += [(reps[i], reps[j]) for i, j in connect(points, sizes)]
         if len(out) > 50_000:
@@ -240,7 +260,9 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         sets = [np.frombuffer(s, np.uint64) for s in group["shingles"]]
         sizes = np.array([len(s) for s in sets])
-        points = np.stack([_point(s) for s in sets])
+        # Groups for the typical size; far larger sets are told apart by size and by comparison.
+        groups = _groups_of(int(np.median(sizes)).bit_length() - 1)
+        points = np.stack([_point(s, groups) for s in sets])
 
         def linked(at: int, found: np.ndarray) -> np.ndarray:
             own = sets[at]
@@ -328,10 +350,12 @@ def jaccard_groups(spark: SparkSession, documents: DataFrame) -> DataFrame:
     )
     cells = scratch.write(cells, "cells")
     members = scratch.join_small(keyed, cells, "key").select(F.col("doc_id").alias("rep"), "key", "n_blocks")
-    points = named.where("keys is not null").select(F.col("doc_id").alias("rep"), "n", "point")
+    points = named.where("keys is not null").select(
+        F.col("doc_id").alias("rep"), "n", F.explode("classes").alias("size_class"), "point"
+    )
     met = _in_blocks(members, "key").select("cell", "rep").join(points, "rep")
     candidates = (
-        met.select("cell", "rep", "n", "point")
+        met.select(F.xxhash64("cell", "size_class").alias("cell"), "rep", "n", "size_class", "point")
         .repartition("cell")
         .sortWithinPartitions("cell", "rep")
         .mapInArrow(_search_cells, "a long, b long")
