@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from lakemart.llm.bpe import decode_documents, encode_documents
 from lakemart.llm.jaccard_join import jaccard_groups
 from lakemart.llm.license_scan import known_licenses, scan_licenses
 from lakemart.llm.line_dedup import dedup_lines
 from lakemart.llm.substring_dedup import dedup_units
+from lakemart.llm.token_files import read_token_files, write_token_files
+from lakemart.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +22,9 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups(spark, _read(spark, sf_dir, "documents"))
 
@@ -48,6 +55,27 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = encode_documents(spark, _read(spark, sf_dir, "documents"), TOKENIZER)
+    return decode_documents(encoded, TOKENIZER).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "token-files")
+    write_token_files(spark, _read(spark, sf_dir, "documents"), TOKENIZER, folder)
+    return read_token_files(spark, folder).select(
+        "doc_id",
+        "start",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+    )
+
+
 REGISTRY: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -55,5 +83,7 @@ REGISTRY: dict[str, Query] = {
         op4_license_scan,
         op5_substring_dedup,
         op6_line_dedup,
+        op8_bpe,
+        op10_token_files,
     )
 }

@@ -19,11 +19,11 @@ class Scratch:
         self.root = scratch_path(spark, label)
         self._n = 0
 
-    def write(self, df: DataFrame, name: str) -> DataFrame:
+    def write(self, df: DataFrame, name: str, **options: str) -> DataFrame:
         """The frame as a written table: it cuts the lineage and survives lost executors."""
         self._n += 1
         path = f"{self.root}/{self._n}-{name}"
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
         # The schema is known, so no job has to read a footer.
         return self.spark.read.schema(df.schema).parquet(path)
 
