@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakemart.llm.bpe import decode_documents, encode_documents
 from lakemart.llm.jaccard_join import jaccard_groups
+from lakemart.llm.language_id import identify_languages, is_held_out, learn
 from lakemart.llm.license_scan import known_licenses, scan_licenses
 from lakemart.llm.line_dedup import dedup_lines
 from lakemart.llm.substring_dedup import dedup_units
@@ -55,6 +56,13 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _read(spark, sf_dir, "documents")
+    dictionaries = learn(spark, documents.where(~is_held_out(F.col("doc_id"))))
+    found = identify_languages(documents, dictionaries)
+    return found.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = encode_documents(spark, _read(spark, sf_dir, "documents"), TOKENIZER)
     return decode_documents(encoded, TOKENIZER).select(
@@ -83,6 +91,7 @@ REGISTRY: dict[str, Query] = {
         op4_license_scan,
         op5_substring_dedup,
         op6_line_dedup,
+        op7_language_id,
         op8_bpe,
         op10_token_files,
     )
