@@ -77,9 +77,9 @@ group by doc_id, canonical_sha256"""
 
 OP5 = f"""
 with lines as (
-    select doc_id, k, cut || case when k < n then chr(10) else '' end as unit
-    from (select doc_id, unnest(l) as cut, generate_subscripts(l, 1) as k, len(l) as n
-          from (select doc_id, string_split(text, chr(10)) as l from documents))
+    select doc_id, unnest(l) as unit, generate_subscripts(l, 1) as k
+    from (select doc_id, string_split(regexp_replace(text, '([.!?][ \\t]+|\\n)', '\\1' || chr(57344), 'g'), chr(57344)) as l
+          from documents)
 ),
 placed as (
     select *, coalesce(sum(strlen(unit)) over (

@@ -1,14 +1,16 @@
-"""Substring dedup by hashing lines or paragraphs: the earliest of equal units stays.
+"""Substring dedup by hashing units of text: the earliest of equal units stays.
 
-A unit's digest covers its ASCII-lower-case bytes with white space collapsed. The smallest place of
-each digest is an aggregate that combines map-side, so a line in a third of all documents costs one
-row per task.
+Units are paragraphs, lines, or the sentences of lines, which also find passages set into other lines. A
+unit's digest covers its ASCII-lower-case bytes with white space collapsed. Digests are counted, and the
+smallest place of each repeated one is found, by aggregates that combine map-side, so a line in a third of
+all documents costs one row per task.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+import struct
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -20,7 +22,11 @@ from lakemart.llm.tables import Scratch
 #: Units of fewer words are left alone: they repeat by chance.
 MIN_WORDS = 5
 
-_ENDS = {"line": re.compile(rb"\n"), "paragraph": re.compile(rb"\n[ \t\r]*(?:\n[ \t\r]*)+")}
+_ENDS = {
+    "sentence": re.compile(rb"[.!?][ \t]+|\n"),
+    "line": re.compile(rb"\n"),
+    "paragraph": re.compile(rb"\n[ \t\r]*(?:\n[ \t\r]*)+"),
+}
 
 
 def unit_spans(text: bytes, unit: str) -> list[tuple[int, int]]:
@@ -38,7 +44,7 @@ def _digests(unit: str, min_words: int) -> Callable[[Iterator[pa.RecordBatch]],
                     found = text[start:end].lower().split()
                     if len(found) >= min_words:
                         digest = hashlib.blake2b(b" ".join(found), digest_size=16).digest()
-                        out.append((doc_id, start, end, digest))
+                        out.append((doc_id, start, end, *struct.unpack("<qq", digest)))
                 if len(out) > 20_000:
                     yield _rows(out)
                     out = []
@@ -46,9 +52,8 @@ def _digests(unit: str, min_words: int) -> Callable[[Iterator[pa.RecordBatch]],
                 yield _rows(out)
 
     def _rows(out: list[tuple]) -> pa.RecordBatch:
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
-        columns = [pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)]
-        return pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "end", "digest"])
+        columns = [pa.array([r[k] for r in out], pa.int64()) for k in range(5)]
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "end", "d1", "d2"])
 
     return run
 
@@ -71,7 +76,7 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def dedup_units(
-    spark: SparkSession, documents: DataFrame, unit: str = "line", min_words: int = MIN_WORDS
+    spark: SparkSession, documents: DataFrame, unit: str = "sentence", min_words: int = MIN_WORDS
 ) -> DataFrame:
     """doc_id, text (without the removed units), removed (their spans in bytes of the given text).
 
@@ -84,20 +89,15 @@ def dedup_units(
     documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     units = scratch.write(
         documents.where("doc_id is not null and text is not null").mapInArrow(
-            _digests(unit, min_words), "doc_id long, start long, end long, digest binary"
+            _digests(unit, min_words), "doc_id long, start long, end long, d1 long, d2 long"
         ),
         "units",
     )
-    firsts = scratch.write(
-        units.groupBy("digest")
-        .agg(F.min(F.struct("doc_id", "start")).alias("first"), F.count(F.lit(1)).alias("n"))
-        .where("n > 1")
-        .select("digest", "first"),
-        "firsts",
-    )
-    later = scratch.join_small(units, firsts, "digest").where(
-        "doc_id <> first.doc_id or start <> first.start"
-    )
+    digest = ["d1", "d2"]
+    often = scratch.write(units.groupBy(digest).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(digest), "often")
+    repeats = scratch.write(scratch.join_small(units, often, digest), "repeats")
+    firsts = repeats.groupBy(digest).agg(F.min(F.struct("doc_id", "start")).alias("first"))
+    later = repeats.join(firsts, digest).where("doc_id <> first.doc_id or start <> first.start")
     spans = scratch.write(
         later.groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("removed")), "spans"
     )
