@@ -17,6 +17,19 @@ reach as (
 ),
 least as (select id, min(other) as other from reach group by id)"""
 
+OP1 = f"""
+with recursive vectors as (
+    select vec_id, e, sqrt(list_dot_product(e, e)) as norm from (select vec_id, embedding::double[] as e from embeddings)
+),
+links as (
+    select x.vec_id as a, y.vec_id as b from vectors x join vectors y on x.vec_id <> y.vec_id
+    where list_dot_product(x.e, y.e) / (x.norm * y.norm) >= 0.9
+),{_REACH}
+select e.vec_id, (select count(*) from links l where l.a = e.vec_id) as n_links,
+    least(e.vec_id, coalesce(l.other, e.vec_id)) as component_id,
+    e.vec_id = least(e.vec_id, coalesce(l.other, e.vec_id)) as kept
+from embeddings e left join least l on l.id = e.vec_id"""
+
 OP2 = f"""
 with recursive words as (
     select doc_id, regexp_extract_all(translate(text, {_LETTERS}), '[^\\x20\\x09-\\x0D]+') as w
@@ -118,6 +131,7 @@ select d.doc_id, count(k) as n_chunks, coalesce(string_agg(k::varchar, ',' order
 from documents d left join ranked r using (doc_id) group by d.doc_id"""
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_embedding_dedup": OP1,
     "op2_ngram_jaccard_join": OP2,
     "op4_license_scan": OP4,
     "op5_substring_dedup": OP5,

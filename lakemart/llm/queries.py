@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakemart.llm.bpe import decode_documents, encode_documents
+from lakemart.llm.embedding_dedup import embedding_groups
 from lakemart.llm.jaccard_join import jaccard_groups
 from lakemart.llm.language_id import identify_languages, is_held_out, learn
 from lakemart.llm.license_scan import known_licenses, scan_licenses
@@ -26,6 +27,10 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_groups(spark, _read(spark, sf_dir, "embeddings"))
+
+
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups(spark, _read(spark, sf_dir, "documents"))
 
@@ -87,6 +92,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op1_embedding_dedup,
         op2_ngram_jaccard_join,
         op4_license_scan,
         op5_substring_dedup,
