@@ -84,6 +84,17 @@ def _point(found: np.ndarray, groups: int) -> np.ndarray:
     return np.bincount((found >> shift).astype(np.int64), minlength=groups).astype(np.uint32)
 
 
+def _packed(point: np.ndarray) -> bytes:
+    """Counts in one byte each, in four if one is too large."""
+    return (point.astype(np.uint8) if point.max() < 256 else point).tobytes()
+
+
+def _unpacked(data: bytes, n: int, groups: int) -> np.ndarray:
+    """The point of a set of n shingles, folded to that many groups."""
+    kind = np.uint8 if len(data) == _groups_of(_classes(n)[-1]) else np.uint32
+    return np.frombuffer(data, kind).reshape(groups, -1).sum(axis=1, dtype=np.uint32)
+
+
 def _count_frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Shingles seen in several documents of a batch, the most frequent ones of each batch."""
     for batch in batches:
@@ -127,7 +138,7 @@ def _signatures(frequent: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], It
                         seen.add((d1, d2))
                         keys = first_keys(found).view(np.int64)
                     classes = _classes(n)
-                    point = _point(found, _groups_of(classes[-1])).tobytes()
+                    point = _packed(_point(found, _groups_of(classes[-1])))
                     rows.append((doc_id, n, d1, d2, classes, point, keys))
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -243,7 +254,7 @@ def _search_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         reps = group["rep"]
         if len(reps) > 1:
             size = _groups_of(group["size_class"][0])
-            points = np.stack([np.frombuffer(p, np.uint32).reshape(size, -1).sum(axis=1) for p in group["point"]])
+            points = np.stack([_unpacked(p, n, size) for p, n in zip(group["point"], group["n"])])
             sizes = np.array(group["n"], dtype=np.int64)
             out += [(reps[i], reps[j]) for i, j in connect(points, sizes)]
         if len(out) > 50_000:
