@@ -24,6 +24,8 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
+#: Bytes between words where punctuation does not count: ASCII but for letters and digits.
+NOT_ALNUM = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -69,24 +71,25 @@ def slices(column: pa.Array, most: int = CHUNK) -> Iterator[tuple[int, list[byte
         at = end
 
 
-def _chunk_words(buf: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    space = _SPACE[buf]
+def _chunk_words(buf: np.ndarray, between: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    space = between[buf]
     edge = np.flatnonzero(np.diff(np.concatenate(([True], space, [True])).view(np.int8)))
     starts, ends = edge[::2], edge[1::2]
     if not len(starts):
         return starts, ends, np.zeros(0, dtype=np.uint64)
     up, down = powers(len(buf))
-    values = _BYTE[_LOWER[buf] if lower else buf]
+    values = _BYTE[_LOWER[buf]]
     values *= up[: len(buf)]
     sums = np.zeros(len(buf) + 1, dtype=np.uint64)
     np.cumsum(values, out=sums[1:])
     return starts, ends, mix((sums[ends] - sums[starts]) * down[starts])
 
 
-def words(texts: list[bytes], lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def words(texts: list[bytes], between: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Hash, text index, first byte and end byte (within the text) of every word of some texts.
 
-    Words are runs of anything but the six ASCII white-space bytes; A-Z count as a-z.
+    Words are runs of anything but the bytes marked in ``between``: the six ASCII white-space bytes, or
+    a table that holds the space too. A-Z count as a-z.
     """
     joined = np.frombuffer(b" ".join(texts) + b" ", dtype=np.uint8)
     lengths = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
@@ -95,12 +98,12 @@ def words(texts: list[bytes], lower: bool = True) -> tuple[np.ndarray, np.ndarra
     while at < len(joined):
         end = min(len(joined), at + CHUNK)
         while end < len(joined):  # never cut a word
-            gap = np.flatnonzero(_SPACE[joined[end - 1 : end + CHUNK]])
+            gap = np.flatnonzero(between[joined[end - 1 : end + CHUNK]])
             if len(gap):
                 end += int(gap[0])
                 break
             end = min(len(joined), end + CHUNK)
-        s, e, h = _chunk_words(joined[at:end], lower)
+        s, e, h = _chunk_words(joined[at:end], between)
         parts.append((s + at, e + at, h))
         at = end
     if not parts:

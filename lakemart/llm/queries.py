@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakemart.llm.bpe import decode_documents, encode_documents
+from lakemart.llm.decontaminate import find_leaks
 from lakemart.llm.embedding_dedup import embedding_groups
 from lakemart.llm.jaccard_join import jaccard_groups
 from lakemart.llm.language_id import identify_languages, is_held_out, learn
@@ -78,6 +79,16 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_leaks(spark, _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        (F.size("item_ids") > 0).alias("contaminated"),
+        F.array_join("item_ids", ",").alias("item_ids"),
+        "overlap",
+    )
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "token-files")
     write_token_files(spark, _read(spark, sf_dir, "documents"), TOKENIZER, folder)
@@ -99,6 +110,7 @@ REGISTRY: dict[str, Query] = {
         op6_line_dedup,
         op7_language_id,
         op8_bpe,
+        op9_decontamination,
         op10_token_files,
     )
 }
