@@ -15,6 +15,7 @@ from lakemart.llm.language_id import identify_languages, is_held_out, learn
 from lakemart.llm.license_scan import known_licenses, scan_licenses
 from lakemart.llm.line_dedup import dedup_lines
 from lakemart.llm.substring_dedup import dedup_units
+from lakemart.llm.suffix_dedup import dedup_substrings
 from lakemart.llm.token_files import read_token_files, write_token_files
 from lakemart.session import scratch_path
 
@@ -36,6 +37,17 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups(spark, _read(spark, sf_dir, "documents"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = dedup_substrings(spark, _read(spark, sf_dir, "documents"))
+    return kept.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan_licenses(_read(spark, sf_dir, "documents"), known_licenses(spark))
     return found.withColumn("notices", F.array_join("notices", ","))
@@ -105,6 +117,7 @@ REGISTRY: dict[str, Query] = {
     for f in (
         op1_embedding_dedup,
         op2_ngram_jaccard_join,
+        op3_suffix_dedup,
         op4_license_scan,
         op5_substring_dedup,
         op6_line_dedup,
