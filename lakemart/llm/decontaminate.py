@@ -229,6 +229,34 @@ def _search(table: np.ndarray, listed: list[tuple[int, str]]):
     return run
 
 
+def _item_blocks(spark: SparkSession, benchmark: DataFrame) -> list:
+    """The benchmark as broadcast lists of about ITEM_BLOCK items."""
+    asked = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where(
+        "item_id is not null and text is not null"
+    )
+    n_blocks = max(1, -(-asked.count() // ITEM_BLOCK))
+    number = F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks))
+    return [
+        spark.sparkContext.broadcast([tuple(r) for r in asked.where(number == k).orderBy("item_id", "text").collect()])
+        for k in range(n_blocks)
+    ]
+
+
+def clean_documents(spark: SparkSession, documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``documents`` (text) that hold no benchmark item, with all their columns."""
+    table = spark.sparkContext.broadcast(fit_space(documents))
+    for block in _item_blocks(spark, benchmark):
+
+        def run(batches, block=block):
+            for batch in batches:
+                searched = pa.RecordBatch.from_arrays([pa.nulls(len(batch), pa.int64()), batch.column("text")], ["doc_id", "text"])
+                found = _search(table.value, block.value)([searched])
+                yield batch.filter(pa.array([not items for b in found for items in b.column("item_ids").to_pylist()], pa.bool_()))
+
+        documents = documents.mapInArrow(run, documents.schema)
+    return documents
+
+
 def find_leaks(spark: SparkSession, documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_ids (ascending), overlap (largest share of an item found, 0 to 1) for every row of
     ``documents`` (doc_id, text); ``benchmark`` has item_id and text.
@@ -239,20 +267,14 @@ def find_leaks(spark: SparkSession, documents: DataFrame, benchmark: DataFrame)
     """
     documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     table = spark.sparkContext.broadcast(fit_space(documents))
-    asked = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where(
-        "item_id is not null and text is not null"
-    )
-    n_blocks = max(1, -(-asked.count() // ITEM_BLOCK))
     found = []
-    for k in range(n_blocks):
-        mine = asked.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == k).orderBy("item_id", "text")
-        block = spark.sparkContext.broadcast([tuple(r) for r in mine.collect()])
+    for block in _item_blocks(spark, benchmark):
 
         def run(batches, block=block):
             yield from _search(table.value, block.value)(batches)
 
         found.append(documents.mapInArrow(run, "doc_id long, item_ids array<long>, overlap double"))
-    if n_blocks == 1:
+    if len(found) == 1:
         return found[0]
     # Rows of several blocks meet again by document: only those with leaks, beside one row each.
     hits = reduce(DataFrame.unionByName, (f.where(F.size("item_ids") > 0) for f in found))

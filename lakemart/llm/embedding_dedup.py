@@ -25,8 +25,9 @@ from lakemart.llm.components import components
 from lakemart.llm.tables import Scratch
 
 THRESHOLD = 0.9
-#: Vectors of a home block, the unit that is held in memory; and a bound on the pivots, which are sent out.
-BLOCK, MOST_PIVOTS = 4_096, 256
+#: Vectors of a home block, the unit that is held in memory, and of those that stream past it at once; and
+#: a bound on the pivots, which are sent out.
+BLOCK, AT_ONCE, MOST_PIVOTS = 16_384, 256, 256
 #: Rounding of distances and cosines: only widens the search, pairs this close are computed again.
 SLACK = 1e-9
 
@@ -227,8 +228,8 @@ def _join_cells(threshold: float):
                     continue
                 if not block.ids:
                     continue
-                for i in range(0, b - a, 1024):
-                    edges = block.meet(*(r[i : i + 1024] for r in rows))
+                for i in range(0, b - a, AT_ONCE):
+                    edges = block.meet(*(r[i : i + AT_ONCE] for r in rows))
                     if edges:
                         yield _result("link", edges)
         if block:

@@ -25,7 +25,7 @@ SHORT, SHORT_LEVEL = 512, 19
 #: A text is compressed in blocks, so that its own repetitions do not outweigh the dictionaries.
 BLOCK = 4_096
 #: Least share by which the runner-up must be larger than the winner.
-MARGIN = 0.01
+MARGIN = 0.005
 
 _LETTER = re.compile(r"[^\W\d_]")
 _NO_LETTERS = re.compile(r"[\W\d_]+")
@@ -124,3 +124,16 @@ def identify_languages(documents: DataFrame, dictionaries: dict[str, bytes]) ->
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         run, "doc_id long, lang_pred string, score double, rejected boolean"
     )
+
+
+def accepted(documents: DataFrame, dictionaries: dict[str, bytes]) -> DataFrame:
+    """The rows of ``documents`` (text) whose language is not rejected, with all their columns."""
+    model = documents.sparkSession.sparkContext.broadcast(tuple(dictionaries.items()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compressors = compressors_of(model.value)
+        for batch in batches:
+            rejected = [classify(t, compressors)[2] for t in batch.column("text").to_pylist()]
+            yield batch.filter(pa.array([not r for r in rejected], pa.bool_()))
+
+    return documents.mapInArrow(run, documents.schema)

@@ -60,8 +60,9 @@ def chunks(text: Column) -> Column:
     return _let(lines, cut)
 
 
-def dedup_lines(spark: SparkSession, documents: DataFrame) -> DataFrame:
-    """doc_id, text (without the removed chunks), n_chunks, removed (chunk numbers, ascending).
+def dedup_lines(spark: SparkSession, documents: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, text (without the removed chunks), n_chunks, removed (chunk numbers, ascending), and the
+    columns named in ``carry``.
 
     One row per row of ``documents`` (doc_id, text). A chunk of two lines or more that stands at an
     earlier place too (smaller doc_id, or same document and earlier chunk) is removed; its
@@ -70,7 +71,7 @@ def dedup_lines(spark: SparkSession, documents: DataFrame) -> DataFrame:
     chunks only becomes the empty text. Other columns are ignored.
     """
     scratch = Scratch(spark, "chunks")
-    documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *carry)
     placed = documents.where("doc_id is not null and text is not null").select(
         "doc_id", F.posexplode(chunks(F.col("text"))).alias("k", "chunk")
     ).where("chunk.n_lines > 1")
@@ -80,17 +81,20 @@ def dedup_lines(spark: SparkSession, documents: DataFrame) -> DataFrame:
     )
     # The texts of candidates only; the comparison of bytes is the equality of the grouping key.
     repeats = scratch.write(scratch.join_small(hashed, often, "h"), "repeats")
-    firsts = (
+    firsts = scratch.write(
         repeats.groupBy("h", "body")
         .agg(F.min(F.struct("doc_id", "k")).alias("first"), F.count(F.lit(1)).alias("n"))
         .where("n > 1")
+        .drop("n"),
+        "firsts",
     )
-    later = repeats.join(firsts, ["h", "body"]).where("doc_id <> first.doc_id or k <> first.k")
+    # A table of its own: the rows of a hot chunk are sent on as they stand, or split by the skew join.
+    later = scratch.join_small(repeats, firsts, ["h", "body"]).where("doc_id <> first.doc_id or k <> first.k")
     removed = scratch.write(
         later.groupBy("doc_id").agg(F.array_sort(F.collect_set("k")).alias("removed")), "removed"
     )
     parts = scratch.join_small(documents, removed, "doc_id", "left").select(
-        "doc_id", "text", chunks(F.col("text")).alias("chunks"), "removed"
+        "doc_id", "text", chunks(F.col("text")).alias("chunks"), "removed", *carry
     )
     left = F.array_except(F.sequence(F.lit(0), F.size("chunks") - 1), F.col("removed"))
     body = F.array_join(F.transform(left, lambda k: F.col("chunks")[k]["body"]), "\n")
@@ -99,4 +103,5 @@ def dedup_lines(spark: SparkSession, documents: DataFrame) -> DataFrame:
         F.when(F.col("removed").isNull(), F.col("text")).otherwise(body).alias("text"),
         F.when(F.col("text").isNull(), 0).otherwise(F.size("chunks")).alias("n_chunks"),
         F.coalesce("removed", F.array().cast("array<int>")).alias("removed"),
+        *carry,
     )

@@ -96,8 +96,8 @@ def dedup_units(
     digest = ["d1", "d2"]
     often = scratch.write(units.groupBy(digest).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(digest), "often")
     repeats = scratch.write(scratch.join_small(units, often, digest), "repeats")
-    firsts = repeats.groupBy(digest).agg(F.min(F.struct("doc_id", "start")).alias("first"))
-    later = repeats.join(firsts, digest).where("doc_id <> first.doc_id or start <> first.start")
+    firsts = scratch.write(repeats.groupBy(digest).agg(F.min(F.struct("doc_id", "start")).alias("first")), "firsts")
+    later = scratch.join_small(repeats, firsts, digest).where("doc_id <> first.doc_id or start <> first.start")
     spans = scratch.write(
         later.groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("removed")), "spans"
     )
