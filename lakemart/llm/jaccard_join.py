@@ -40,8 +40,8 @@ SHINGLE = 5
 NUMERATOR, DENOMINATOR = 8, 10
 #: Least number of groups; the larger size classes have more.
 LEAST_GROUPS = 64
-#: Entries of the ordering list, and of each task's contribution to it.
-FREQUENT, FREQUENT_PER_TASK = 65_536, 8_192
+#: Entries of the ordering list, and of each contribution to it, which covers so many shingles.
+FREQUENT, FREQUENT_PER_TASK, COUNTED_TOGETHER = 65_536, 8_192, 2_000_000
 #: Members that meet in one task: of a cell (points only) and of a group (whole sets).
 CELL_BLOCK, SET_BLOCK = 4_096, 1_024
 FANOUT = 16
@@ -96,19 +96,31 @@ def _unpacked(data: bytes, n: int, groups: int) -> np.ndarray:
 
 
 def _count_frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Shingles seen in several documents of a batch, the most frequent ones of each batch."""
-    for batch in batches:
-        found = [s for _, texts in slices(batch.column("text")) for s in _sets(texts)]
-        if not found:
-            continue
-        values, counts = np.unique(np.concatenate(found), return_counts=True)
+    """Shingles seen in several documents of COUNTED_TOGETHER shingles, the most frequent ones each time."""
+
+    def counted(found: list[np.ndarray]) -> pa.RecordBatch:
+        values = np.sort(np.concatenate(found))
+        starts = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1])))
+        counts = np.diff(np.append(starts, len(values)))
         often = np.flatnonzero(counts > 1)
         if len(often) > FREQUENT_PER_TASK:
             often = often[np.argpartition(-counts[often], FREQUENT_PER_TASK)[:FREQUENT_PER_TASK]]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(values[often].view(np.int64)), pa.array(counts[often], pa.int64())], ["h", "n"]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(values[starts[often]].view(np.int64)), pa.array(counts[often], pa.int64())], ["h", "n"]
         )
 
+    held, size = [], 0
+    for batch in batches:
+        for _, texts in slices(batch.column("text")):
+            for found in _sets(texts):
+                held.append(found)
+                size += len(found)
+            if size >= COUNTED_TOGETHER:
+                yield counted(held)
+                held, size = [], 0
+    if size:
+        yield counted(held)
+
 
 def _signatures(frequent: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def first_keys(found: np.ndarray) -> np.ndarray:
