@@ -1,0 +1,388 @@
+"""Edge cases of each operator on small hand-made frames."""
+
+import hashlib
+import random
+
+import numpy as np
+import pytest
+from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from lakemart.llm import bpe, embedding_dedup, jaccard_join, suffix_dedup, token_files
+from lakemart.llm.components import components
+from lakemart.llm.decontaminate import Item, clean_documents, find_leaks
+from lakemart.llm.language_id import accepted, identify_languages, learn
+from lakemart.llm.license_scan import known_licenses, scan_licenses
+from lakemart.llm.line_dedup import dedup_lines
+from lakemart.llm.queries import TOKENIZER
+from lakemart.llm.substring_dedup import dedup_units
+from lakemart.llm.suffix_array import suffix_array
+from lakemart.llm.tables import Scratch
+from tests_llm_helpers import groups, shingles
+
+WORDS = [f"word{i}" for i in range(400)]
+CLASHING = "doc_id long, text string, h long, n int, tag string, rep string, component string, k int, cell string, removed string, ids string, digest string"
+
+
+def text_of(seed, n, words=WORDS):
+    rng = random.Random(seed)
+    return " ".join(rng.choice(words) for _ in range(n))
+
+
+@pytest.fixture
+def docs(frame):
+    """Rows with columns that have the names of an operator's own."""
+
+    def make(*rows):
+        return frame(CLASHING, *((i, t, 1, 2, "a", None, "c", None, "d", "e", "f", None) for i, t in rows))
+
+    return make
+
+
+@pytest.fixture
+def odd(docs):
+    """Null and empty texts, white space, a missing id, a repeated row, and an id with two texts."""
+    long = text_of(1, 80)
+    return docs((1, long), (2, None), (3, ""), (4, " \n\t "), (None, long), (None, None), (5, long), (5, long), (6, "a"), (6, text_of(2, 60)))
+
+
+def as_rows(df, *columns):
+    return sorted((tuple(r) for r in df.select(*columns).collect()), key=repr)
+
+
+# op1
+
+
+@pytest.fixture
+def vectors(frame):
+    return lambda *rows: frame("vec_id long, embedding array<float>, label int, cell long, w int", *((i, v, 0, 1, 2) for i, v in rows))
+
+
+def test_embedding_edge_cases(spark, vectors):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, [1.0, 0.0]), (4, None), (5, [0.0, 0.0]), (6, [nan, 1.0]), (7, [inf, 1.0]),
+        (8, [1.0, None]), (9, []), (10, [1.0, 0.0, 0.0]), (11, [0.0, -1.0]), (None, [1.0, 0.0]), (12, [0.95, 0.3]),
+    ]
+    found = {r.vec_id: tuple(r)[1:] for r in embedding_dedup.embedding_groups(spark, vectors(*rows)).collect()}
+    assert len(found) == len(rows)
+    assert found[1] == (3, 1, True) and found[2] == (3, 1, False) and found[12] == (3, 1, False)
+    for alone in (4, 5, 6, 7, 8, 9, 10, 11):
+        assert found[alone] == (0, alone, True)
+    assert found[None][0] == 0
+
+
+def test_embedding_empty_and_threshold(spark, vectors):
+    assert embedding_dedup.embedding_groups(spark, vectors()).count() == 0
+    exact = [(1, [1.0, 0.0]), (2, [0.9, float(np.sqrt(1 - 0.81))])]
+    assert {r.n_links for r in embedding_dedup.embedding_groups(spark, vectors(*exact), threshold=0.899).collect()} == {1}
+    assert {r.n_links for r in embedding_dedup.embedding_groups(spark, vectors(*exact), threshold=0.901).collect()} == {0}
+
+
+def test_embedding_blocks_and_pivots_lose_no_link(spark, vectors, monkeypatch):
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(12, 6))
+    points = [c + rng.normal(size=6) * s for c in centres for s in (0.02, 0.2, 0.5) for _ in range(8)]
+    monkeypatch.setattr(embedding_dedup, "BLOCK", 16)
+    monkeypatch.setattr(embedding_dedup, "AT_ONCE", 7)
+    df = vectors(*((i, [float(np.float32(x)) for x in p]) for i, p in enumerate(points)))
+    found = {r.vec_id: r.n_links for r in embedding_dedup.embedding_groups(spark, df).collect()}
+    x = np.array(points, dtype=np.float32).astype(np.float64)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    want = ((x @ x.T) >= 0.9).sum(axis=1) - 1
+    assert [found[i] for i in range(len(points))] == want.tolist() and want.max() > 5
+
+
+# op2
+
+
+def test_jaccard_edge_cases(spark, odd):
+    found = as_rows(jaccard_join.jaccard_groups(spark, odd), "doc_id", "n_shingles", "component_id")
+    want = [(1, 76, 1), (2, 0, 2), (3, 0, 3), (4, 0, 4), (None, 76, None), (None, 0, None), (5, 76, 1), (5, 76, 1), (6, 1, 6), (6, 56, 6)]
+    assert found == sorted(want, key=repr)
+
+
+def test_jaccard_empty_table_and_short_texts(spark, docs):
+    assert jaccard_join.jaccard_groups(spark, docs()).count() == 0
+    found = as_rows(jaccard_join.jaccard_groups(spark, docs((1, "A b"), (2, "a  B"), (3, "a b c"), (4, "b a"))), "doc_id", "component_id")
+    assert found == [(1, 1), (2, 1), (3, 3), (4, 4)]
+
+
+def test_jaccard_blocks_and_classes_lose_no_link(spark, docs, monkeypatch):
+    """Near-copies of several sizes, a common line, and blocks far smaller than the groups."""
+    rng, rows = random.Random(9), []
+    line = " ".join(WORDS[:12])
+    for base in range(12):
+        words = text_of(base, rng.choice([30, 62, 130, 300])).split()
+        for _ in range(rng.choice([1, 4, 20])):
+            copy = list(words)
+            for _ in range(rng.randrange(1 + len(words) // 45)):
+                copy[rng.randrange(len(copy))] = f"x{rng.randrange(999)}"
+            rows.append((len(rows) + 1, f"{' '.join(copy)} {line}"))
+    for name in ("CELL_BLOCK", "SET_BLOCK"):
+        monkeypatch.setattr(jaccard_join, name, 3)
+    found = dict(as_rows(jaccard_join.jaccard_groups(spark, docs(*rows)), "doc_id", "component_id"))
+    assert found == groups({i: shingles(t) for i, t in rows})
+
+
+def test_jaccard_limit_is_included(spark, docs):
+    a = [f"w{i}" for i in range(22)]  # 18 shingles, 16 of them shared with 18: 16 / 20
+    b = a[:20] + ["x", "y"]
+    assert as_rows(jaccard_join.jaccard_groups(spark, docs((1, " ".join(a)), (2, " ".join(b)))), "component_id") == [(1,), (1,)]
+
+
+# op3
+
+
+def spans(df):
+    return {r.doc_id: [(s.start, s.end) for s in r.spans] for r in df.collect()}
+
+
+def test_suffix_edge_cases(spark, odd):
+    found = suffix_dedup.dedup_substrings(spark, odd).collect()
+    assert len(found) == 10
+    n = len(text_of(1, 80))
+    removed = sorted((r.doc_id or 0, r.n_bytes - len(r.kept)) for r in found)
+    assert removed == sorted([(1, 0), (2, 0), (3, 0), (4, 0), (0, 0), (0, 0), (5, n), (5, n), (6, 0), (6, 0)])
+
+
+def test_suffix_empty_and_repetitive(spark, docs):
+    assert suffix_dedup.dedup_substrings(spark, docs()).count() == 0
+    found = spans(suffix_dedup.dedup_substrings(spark, docs((1, "a" * 500), (2, "ab" * 60), (3, "a" * 99), (4, "é" * 60))))
+    assert found == {1: [(1, 500)], 2: [(2, 120)], 3: [], 4: [(2, 120)]}
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from([b"ab", b"a", b"abcdefg", b"xyzxyzw"]), st.integers(100, 400), st.integers(0, 9)), min_size=1, max_size=6))
+def test_repeated_spans_by_brute_force(parts):
+    texts = [bytes(random.Random(seed).choice(letters) for _ in range(n // 2)) * 2 for letters, n, seed in parts]
+    texts = [t for t in texts if len(t) >= 100]
+    found = suffix_dedup.repeated_spans([(i, 0, 0, t) for i, t in enumerate(texts)])
+    covered = [set() for _ in texts]
+    for i, _, start, end in found:
+        covered[i].update(range(start, end))
+    seen = set()
+    for i, t in enumerate(texts):
+        want = set()
+        for at in range(len(t) - 99):
+            if t[at : at + 100] in seen:
+                want.update(range(at, at + 100))
+            seen.add(t[at : at + 100])
+        assert covered[i] == want
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.sampled_from([1, 2, 3, 255]), min_size=1, max_size=200), st.sampled_from([8, 24, 100]))
+def test_suffix_array_is_sorted(values, depth):
+    data = bytes(values)
+    order = suffix_array(np.frombuffer(data, np.uint8), depth).tolist()
+    assert sorted(order) == list(range(len(data)))
+    assert [data[i : i + depth] for i in order] == sorted(data[i : i + depth] for i in order)
+
+
+# op4
+
+
+def test_license_forms(spark, docs):
+    mit = "Copyright (c) 2020 Someone\n\nPermission is hereby granted"
+    rows = docs(
+        (1, "Released under the MIT Licence!"), (2, "text\n * released under  the MIT license\nmore"), (3, None), (4, ""),
+        (5, "released under the MIT"), (6, "© X\nReleased under the MIT License."), (None, mit), (7, "same"), (7, "same"),
+    )
+    found = {r.doc_id: r for r in scan_licenses(rows, known_licenses(spark)).collect()}
+    assert found[1].license_id == found[6].license_id == "MIT"
+    assert found[2].license_id is None and found[2].notices == ["MIT"] and found[2].n_notices == 1
+    assert [found[i].license_id for i in (3, 4, 5, None)] == [None] * 4
+    assert found[3].canonical_sha256 == hashlib.sha256(b"").hexdigest() and found[7].n_rows == 2
+    assert scan_licenses(docs(), known_licenses(spark)).count() == 0
+
+
+def test_known_licenses_match_themselves(spark):
+    known = known_licenses(spark)
+    own = known.select(F.monotonically_increasing_id().alias("doc_id"), F.upper(F.regexp_replace("text", "\n", "  ")).alias("text"), "license_id")
+    found = {r.doc_id: r.license_id for r in scan_licenses(own, known).collect()}
+    assert all(found[r.doc_id] == r.license_id for r in own.collect())
+
+
+# op5, op6
+
+
+def test_units(spark, docs):
+    line = "one two three four five"
+    rows = docs((2, f"{line}\nown text of number two here"), (1, f"Own text first. {line.upper()}\nshort one"), (3, None), (4, ""), (None, line), (5, "short one"))
+    found = {r.doc_id: r for r in dedup_units(spark, rows).collect()}
+    assert found[2].text == "own text of number two here" and [(s.start, s.end) for s in found[2].removed] == [(0, 24)]
+    assert found[1].removed is None and found[None].text == line and found[5].text == "short one"
+    assert found[3].text is None and found[4].text == ""
+    assert dedup_units(spark, docs()).count() == 0
+
+
+def test_units_of_paragraphs(spark, docs):
+    part = "one two three\nfour five six"
+    found = {r.doc_id: r.text for r in dedup_units(spark, docs((1, f"{part}\n\nend of the first text here"), (2, f"start of the second text here\n\n{part}")), unit="paragraph").collect()}
+    assert found == {1: f"{part}\n\nend of the first text here", 2: "start of the second text here\n\n"}
+
+
+def test_line_chunks_survive_shifts(spark, docs):
+    block = "\n".join(text_of(k, 6) for k in range(40))
+    rows = docs((1, block), (2, f"a new first line\n{block}"), (3, None), (4, ""), (None, block), (5, "x"), (6, block), (6, block))
+    result = dedup_lines(spark, rows, carry=("tag",)).collect()
+    found = {r.doc_id: r for r in result}
+    assert len(result) == 8 and found[1].text == block and found[None].text == block
+    assert len(found[2].text) < len(block) / 2 and found[2].text.startswith("a new first line")
+    assert found[3].text is None and found[3].n_chunks == 0 and found[4].text == "" and found[5].tag == "a"
+    assert all(len(c.text) < len(block) / 4 for c in result if c.doc_id == 6)
+    assert dedup_lines(spark, docs()).count() == 0
+
+
+# op7
+
+
+def test_languages(spark, docs, frame):
+    english, other = "the and of that which there ".split(), "der und das nicht aber schon ".split()
+    labelled = frame("doc_id long, text string, lang string", *((i, text_of(i, 60, english if i % 2 else other), "en" if i % 2 else "de") for i in range(60)), (99, None, "fr"), (100, "x", None))
+    model = learn(spark, labelled)
+    assert list(model) == ["de", "en"]
+    rows = docs((1, "THE, AND of that"), (2, "und das nicht"), (3, None), (4, ""), (5, "12 34 !"), (None, "which there"), (6, "there " * 9000))
+    found = {r.doc_id: r for r in identify_languages(rows, model).collect()}
+    assert [found[i].lang_pred for i in (1, 2, 3, 4, 5, None, 6)] == ["en", "de", "und", "und", "und", "en", "en"]
+    assert found[3].score == 0 and found[3].rejected and not found[1].rejected
+    assert {r.doc_id for r in accepted(rows, model).collect()} == {1, 2, None, 6}
+    assert {r.lang_pred for r in identify_languages(rows, {}).collect()} == {"und"}
+    assert identify_languages(docs(), model).count() == 0
+
+
+# op8, op10
+
+
+LIBRARY = Tokenizer.from_file(TOKENIZER)
+PARTS = ["a", "the ", " ", "  ", "\n", "\t", "é", "日本", "<|endoftext|>", "'s", "12", "!?", "\x1c", "aaaa", "==", "😀", " ", " x"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(PARTS), max_size=60))
+def test_encoding_equals_the_library(parts):
+    coder, text = bpe.coder(TOKENIZER), "".join(parts)
+    before, bpe.LONG_UNIT = bpe.LONG_UNIT, 8
+    try:
+        found = coder.encode(text)
+    finally:
+        bpe.LONG_UNIT = before
+    ids = LIBRARY.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(found, "<u4").tolist() == ids
+    assert coder.decode(found) == LIBRARY.decode(ids, skip_special_tokens=False)
+
+
+def test_long_texts_in_pieces(spark, docs, monkeypatch):
+    monkeypatch.setattr(bpe, "PIECE", 300)
+    monkeypatch.setattr(bpe, "LONG_UNIT", 50)
+    rng = random.Random(4)
+    texts = [text_of(3, 900), "a" * 2000, "".join(rng.choice("abcde") for _ in range(3000)), "x  y" * 400 + "<|endoftext|>" * 30, "日本語" * 500, None, ""]
+    rows = [*enumerate(texts), (0, texts[0]), (None, texts[1])]
+    encoded = bpe.encode_documents(spark, docs(*rows), TOKENIZER)
+    found = sorted(((-1 if r.doc_id is None else r.doc_id), bytes(r.ids), r.text) for r in bpe.decode_documents(encoded, TOKENIZER).collect())
+    want = []
+    for i, t in rows:
+        ids = LIBRARY.encode(t or "", add_special_tokens=False).ids
+        want.append((-1 if i is None else i, np.array(ids, "<u4").tobytes(), t or ""))
+    assert found == sorted(want)
+    assert bpe.encode_documents(spark, docs(), TOKENIZER).count() == 0
+
+
+def test_token_files_edge_cases(spark, docs, tmp_path):
+    rows = [(7, text_of(1, 2000)), (3, None), (5, ""), (None, "none"), (9, "tie"), (9, "tie tie"), (1, "a")]
+    token_files.write_token_files(spark, docs(*rows), TOKENIZER, str(tmp_path / "files"))
+    found = sorted((r.start, r.doc_id, np.frombuffer(r.ids, "<u4").tolist()) for r in token_files.read_token_files(spark, str(tmp_path / "files")).collect())
+    start = 0
+    for (at, doc_id, ids), (want_id, text) in zip(found, [rows[3], rows[6], rows[1], rows[2], rows[0], rows[4], rows[5]]):
+        assert (at, doc_id, ids) == (start, want_id, [*LIBRARY.encode(text or "", add_special_tokens=False).ids, 0])
+        start += len(ids)
+    token_files.write_token_files(spark, docs(), TOKENIZER, str(tmp_path / "none"))
+    assert token_files.read_token_files(spark, str(tmp_path / "none")).count() == 0
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 60), min_size=1, max_size=3000), st.integers(1, 6))
+def test_huffman_round_trip(values, power):
+    ids = np.array(values) ** power % 5003
+    counts = np.bincount(ids, minlength=5003)
+    lengths = token_files.code_lengths(counts)
+    assert lengths.max() <= token_files.MAX_BITS and sum(2.0 ** -int(n) for n in lengths[lengths > 0]) <= 1
+    payload, points = token_files.pack(ids, token_files.canonical_codes(lengths), lengths)
+    runs = np.full(len(points), token_files.CHECKPOINT)
+    runs[-1] = len(ids) - token_files.CHECKPOINT * (len(points) - 1)
+    assert token_files.unpack(payload, points, runs, token_files.decoding_table(lengths)).tolist() == ids.tolist()
+
+
+def test_lengths_are_limited():
+    counts = np.array([2**k for k in range(40)])
+    lengths = token_files.code_lengths(counts, most=7)
+    assert lengths.max() == 7 and sum(2.0 ** -int(n) for n in lengths) == 1
+
+
+# op9
+
+
+def test_leaks(spark, docs, frame):
+    item = text_of(77, 40) + ". The answer is forty two."
+    words = item.split()
+    paraphrase = " ".join(f"new{i}" if i in (5, 13, 21, 30) else w for i, w in enumerate(words))
+    half = " ".join(words[:14]) + " " + text_of(5, 60)
+    rows = docs(
+        (1, f"{text_of(1, 200)} {item} {text_of(2, 100)}"), (2, f"{text_of(3, 150)} {paraphrase} {text_of(4, 90)}"),
+        (3, half), (4, None), (5, ""), (None, item.upper()), (6, text_of(6, 400)), (7, "tiny item here"),
+        *((i, text_of(i, 120)) for i in range(20, 60)),
+    )
+    benchmark = frame("item_id long, text string, doc_id string", (10, item, "x"), (11, None, "x"), (12, "", "x"), (13, "Tiny, item!", "x"), (None, item, "x"), (10, item, "x"))
+    found = {r.doc_id: r for r in find_leaks(spark, rows, benchmark).collect()}
+    assert found[1].item_ids == found[2].item_ids == found[None].item_ids == [10] and found[7].item_ids == [13]
+    assert all(not found[i].item_ids for i in (3, 4, 5, 6, *range(20, 60)))
+    assert found[1].overlap == 1.0 and 0.8 < found[2].overlap < 1
+    kept = {r.doc_id for r in clean_documents(spark, rows, benchmark).collect()}
+    assert kept == {3, 4, 5, 6, *range(20, 60)}
+    assert find_leaks(spark, docs(), benchmark).count() == 0
+    assert not [r for r in find_leaks(spark, rows, benchmark.where("item_id < 0")).collect() if r.item_ids]
+
+
+def test_leaks_in_blocks_of_items(spark, docs, frame, monkeypatch):
+    from lakemart.llm import decontaminate
+
+    items = [(i, text_of(100 + i, 30)) for i in range(9)]
+    rows = docs(*((i, f"{text_of(i, 40)} {t} {items[(i + 1) % 9][1]}") for i, t in items), (50, text_of(50, 90)))
+    monkeypatch.setattr(decontaminate, "ITEM_BLOCK", 2)
+    found = {r.doc_id: r.item_ids for r in find_leaks(spark, rows, frame("item_id long, text string", *items)).collect()}
+    assert found == {**{i: sorted([i, (i + 1) % 9]) for i in range(9)}, 50: []}
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.sampled_from("abcd"), min_size=1, max_size=12), st.lists(st.sampled_from("abcde"), max_size=20))
+def test_common_subsequence(item, region):
+    from lakemart.llm.hashing import NOT_ALNUM, words
+
+    found = Item(1, " ".join(item)).overlap(words([" ".join(region).encode()], NOT_ALNUM)[0].tolist())
+    table = [[0] * (len(region) + 1) for _ in range(len(item) + 1)]
+    for i, a in enumerate(item):
+        for j, b in enumerate(region):
+            table[i + 1][j + 1] = table[i][j] + 1 if a == b else max(table[i][j + 1], table[i + 1][j])
+    assert found == table[-1][-1]
+
+
+# shared
+
+
+def test_components(spark, frame):
+    rng = random.Random(2)
+    links = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(1000 + i, 1001 + i) for i in range(60)] + [(5000, 5000 + i) for i in range(40)]
+    found = dict(as_rows(components(frame("a long, b long", *links), Scratch(spark, "test")), "node", "component"))
+    parent = {}
+
+    def root(i):
+        while parent.setdefault(i, i) != i:
+            i = parent[i]
+        return i
+
+    for a, b in links:
+        a, b = sorted((root(a), root(b)))
+        parent[b] = a
+    assert found == {i: root(i) for i in parent if any(i in link and link[0] != link[1] for link in links)}

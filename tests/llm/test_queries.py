@@ -1,0 +1,126 @@
+"""The registered queries against SQL of DuckDB, or against plain Python where SQL cannot express them."""
+
+import glob
+import hashlib
+import os
+import zlib
+
+import duckdb
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+import __spark_entry__ as contract
+import corpus_pipeline
+from lakemart.llm.oracle import ORACLE_SQL
+from lakemart.llm.queries import REGISTRY, TOKENIZER
+from tests_llm_helpers import groups, shingles
+
+
+@pytest.fixture(scope="module")
+def duck(sf_dir):
+    con = duckdb.connect()
+    for path in glob.glob(f"{sf_dir}/*.parquet"):
+        con.execute(f"create view {os.path.basename(path)[:-8]} as select * from '{path}'")
+    return con
+
+
+def test_registered():
+    assert set(REGISTRY) | {"pipeline"} <= set(contract.queries())
+    assert set(ORACLE_SQL) <= set(contract.oracle_sql()) and set(ORACLE_SQL) <= set(REGISTRY)
+    numbers = sorted(int(name[2:].split("_")[0]) for name in REGISTRY)
+    assert numbers == list(range(1, 11))
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_matches_sql(name, spark, sf_dir, duck):
+    df = REGISTRY[name](spark, sf_dir)
+    columns = sorted(df.columns)
+    got = sorted(repr(tuple(r)) for r in df.select(columns).collect())
+    quoted = ", ".join(f'"{c}"' for c in columns)
+    want = sorted(repr(r) for r in duck.execute(f"select {quoted} from ({ORACLE_SQL[name]})").fetchall())
+    assert got == want and got
+
+
+def test_suffix_dedup(spark, sf_dir, duck):
+    rows = duck.execute("select doc_id, coalesce(text, '') from documents order by doc_id").fetchall()
+    assert sorted(tuple(r) for r in REGISTRY["op3_suffix_dedup"](spark, sf_dir).collect()) == brute_substrings(rows)
+
+
+def brute_substrings(rows):
+    seen, expected = set(), []
+    for doc_id, text in rows:
+        data = text.encode()
+        gone = bytearray(len(data))
+        for at in range(len(data) - 99):
+            piece = data[at : at + 100]
+            if piece in seen:
+                gone[at : at + 100] = b"\1" * 100
+            seen.add(piece)
+        spans = sum(gone[i] and not (i and gone[i - 1]) for i in range(len(data)))
+        kept = bytes(b for b, g in zip(data, gone) if not g)
+        expected.append((doc_id, len(data), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+    return expected
+
+
+def test_language_accuracy(spark, sf_dir, duck):
+    found = {r.doc_id: r for r in REGISTRY["op7_language_id"](spark, sf_dir).collect()}
+    rows = duck.execute("select doc_id, lang from documents").fetchall()
+    assert all(found[i].held_out == (zlib.crc32(str(i).encode()) % 4 == 2) for i, _ in rows)
+    held = [found[i].lang_pred == lang for i, lang in rows if found[i].held_out]
+    assert np.mean(held) >= 0.95
+    assert all(0 <= r.score <= 1 for r in found.values())
+
+
+def test_bpe_and_files(spark, sf_dir, duck):
+    library = Tokenizer.from_file(TOKENIZER)
+    encoded, filed, start = [], [], 0
+    for doc_id, text in duck.execute("select doc_id, coalesce(text, '') from documents order by doc_id").fetchall():
+        ids = library.encode(text, add_special_tokens=False).ids
+        data = np.array(ids, dtype="<u4").tobytes()
+        back = library.decode(ids, skip_special_tokens=False)
+        encoded.append((doc_id, len(ids), hashlib.sha256(data).hexdigest(), hashlib.sha256(back.encode()).hexdigest()))
+        filed.append((doc_id, start, len(ids) + 1, zlib.crc32(data + bytes(4))))
+        start += len(ids) + 1
+    assert sorted(tuple(r) for r in REGISTRY["op8_bpe"](spark, sf_dir).collect()) == encoded
+    assert sorted(tuple(r) for r in REGISTRY["op10_token_files"](spark, sf_dir).collect()) == filed
+
+
+def plain(text):
+    kept = "".join(c if ord(c) > 127 or c.isalnum() else " " for c in text)
+    return kept.lower().split()
+
+
+def test_decontamination_finds_whole_items(spark, sf_dir, duck):
+    items = [(i, f" {' '.join(plain(t))} ") for i, t in duck.execute("select * from benchmark").fetchall()]
+    rows = duck.execute("select doc_id, text from documents where text is not null").fetchall()
+    whole = {(d, i) for d, t in rows for i, item in items if item in f" {' '.join(plain(t))} "}
+    result = REGISTRY["op9_decontamination"](spark, sf_dir).collect()
+    found = {(r.doc_id, int(i)) for r in result if r.contaminated for i in r.item_ids.split(",")}
+    assert len(result) == duck.execute("select count(*) from documents").fetchone()[0]
+    assert whole <= found
+    for d, i in found - whole:  # anything more shares long runs of words with the item
+        text, item = plain(dict(rows)[d]), dict(items)[i].split()
+        runs = {tuple(text[k : k + 4]) for k in range(len(text))}
+        assert any(tuple(item[k : k + 4]) in runs for k in range(len(item) - 3))
+
+
+def test_pipeline_against_its_parts(spark, sf_dir, duck):
+    """Each stage against a plain version of its rule, on what the stage before kept."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = {}
+    for name, stage in corpus_pipeline.STAGES:
+        before, docs = docs, spark.createDataFrame(stage(spark, docs, sf_dir).toPandas())
+        rows[name] = {r.doc_id: r for r in docs.collect()}
+        if name != "encoding":
+            assert docs.columns == before.columns
+    languages, lines, copies, clean = (rows[n] for n, _ in corpus_pipeline.STAGES[:-1])
+    total = duck.execute("select count(*) from documents").fetchone()[0]
+    assert 0.95 * total <= len(languages) <= total
+    assert set(lines) <= set(languages) and all(r.text for r in lines.values())
+    sets = {i: shingles(r.text) for i, r in lines.items()}
+    assert set(copies) == {i for i, c in groups(sets).items() if i == c}
+    items = [f" {' '.join(plain(t))} " for _, t in duck.execute("select * from benchmark").fetchall()]
+    assert not [r for r in clean.values() if any(i in f" {' '.join(plain(r.text))} " for i in items)]
+    assert set(rows["encoding"]) == set(clean)
+    assert all(rows["encoding"][i].decoded_sha256 == hashlib.sha256(r.text.encode()).hexdigest() for i, r in clean.items())
