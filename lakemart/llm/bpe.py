@@ -29,8 +29,8 @@ from lakemart.llm.tables import Scratch
 LONG_UNIT = 4_096
 #: Characters of a document above which its pieces are encoded by different tasks.
 PIECE = 65_536
-#: Distinct units that a task remembers; when full it forgets them all.
-REMEMBERED = 250_000
+#: Distinct units of one generation; a task remembers the present and the last one.
+REMEMBERED = 350_000
 
 _IRREGULAR = re.compile(r"\s |^ | \s| $")
 _CUT = re.compile(r"(?<=\S)(?= \S)")
@@ -68,6 +68,7 @@ class Coder:
         ]
         self._lengths = np.array([len(b) for b in self._bytes])
         self._spaced: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
 
     def _library_ids(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
@@ -125,14 +126,15 @@ class Coder:
         first, *rest = text.split(" ")
         found = list(map(self._spaced.get, rest))
         if None in found:
-            missing = [w for w, f in zip(rest, found) if f is None]
-            new = self._units_ids(list(dict.fromkeys(w for w in missing if len(w) < LONG_UNIT)))
+            missing = dict.fromkeys(w for w, f in zip(rest, found) if f is None)
+            new = {w: ids for w in missing if (ids := self._older.get(w)) is not None}
+            new.update(self._units_ids([w for w in missing if w not in new and len(w) < LONG_UNIT]))
             for w in missing:
                 if w not in new:
                     new[w] = self._long_ids(f" {w}")
             found = [new[w] if f is None else f for w, f in zip(rest, found)]
             if len(self._spaced) + len(new) > REMEMBERED:
-                self._spaced.clear()
+                self._older, self._spaced = self._spaced, {}
             self._spaced.update((w, ids) for w, ids in new.items() if len(w) < 64)
         head = self._long_ids(first) if len(first) > LONG_UNIT else self._library_ids([first])[0]
         return b"".join([head, *found])

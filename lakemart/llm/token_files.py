@@ -246,9 +246,7 @@ def write_token_files(spark: SparkSession, documents: DataFrame, tokenizer: str,
 def _decode(lengths: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = decoding_table(lengths)
-        schema = pa.schema(
-            [("part", pa.int32()), ("block", pa.int64()), ("at", pa.int64()), ("doc_id", pa.int64()), ("ids", pa.binary())]
-        )
+        schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("ids", pa.binary())])
 
         def decoded(blocks: list[dict]) -> Iterator[tuple]:
             counts = [np.asarray(b["n_tokens"]) for b in blocks]
@@ -261,11 +259,11 @@ def _decode(lengths: np.ndarray):
             ids = unpack(b"".join(b["payload"] for b in blocks), offsets, sizes, table).astype("<u4").tobytes()
             at = 0
             for b, count in zip(blocks, counts):
-                first = 0
+                start = b["block_start"]
                 for doc_id, n in zip(b["doc_ids"], count.tolist()):
-                    yield b["part"], b["block"], first, doc_id, ids[at : at + 4 * n]
+                    yield doc_id, start, ids[at : at + 4 * n]
                     at += 4 * n
-                    first += n
+                    start += n
 
         def rows() -> Iterator[tuple]:
             held, size = [], 0
@@ -279,7 +277,7 @@ def _decode(lengths: np.ndarray):
             if held:
                 yield from decoded(held)
 
-        yield from in_chunks(rows(), schema, lambda r: len(r[4]) + 32)
+        yield from in_chunks(rows(), schema, lambda r: len(r[2]) + 32)
 
     return run
 
@@ -302,7 +300,9 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
         .join(parts, "part")
         .select("part", "block", (F.col("part_start") + F.col("block_start")).alias("block_start"))
     )
-    decoded = blocks.mapInArrow(_decode(lengths), "part int, block long, at long, doc_id long, ids binary")
-    return decoded.join(starts, ["part", "block"]).select(
-        "doc_id", (F.col("block_start") + F.col("at")).alias("start"), "ids"
+    # Where each block starts travels with its coded bytes, not with the ids of its documents.
+    scratch = Scratch(spark, "token-starts")
+    placed = scratch.join_small(blocks, scratch.write(starts, "starts"), ["part", "block"])
+    return placed.select("block_start", "doc_ids", "n_tokens", "checkpoints", "payload").mapInArrow(
+        _decode(lengths), "doc_id long, start long, ids binary"
     )
