@@ -281,6 +281,7 @@ def dedup_substrings(spark: SparkSession, documents: DataFrame) -> DataFrame:
     )
     weight = F.when(F.col("twice"), 2).otherwise(1)
     often = scratch.write(segments.groupBy("h").agg(F.sum(weight).alias("c")).where("c > 1").select("h"), "often")
+    scratch.release()
     wanted = scratch.write(
         scratch.join_small(segments, often, "h")
         .groupBy("doc_id", "tag")
@@ -288,16 +289,22 @@ def dedup_substrings(spark: SparkSession, documents: DataFrame) -> DataFrame:
         "wanted",
     )
     scratch.drop(segments)
+    scratch.release()
     cut = scratch.join_small(tagged, wanted, ["doc_id", "tag"]).select("doc_id", "tag", "text", "wanted")
     cut = scratch.write(
-        cut.mapInArrow(_cut_segments, "h long, d1 long, d2 long, doc_id long, tag long, first long, data binary"), "bytes"
+        cut.mapInArrow(_cut_segments, "h long, d1 long, d2 long, doc_id long, tag long, first long, data binary"),
+        "bytes",
+        compression="zstd",
     )
+    scratch.drop(wanted)
+    scratch.release()
     # All copies of a segment but the earliest are covered; the earliest meet by key.
     place = F.struct("doc_id", "tag", "first")
     copied = scratch.write(
         cut.groupBy("h", "d1", "d2").agg(F.min(place).alias("place"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c"),
         "copied",
     )
+    scratch.release()
     placed = scratch.join_small(cut, copied, ["h", "d1", "d2"], "left").withColumn(
         "later", F.coalesce(place != F.col("place"), F.lit(False))
     )
@@ -314,6 +321,8 @@ def dedup_substrings(spark: SparkSession, documents: DataFrame) -> DataFrame:
     spans = scratch.write(
         later.unionByName(found).groupBy("doc_id", "tag").agg(F.collect_set(F.struct("start", "end")).alias("spans")), "spans"
     )
+    scratch.drop(cut)
+    scratch.release()
     tags = documents.withColumn("tag", F.xxhash64("text"))
     return scratch.join_small(tags, spans, ["doc_id", "tag"], "left").select("doc_id", "text", "spans").mapInArrow(
         _without, "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary"

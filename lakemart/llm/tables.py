@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession
 
 from lakemart.session import folder_bytes, scratch_path
@@ -34,6 +36,14 @@ class Scratch:
             path = jvm.org.apache.hadoop.fs.Path(folder)
             path.getFileSystem(conf).delete(path, True)
 
+    def release(self) -> None:
+        """Have Spark delete the shuffle files of finished jobs now, not when the driver next runs out of heap.
+
+        It deletes them once their plans are garbage; steps that each shuffle much would else add up on disk.
+        """
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
     def join_small(self, big: DataFrame, table: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
         """Join to a written table, sent to every executor only if its files are small."""
         folders = {f.rsplit("/", 1)[0] for f in table.inputFiles()}
