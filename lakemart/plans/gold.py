@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lakemart.functions.dates import calendar_columns, calendar_days, elapsed_days
 from lakemart.functions.money import allocated_payment, gross_revenue
 from lakemart.functions.text import or_unknown
+from lakemart.operators.dedup import dedup
 from lakemart.operators.aggregates import order_total, payment_total
 from lakemart.operators.joins import HOT_ROWS, join_spread
 from lakemart.operators.reviews import latest_review
@@ -18,8 +19,13 @@ DAY_COUNTS = {"calendar": calendar_days, "elapsed": elapsed_days}
 def dim_product(
     products: DataFrame, catalogue: DataFrame, run_date: str | Column | None = None
 ) -> DataFrame:
-    """One current row per product, with its catalogue attributes where it has any."""
-    attributes = catalogue.select("product_id", "product_category_en", "tags", "margin_pct")
+    """One current row per product, with its catalogue attributes where it has any.
+
+    A product that the catalogue lists more than once gets one of its documents, the same in every run.
+    """
+    attributes = dedup(
+        catalogue.select("product_id", "product_category_en", "tags", "margin_pct"), ["product_id"]
+    )
     enriched = products.join(attributes, "product_id", "left").select(
         "product_id",
         "product_category_name",

@@ -44,9 +44,14 @@ def top_k(df: DataFrame, measure: str, tie_break: str, k: int) -> DataFrame:
     return df.orderBy(F.col(measure).desc_nulls_last(), F.col(tie_break).asc_nulls_last()).limit(k)
 
 
+def current(product: DataFrame) -> DataFrame:
+    """The products as they are now: one row each, of all the versions a history holds."""
+    return product.where("is_current") if "is_current" in product.columns else product
+
+
 def sales_by_category(fact: DataFrame, product: DataFrame) -> DataFrame:
-    """Revenue in cents and items sold per English category."""
-    categories = product.select("product_id", "product_category_en")
+    """Revenue in cents and items sold per current English category."""
+    categories = current(product).select("product_id", "product_category_en")
     return (
         sales_by_product(fact)
         .join(categories, "product_id")

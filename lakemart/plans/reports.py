@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from lakemart.functions.dates import iso_month
 from lakemart.functions.money import amount, weighted_amount, weighted_steps
 from lakemart.operators.aggregates import sales_by_product
-from lakemart.plans.marts import count_new_and_returning, customer_days, customer_ltv, sales_by_category
+from lakemart.plans.marts import count_new_and_returning, current, customer_days, customer_ltv, sales_by_category
 
 SCORES = (1, 2, 3, 4, 5)
 
@@ -47,7 +47,7 @@ def margin_waterfall(fact: DataFrame, product: DataFrame) -> DataFrame:
     The running total is over the category names of the translation table, a closed
     vocabulary of a few dozen, so its single window group does not grow with the data.
     """
-    priced = product.select("product_id", "product_category_en", "margin_pct")
+    priced = current(product).select("product_id", "product_category_en", "margin_pct")
     margins = (
         sales_by_product(fact)
         .join(priced, "product_id")
@@ -80,7 +80,7 @@ def tag_cloud(fact: DataFrame, product: DataFrame) -> DataFrame:
     """Items sold and products sold per tag."""
     return (
         sales_by_product(fact)
-        .join(product.select("product_id", "tags"), "product_id")
+        .join(current(product).select("product_id", "tags"), "product_id")
         .select("product_id", "items_sold", F.explode("tags").alias("tag"))
         .groupBy("tag")
         .agg(F.sum("items_sold").alias("items_sold"), F.count_distinct("product_id").alias("products"))
