@@ -12,10 +12,8 @@ from pyspark.sql import SparkSession
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 
-# Input bytes per shuffle partition, and the most partitions a shuffle may have: every map task
-# keeps one block per partition, so more of them cost more than larger, spilling ones.
+# Input bytes per shuffle partition, at every size of the input.
 BYTES_PER_PARTITION = 256 * 1024**2
-MAX_PARTITIONS = 50_000
 
 _local_scratch: dict[str, str] = {}
 
@@ -56,8 +54,7 @@ def folder_bytes(spark: SparkSession, *paths: str) -> int:
 
 def shuffle_partitions_for(input_bytes: int, at_least: int) -> int:
     """Partitions for a shuffle of that much input: never fewer than configured."""
-    wanted = -(-input_bytes // BYTES_PER_PARTITION)
-    return max(at_least, min(MAX_PARTITIONS, wanted))
+    return max(at_least, -(-input_bytes // BYTES_PER_PARTITION))
 
 
 @contextmanager

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation, functions as F
 from lakemart.functions.money import MONEY
 from lakemart.functions.text import flat_tags
 from lakemart.sinks.layout import zorder
+from lakemart.sources.tables import PENDING, VERSION
 
 
 def write_table(
@@ -18,12 +19,15 @@ def write_table(
     partition_by: str | None = None,
     zorder_by: Sequence[str] = (),
     metrics: dict[str, Column] | None = None,
+    publish: bool = True,
 ) -> dict[str, object]:
     """Replace a table, schema included, and return counts taken during the write.
 
     Each write goes to a version folder of its own, and readers use the newest one that is
     complete: they never see a half-written table, and a job may rewrite what it reads.
-    The row count is observed on the way, so nothing is computed a second time for it.
+    The row count is observed on the way, so nothing is computed a second time for it. With
+    ``publish=False`` the version waits, unseen by readers, for ``sources.tables.publish``; its
+    name is then among the counts.
     """
     version = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
     seen = Observation()
@@ -32,7 +36,10 @@ def write_table(
     writer = arranged.observe(seen, *[c.alias(n) for n, c in counts.items()]).write
     if partition_by is not None:
         writer = writer.partitionBy(partition_by)
-    writer.parquet(f"{path}/version={version}")
+    if not publish:
+        writer.parquet(f"{path}/{PENDING}{version}")
+        return {**seen.get, "pending": f"{PENDING}{version}"}
+    writer.parquet(f"{path}/{VERSION}{version}")
     return seen.get
 
 

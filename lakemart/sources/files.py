@@ -26,7 +26,7 @@ def read_csv(spark: SparkSession, path: str, ddl: str, multi_line: bool = False)
 def read_csv_text(spark: SparkSession, path: str, ddl: str, multi_line: bool = False) -> DataFrame:
     """The same file with every cell as text, plus the raw line where cells are missing or left over.
 
-    Column pruning is off, so the answer does not depend on which columns a query selects.
+    The header must carry the schema's names in order, as in ``read_csv``. Column pruning is off, so the answer does not depend on which columns a query selects.
     """
     names = StructType.fromDDL(ddl).fieldNames()
     text = ", ".join(f"`{n}` string" for n in names)
@@ -37,7 +37,7 @@ def read_csv_text(spark: SparkSession, path: str, ddl: str, multi_line: bool = F
             quote='"',
             escape='"',
             multiLine=multi_line,
-            enforceSchema=True,
+            enforceSchema=False,
             columnPruning=False,
             columnNameOfCorruptRecord=CORRUPT,
         )

@@ -9,6 +9,9 @@ from pyspark.sql.types import StructType
 
 LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 
+# How folders of published versions, and of those that wait, begin.
+VERSION, PENDING = "version=", "pending="
+
 # View names that reports query.
 TABLE_VIEWS = {
     "fact_sales": "v_fact_sales",
@@ -37,10 +40,24 @@ def versions(spark: SparkSession, path: str) -> list[str]:
         return []
     names = [s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory()]
     return sorted(
-        n for n in names if n.startswith("version=") and path_exists(spark, f"{path}/{n}/_SUCCESS")
+        n for n in names if n.startswith(VERSION) and path_exists(spark, f"{path}/{n}/_SUCCESS")
     )
 
 
+def publish(spark: SparkSession, path: str, pending: str) -> None:
+    """Make a version that waits the current one."""
+    fs, source = _hadoop(spark, f"{path}/{pending}")
+    _, target = _hadoop(spark, f"{path}/{pending.replace(PENDING, VERSION)}")
+    if not fs.rename(source, target):
+        raise OSError(f"could not publish {path}/{pending}")
+
+
+def current_folder(spark: SparkSession, path: str) -> str | None:
+    """The folder of the newest completed version."""
+    done = versions(spark, path)
+    return f"{path}/{done[-1]}" if done else None
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     """Delete an intermediate table that is no longer needed."""
     fs, folder = _hadoop(spark, path)
