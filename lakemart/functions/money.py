@@ -11,9 +11,11 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 CENTS = 100.0
-SHARE_STEPS = 1000.0
+# Shares are exact up to nine places.
+SHARE_STEPS = 1e9
 MONEY = "decimal(18,2)"
-WIDE = "decimal(20,0)"
+WIDE = "decimal(19,0)"
+SHARES = "decimal(11,0)"
 
 
 def _whole(column: str | Column, steps: float) -> Column:
@@ -42,16 +44,16 @@ def money_sum(value: str | Column) -> Column:
 
 
 def weighted_steps(cents_value: Column, share: str) -> Column:
-    """Sum of cents x share in thousandths of a cent; rows without a share are skipped.
+    """Sum of cents x share in billionths of a cent; rows without a share are skipped.
 
-    The products outgrow 64 bits sooner than plain sums do, so these are added as wide decimals.
+    The products outgrow 64 bits, so they are made and added as wide decimals.
     """
-    return F.sum((cents_value * _whole(share, SHARE_STEPS)).cast(WIDE))
+    return F.sum(cents_value.cast(WIDE) * _whole(share, SHARE_STEPS).cast(SHARES))
 
 
 def weighted_amount(steps: str | Column) -> Column:
     value = F.col(steps) if isinstance(steps, str) else steps
-    return value.cast("double") / (CENTS * SHARE_STEPS)
+    return (value / F.lit(CENTS * SHARE_STEPS).cast(WIDE)).cast("double")
 
 
 def weighted_sum(value: str, share: str) -> Column:

@@ -6,57 +6,52 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+# Ranges per column are two to this many; the range bounds come from a sample of so many rows per range.
 BITS = 8
-RANGES = 1 << BITS
-ACCURACY = 10_000
+SAMPLED_PER_RANGE = 64
 
 
-def _position(column: str, kind: str) -> Column:
-    """A number that sorts like the column, near enough to cut it into ranges."""
-    if kind == "string":
-        head = F.rpad(F.substring(F.col(column).cast("binary"), 1, 6), 6, F.lit(b"\x00"))
-        return F.conv(F.hex(head), 16, 10).cast("bigint")
-    return F.col(column).cast("double")
-
-
-def range_cuts(df: DataFrame, positions: dict[str, Column]) -> dict[str, list[float]]:
+def range_cuts(df: DataFrame, columns: Sequence[str], bits: int) -> dict[str, list]:
     """The bounds that cut each column into ranges of about equal row count.
 
-    One pass with a sketch of fixed size per task. Only the bounds come to the driver: 255
-    numbers per column, whatever the size of the table.
+    They are quantiles of whole values, of any type that has an order, over the rows first in order of a hash: a
+    bounded sample, which steers where rows lie and nothing else. Missing values are left out.
     """
-    shares = [i / RANGES for i in range(1, RANGES)]
-    sketches = [F.percentile_approx(p, shares, ACCURACY).alias(c) for c, p in positions.items()]
-    return {c: cuts or [0] * len(shares) for c, cuts in df.agg(*sketches).first().asDict().items()}
+    n = 1 << bits
+    sample = df.orderBy(F.xxhash64(*df.columns)).limit(n * SAMPLED_PER_RANGE).select(*columns).collect()
+    cuts = {}
+    for c in columns:
+        values = sorted(row[c] for row in sample if row[c] is not None)
+        cuts[c] = [values[i * len(values) // n] for i in range(1, n)] if values else []
+    return cuts
 
 
-def _locate(df: DataFrame, positions: dict[str, Column], cuts: dict[str, list[float]]) -> DataFrame:
-    """Adds ``_z_<column>``: how many cuts lie at or below the position, missing ones first.
+def _locate(df: DataFrame, cuts: dict[str, list], bits: int) -> DataFrame:
+    """Adds ``_z_<column>``: how many cuts lie at or below the value, missing ones first.
 
-    Found by halving the ranges, one projection per level: eight comparisons per column, all
+    Found by halving the ranges, one projection per level: a comparison per bit and column, all
     in generated code, where a lambda over the bounds would be interpreted row by row.
     """
-    bounds = {c: F.expr(f"array({', '.join(map(str, cuts[c]))})") for c in positions}
-    located = df.withColumns({f"_at_{c}": p for c, p in positions.items()})
-    located = located.withColumns({f"_z_{c}": F.lit(0) for c in positions})
-    for level in range(BITS):
-        step = RANGES >> (level + 1)
+    kinds = dict(df.dtypes)
+    bounds = {c: F.array(*[F.lit(v).cast(kinds[c]) for v in values]) for c, values in cuts.items()}
+    located = df.withColumns({f"_z_{c}": F.lit(0) for c in cuts})
+    for level in range(bits):
+        step = 1 << (bits - level - 1)
         located = located.withColumns(
             {
                 f"_z_{c}": F.col(f"_z_{c}")
-                + F.when(
-                    F.get(bounds[c], F.col(f"_z_{c}") + (step - 1)) <= F.col(f"_at_{c}"), step
-                ).otherwise(0)
-                for c in positions
+                + F.when(F.get(bounds[c], F.col(f"_z_{c}") + (step - 1)) <= F.col(c), step).otherwise(0)
+                for c in cuts
+                if cuts[c]
             }
         )
     return located
 
 
-def _interleave(buckets: Sequence[Column]) -> Column:
+def _interleave(buckets: Sequence[Column], bits: int) -> Column:
     """Bits of the buckets in turn, highest first."""
     z = F.lit(0).cast("bigint")
-    for bit in range(BITS):
+    for bit in range(bits):
         for place, bucket in enumerate(reversed(buckets)):
             one = F.shiftright(bucket, bit).bitwiseAND(F.lit(1)).cast("bigint")
             z = z.bitwiseOR(F.shiftleft(one, bit * len(buckets) + place))
@@ -64,23 +59,26 @@ def _interleave(buckets: Sequence[Column]) -> Column:
 
 
 def zorder(
-    df: DataFrame, columns: Sequence[str], files: int | None = None, within: Sequence[str] = ()
+    df: DataFrame,
+    columns: Sequence[str],
+    files: int | None = None,
+    within: Sequence[str] = (),
+    bits: int = BITS,
 ) -> DataFrame:
     """The same rows, range-partitioned so that rows close in all of ``columns`` share files.
 
-    Each column is cut into 256 ranges of about equal row count, and the bits of a row's
-    ranges are interleaved. A hash of the row follows the curve value in the range
+    Each column is cut into 2^bits ranges of about equal row count, and the bits of a row's
+    ranges are interleaved; tables of more files than 2^(bits x columns) want more bits. A hash of the row follows the curve value in the range
     partitioning, so many rows with equal columns still spread over files.
 
     ``within`` names partition columns of the write that follows: rows are ranged by them
     first, so a large partition value is split over tasks and small ones share one.
     """
-    kinds = dict(df.dtypes)
-    positions = {c: _position(c, kinds[c]) for c in columns}
-    cuts = range_cuts(df, positions)
-    located = _locate(df, positions, cuts)
+    if bits * len(columns) > 63:
+        raise ValueError(f"{bits} bits for each of {len(columns)} columns do not fit 63")
+    located = _locate(df, range_cuts(df, columns, bits), bits)
     buckets = [F.col(f"_z_{c}") for c in columns]
-    keyed = located.withColumns({"_z": _interleave(buckets), "_row": F.xxhash64(*df.columns)})
+    keyed = located.withColumns({"_z": _interleave(buckets, bits), "_row": F.xxhash64(*df.columns)})
     by = [*within, "_z", "_row"]
     ranged = keyed.repartitionByRange(files, *by) if files else keyed.repartitionByRange(*by)
     return ranged.sortWithinPartitions(*by).select(*df.columns)
