@@ -34,7 +34,7 @@ from (select *, row_number() over (partition by order_id, order_item_id
    order by shipping_limit_date desc nulls last, product_id, seller_id, price, freight_value) as rn from fx_order_items_raw) t
 where rn = 1""",
     "fx_customers": """
-select cast(c_custkey as string) as customer_id, cast(c_custkey % 500 as string) as customer_unique_id, c_name as customer_city,
+select cast(c_custkey as string) as customer_id, cast(cast(floor(c_custkey / 3) as bigint) as string) as customer_unique_id, c_name as customer_city,
  case when c_custkey % 71 = 0 then null else n_name end as customer_state
 from customer join nation on n_nationkey = c_nationkey""",
     "fx_sellers": """
@@ -299,9 +299,20 @@ where regexp_matches(cast(order_date as string), '^\\d{4}-\\d{2}') group by 1"""
     "is_weekend": "select date_key, is_weekend from dim_date",
     "category_tags": "select product_id, category_en, array_to_string(tags, ',') as tags from catalogue_all",
     "catalogue_build": CATALOGUE_FLAT + "catalogue_all",
+    "top_categories_with_history": f"""
+select coalesce(c.category_en, 'unknown') as category, cast(sum(cast(f.gross_revenue as decimal(18,2))) as double) as revenue,
+ count(f.order_item_id) as items_sold
+from fact f join fx_products p on p.product_id = f.product_id left join catalogue_next c on c.product_id = p.product_id
+where coalesce(c.category_en, 'unknown') <> 'unknown' group by 1 order by 2 desc, 1 limit 10""",
+    "silver_missing_keys": """
+select case when cast(customer_id as bigint) % 10 <> 0 then customer_id end as customer_id, customer_unique_id,
+ customer_city, customer_state, cast(customer_id as bigint) % 10 <> 0 as stored from fx_customers""",
+    "silver_merge_since": """
+select customer_id, customer_unique_id, case when cast(customer_id as bigint) % 3 = 0 then 'moved' else customer_city end
+ as customer_city, customer_state from fx_customers""",
     "limit_bounds": """
 select product_category_en as category, cast(revenue as double) as revenue, items_sold from sales_by_category
-where product_category_en <> 'unknown' order by revenue desc, category limit 50""",
+where product_category_en <> 'unknown' order by revenue desc, category limit 3""",
     # joins
     "join_product_catalogue": """
 select product_id, product_category_name, product_category_en, array_to_string(tags, ',') as tags, margin_pct,
@@ -495,7 +506,7 @@ union all select 'items above floor', count(*) > 0, cast(count(*) as double) fro
 union all select 'score within 0..5', avg(review_score) between 0 and 5, cast(avg(review_score) as double) from fact
 union all select 'rows without gross revenue', count(*) filter (where gross_revenue is null) = 0, cast(count(*) filter (where gross_revenue is null) as double) from fact
 union all select 'products in dimension', count(*) = (select count(*) from fx_products), cast(count(*) as double) from dim_product
-union all select 'loaded orders without sales', count(*) >= 0, cast(count(*) as double) from fx_orders o where o.order_id not in (select order_id from fact)""",
+union all select 'loaded orders without sales', count(*) <= (select count(*) / 20.0 from fx_orders), cast(count(*) as double) from fx_orders o where o.order_id not in (select order_id from fact)""",
     "quarantine_bad_rows": """
 select order_id, order_item_id, concat_ws(',', r1, r2) as reasons from bad_cells where r1 is not null or r2 is not null""",
     "quarantine_good_rows": """

@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lakemart.operators.quality import GateError
+from lakemart.plans import gold, marts, reports
+from lakemart.plans.silver import csv_to_silver
 from lakemart.plans.jobs import bronze_to_silver, read_star, silver_to_gold, write_all
 from lakemart.schemas import SILVER
 from lakemart.session import (
-    MAX_PARTITIONS,
+    BYTES_PER_PARTITION,
     SHUFFLE_PARTITIONS,
     folder_bytes,
     shared_dir,
@@ -82,6 +84,56 @@ def test_daily_jobs(spark, sf_dir, lakehouse_dir):
     )
 
 
+def test_marts_count_a_sale_once_with_history(spark, lakehouse_dir):
+    star = read_star(spark, f"{lakehouse_dir}/gold")
+    fact, product = star["fact_sales"], star["dim_product"]
+    assert product.where("not is_current").count() > 0
+    total = marts.kpis(fact, star["dim_customer"], product, star["dim_seller"]).first().total_revenue
+    shares = reports.category_share(fact, product).agg(F.sum("revenue")).first()[0]
+    assert shares == pytest.approx(total)
+    assert reports.tag_cloud(fact, product).agg(F.max("items_sold")).first()[0] <= fact.count()
+    assert marts.revenue_by_category(fact, product, 50).agg(F.sum("items_sold")).first()[0] == fact.count()
+
+
+def test_refused_run_leaves_the_tables(spark, tmp_path, frame):
+    bronze, silver = f"{tmp_path}/bronze", f"{tmp_path}/silver"
+    for name, spec in SILVER.items():
+        rows = spark.createDataFrame([], spec.ddl)
+        if name == "orders":
+            rows = pinned(frame("order_id string", ("a",)), "orders")
+        land_csv(rows, bronze, name, "2024-01-01")
+    bronze_to_silver(spark, bronze, silver)
+    with pytest.raises(GateError):
+        bronze_to_silver(spark, bronze, silver, order_floor=5)
+    assert [r.order_id for r in read_table(spark, f"{silver}/orders").collect()] == ["a"]
+    assert not [n for n in os.listdir(f"{silver}/orders") if n.startswith("pending=")]
+
+
+def test_rows_without_key_are_diverted(spark, tmp_path, frame):
+    spec, bronze = SILVER["customers"], f"{tmp_path}/bronze"
+    rows = frame("customer_id string, customer_city string", ("1", "x"), (None, "y"), (None, "z"), ("2", "x"))
+    land_csv(pinned(rows, "customers"), bronze, "customers", "2024-01-01")
+    for quarantine, folder in ((None, f"{tmp_path}/a/_refused"), (f"{tmp_path}/q", f"{tmp_path}/q")):
+        counts = csv_to_silver(spark, spec, bronze, f"{tmp_path}/a", quarantine)
+        assert (counts["rows"], counts["refused"]) == (2, 2)
+        assert {r.customer_city for r in read_table(spark, f"{folder}/customers").collect()} == {"y", "z"}
+
+
+def test_since_merges_into_the_table(spark, tmp_path, frame, rows_of):
+    spec, bronze, silver = SILVER["customers"], f"{tmp_path}/bronze", f"{tmp_path}/silver"
+    for day, rows in (("2024-01-01", [("1", "old"), ("2", "old")]), ("2024-01-02", [("2", "new"), ("3", "new")])):
+        land_csv(pinned(frame("customer_id string, customer_city string", *rows), "customers"), bronze, "customers", day)
+        csv_to_silver(spark, spec, bronze, silver, since=day)
+    table = read_table(spark, f"{silver}/customers").select("customer_id", "customer_city")
+    assert rows_of(table) == [("1", "old"), ("2", "new"), ("3", "new")]
+
+
+def test_repeated_catalogue_entries_do_not_multiply_products(spark, frame):
+    products = frame("product_id string, product_category_name string, product_weight_g double", ("1", "a", 1.0))
+    catalogue = frame("product_id string, product_category_en string, tags array<string>, margin_pct double", ("1", "x", ["t"], 0.1), ("1", "y", None, 0.2))
+    assert gold.dim_product(products, catalogue, "2024-01-01").count() == 1
+
+
 def test_run_without_orders_fails(spark, tmp_path):
     for name, spec in SILVER.items():
         land_csv(spark.createDataFrame([], spec.ddl), f"{tmp_path}/bronze", name, "2024-01-01")
@@ -97,8 +149,8 @@ def test_shared_dir_is_the_one_the_session_names(spark):
 def test_shuffles_grow_with_the_input(spark, tmp_path):
     assert shuffle_partitions_for(10**6, at_least=200) == 200
     assert shuffle_partitions_for(10**12, at_least=200) == 3726
-    assert shuffle_partitions_for(10**14, at_least=200) == MAX_PARTITIONS
-    assert shuffle_partitions_for(10**14, at_least=10**5) == 10**5
+    assert shuffle_partitions_for(10**14, at_least=200) == -(-10**14 // BYTES_PER_PARTITION)
+    assert shuffle_partitions_for(10**12, at_least=10**5) == 10**5
     (tmp_path / "a").mkdir()
     (tmp_path / "a" / "x").write_bytes(b"12345")
     assert folder_bytes(spark, str(tmp_path)) == 5

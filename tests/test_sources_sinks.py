@@ -247,6 +247,34 @@ def test_zorder_keeps_every_row_and_narrows_files(spark, rows_of, tmp_path):
     assert hits("c", "c02500") <= files * 0.6 and hits("p", "p02500") <= files * 0.6
 
 
+def test_zorder_tells_long_common_prefixes_apart(spark, tmp_path):
+    df = spark.range(0, 20000, 1, 4).select(
+        F.format_string("customer-number-%09d", F.pmod(F.xxhash64("id"), F.lit(5000))).alias("c"),
+        F.date_add(F.lit("2020-01-01").cast("date"), F.pmod(F.xxhash64(-F.col("id")), F.lit(3000)).cast("int")).alias("d"),
+        F.col("id").cast("timestamp").cast("timestamp_ntz").alias("t"),
+        (F.col("id") % 2 == 0).alias("even"),
+    )
+    path = str(tmp_path / "z")
+    zorder(df, ["c", "d"], files=16, bits=4).write.parquet(path)
+    files = (
+        spark.read.parquet(path)
+        .groupBy(F.col("_metadata.file_path"))
+        .agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.min("d").alias("d0"), F.max("d").alias("d1"))
+    )
+    assert files.where("'customer-number-000002500' between c0 and c1").count() <= 10
+    assert files.where("date '2024-02-09' between d0 and d1").count() <= 10
+    assert zorder(df, ["t", "even"], files=4).count() == 20000
+    with pytest.raises(ValueError):
+        zorder(df, ["c", "d"], bits=32)
+
+
+def test_swapped_header_fails_both_reads(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("v,id\n1,a\n")
+    for read in (read_csv, read_csv_text):
+        with pytest.raises(Exception, match="(?i)header"):
+            read(spark, str(tmp_path / "x.csv"), DDL).collect()
+
+
 def test_zorder_spreads_rows_with_equal_columns(spark):
     df = spark.range(0, 8000, 1, 4).select(F.lit("one").alias("c"), F.lit(1).alias("p"), "id")
     spread = zorder(df, ["c", "p"], files=8)
