@@ -3,9 +3,10 @@
 1. Document frequencies of hashed words, over all documents.
 2. Randomised SVD of the TF-IDF matrix A of all passages (overlapping windows of words): every task adds up
    its part of Z = A^T (A R) for a random R; an orthonormal basis of Z spans the leading right singular
-   vectors. Cosines in that space are the same for any basis of it, so the rotation to singular
-   vectors is left out.
-3. Every passage is compared with every benchmark item by cosine in that space. Around a candidate the longest
+   vectors. Inner products are the same in any basis of that space, so the rotation to singular vectors
+   is left out. What a passage has outside of it - its rare words - is kept as a random sketch of fixed
+   length, without which passages of one language can hardly be told apart.
+3. Every passage is compared with every benchmark item by cosine of both parts. Around a candidate the longest
    common subsequence of words with the item decides, with the item's answer (its last sentence) where words
    have been replaced.
 
@@ -25,10 +26,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lakemart.llm.bpe import batch_of
 from lakemart.llm.hashing import NOT_ALNUM, slices, words
 
-#: Hashed words, latent dimensions, words of half a passage (passages overlap by half).
-FEATURES, RANK, HALF = 1 << 14, 64, 16
+#: Hashed words, latent dimensions and those of the rest, words of half a passage (passages overlap by half).
+FEATURES, RANK, REST, HALF = 1 << 14, 32, 64, 16
 #: Least cosine of a candidate.
-COSINE = 0.4
+COSINE = 0.45
 #: Share of an item's words that must recur in order: alone, or with the answer present.
 OVERLAP, OVERLAP_WITH_ANSWER = 0.75, 0.6
 #: Items of fewer words must recur whole, word by word.
@@ -128,7 +129,7 @@ def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit_space(documents: DataFrame) -> np.ndarray:
-    """The latent vector of every hashed word (FEATURES x RANK), from all ``documents`` (text)."""
+    """The vector of every hashed word (FEATURES x (RANK + REST)), from all ``documents`` (text)."""
     texts = documents.select("text")
     counts, n = np.zeros(FEATURES), 0
     frequencies = texts.mapInArrow(_frequencies, "f long, n long").groupBy("f").agg(F.sum("n").alias("n"))
@@ -146,7 +147,10 @@ def fit_space(documents: DataFrame) -> np.ndarray:
     for row in added.collect():  # FEATURES x RANK numbers, whatever the corpus
         z[row.chunk * CHUNK_FEATURES : (row.chunk + 1) * CHUNK_FEATURES] += np.frombuffer(row.sums, np.float32).reshape(-1, RANK)
     basis, _ = np.linalg.qr(z + 1e-12 * np.random.default_rng(8).standard_normal(z.shape))
-    return (basis * idf[:, None]).astype(np.float32)
+    rest = np.random.default_rng(9).standard_normal((FEATURES, REST))
+    rest -= basis @ (basis.T @ rest)
+    # A sketch is longer than what it stands for by the root of its dimensions.
+    return (np.hstack((basis * np.sqrt(REST), rest)) * idf[:, None]).astype(np.float32)
 
 
 class Item:
