@@ -21,6 +21,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakemart.llm.bpe import batch_of
@@ -48,7 +49,7 @@ def _feature(hashes: np.ndarray) -> np.ndarray:
 
 def _tokens(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """First row, number of rows, word hashes and their text index for a few texts at a time."""
-    for first, texts in slices(column, STEP):
+    for first, texts in slices(pc.utf8_lower(column), STEP):
         hashes, owner, _, _ = words(texts, NOT_ALNUM)
         yield first, len(texts), hashes, owner
 
@@ -153,18 +154,22 @@ def fit_space(documents: DataFrame) -> np.ndarray:
     return (np.hstack((basis * np.sqrt(REST), rest)) * idf[:, None]).astype(np.float32)
 
 
+def _hashes(text: str) -> np.ndarray:
+    return words([pc.utf8_lower(text).as_py().encode()], NOT_ALNUM)[0]
+
+
 class Item:
     """A benchmark item: its words as bits, for subsequences, and its answer."""
 
     def __init__(self, item_id: int, text: str):
         self.item_id = item_id
-        self.hashes = words([text.encode()], NOT_ALNUM)[0]
+        self.hashes = _hashes(text)
         self.n = len(self.hashes)
         self.bits: dict[int, int] = {}
         for i, h in enumerate(self.hashes.tolist()):
             self.bits[h] = self.bits.get(h, 0) | 1 << i
         answer = _SENTENCE.split(text.strip())[-1]
-        self.answer = words([answer.encode()], NOT_ALNUM)[0].tolist()
+        self.answer = _hashes(answer).tolist()
 
     def overlap(self, region: list[int]) -> int:
         """Length of the longest common subsequence with a region's words."""
