@@ -14,7 +14,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from lakemart.plans.jobs import bronze_to_silver, silver_to_gold  # noqa: E402
+from lakemart.plans.jobs import bronze_to_silver, read_star, silver_to_gold  # noqa: E402
 from lakemart.schemas import SILVER  # noqa: E402
 from lakemart.session import build_session, scratch_path  # noqa: E402
 from lakemart.sinks.bronze import land_csv, land_jsonl  # noqa: E402
@@ -105,6 +105,16 @@ def main() -> None:
     seconds["silver_to_gold"] = timed(
         lambda: silver_to_gold(spark, silver, catalogue, gold, DAY, partition_by=None)
     )
+    # The same jobs on their other paths: the fact partitioned by day, and bad rows kept apart.
+    by_day = scratch_path(spark, "bench-gold-by-day")
+    seconds["silver_to_gold_by_day"] = timed(
+        lambda: silver_to_gold(spark, silver, catalogue, by_day, DAY, partition_by="order_date")
+    )
+    seconds["read_fact_by_day"] = timed(lambda: discard(read_star(spark, by_day)["fact_sales"]))
+    checked, refused = scratch_path(spark, "bench-checked"), scratch_path(spark, "bench-refused")
+    seconds["bronze_to_silver_quarantine"] = timed(
+        lambda: bronze_to_silver(spark, bronze, checked, refused)
+    )
     lake.star()
 
     for name in HEADLINE:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -82,23 +83,31 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     done = versions(spark, path)
     if not done:
         raise FileNotFoundError(f"no completed version of a table below {path}")
-    return spark.read.parquet(f"{path}/{done[-1]}")
+    with few_listing_tasks(spark):
+        return spark.read.parquet(f"{path}/{done[-1]}")
 
 
-def read_partitioned(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """A table partitioned into many folders, under its known schema.
+@contextmanager
+def few_listing_tasks(spark: SparkSession) -> Iterator[None]:
+    """List folders in two tasks per core.
 
-    Spark lists every folder in a task of its own, up to ten thousand. Two tasks per core
-    list thousands of folders sooner, so that is what this read uses.
+    Spark lists every folder in a task of its own, up to ten thousand; a table partitioned by day has
+    thousands, and fewer tasks list them sooner.
     """
     before = spark.conf.get(LISTING_TASKS)
     spark.conf.set(LISTING_TASKS, 2 * spark.sparkContext.defaultParallelism)
     try:
-        return spark.read.schema(schema).parquet(path)
+        yield
     finally:
         spark.conf.set(LISTING_TASKS, before)
 
 
+def read_partitioned(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    """A table partitioned into many folders, under its known schema."""
+    with few_listing_tasks(spark):
+        return spark.read.schema(schema).parquet(path)
+
+
 def register_views(tables: Mapping[str, DataFrame], prefix: str = "") -> None:
     """Name the star-schema tables for SQL."""
     for name, df in tables.items():
