@@ -33,6 +33,8 @@ WINDOW = LENGTH - GRAM + 1
 FREQUENT, FREQUENT_PER_STEP, OFTEN = 65_536, 2_048, 3
 #: Bytes that are suffix-sorted together; a single key may have more.
 SORTED_TOGETHER = 1 << 21
+#: Bytes of segments among which a task combines equal ones.
+COMBINED = 1 << 25
 
 _U = np.uint64
 
@@ -165,20 +167,52 @@ def _list_segments(listed: np.ndarray):
     return run
 
 
-_BYTES = pa.schema([("h", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("doc_id", pa.int64()), ("tag", pa.int64()), ("first", pa.int64()), ("data", pa.binary())])
+_BYTES = pa.schema(
+    [
+        ("h", pa.int64()),
+        ("d1", pa.int64()),
+        ("d2", pa.int64()),
+        ("doc_id", pa.int64()),
+        ("tag", pa.int64()),
+        ("first", pa.int64()),
+        ("end", pa.int64()),
+        ("data", pa.binary()),
+    ]
+)
+_BYTES_DDL = "h long, d1 long, d2 long, doc_id long, tag long, first long, end long, data binary"
 
 
 def _cut_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bytes of wanted segments, equal ones once for COMBINED bytes of them: the earliest, with its data.
+
+    The others are covered whole, wherever the earliest of all stands, and come without data.
+    """
+
     def rows() -> Iterator[tuple]:
+        held: dict[tuple[int, int, int], tuple] = {}
+        size = 0
         for batch in batches:
             columns = [batch.column(n).to_pylist() for n in ("doc_id", "tag", "wanted")]
             for doc_id, tag, wanted, text in zip(*columns, byte_lists(batch.column("text"))):
                 for w in wanted:
-                    data = text[w["first"] : w["first"] + w["n"] + LENGTH - 1]
-                    d1, d2 = struct.unpack("<qq", hashlib.blake2b(data, digest_size=16).digest())
-                    yield w["h"], d1, d2, doc_id, tag, w["first"], data
-
-    yield from in_chunks(rows(), _BYTES, lambda r: len(r[6]) + 48)
+                    first, end = w["first"], w["first"] + w["n"] + LENGTH - 1
+                    data = text[first:end]
+                    key = (w["h"], *struct.unpack("<qq", hashlib.blake2b(data, digest_size=16).digest()))
+                    place = (doc_id, tag, first)
+                    known = held.get(key)
+                    if known is None:
+                        held[key] = (*place, end, data)
+                        size += len(data)
+                    elif place != known[:3]:
+                        early, late = sorted((known[:4], (*place, end)))
+                        held[key] = (*early, data)
+                        yield *key, *late, None
+                    if size > COMBINED:
+                        yield from ((*k, *v) for k, v in held.items())
+                        held, size = {}, 0
+        yield from ((*k, *v) for k, v in held.items())
+
+    yield from in_chunks(rows(), _BYTES, lambda r: len(r[7] or b"") + 64)
 
 
 _SPAN = pa.schema([("doc_id", pa.int64()), ("tag", pa.int64()), ("start", pa.int64()), ("end", pa.int64())])
@@ -217,20 +251,26 @@ def repeated_spans(segments: list[tuple[int, int, int, bytes]]) -> list[tuple[in
 
 
 def _sort_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by key: as many whole keys as fit are sorted at once."""
+    """Rows sorted by key, digest and place: copies are covered whole, the earliest of each go on, and as many
+    whole keys as fit are sorted at once."""
 
     def rows() -> Iterator[tuple]:
-        held, size, group, key = [], 0, [], None
+        held, size, group, key, digest, earliest = [], 0, [], None, None, None
+        names = ("h", "d1", "d2", "doc_id", "tag", "first", "end", "data")
         for batch in batches:
-            for h, doc_id, tag, first, data in zip(*(batch.column(n).to_pylist() for n in ("h", "doc_id", "tag", "first", "data"))):
+            for h, d1, d2, doc_id, tag, first, end, data in zip(*(batch.column(n).to_pylist() for n in names)):
                 if h != key:
                     held += group
                     size += sum(len(g[3]) for g in group)
-                    group, key = [], h
+                    group, key, digest = [], h, None
                     if size >= SORTED_TOGETHER:
                         yield from repeated_spans(held)
                         held, size = [], 0
-                group.append((doc_id, tag, first, data))
+                if (d1, d2) != digest:
+                    digest, earliest = (d1, d2), (doc_id, tag, first)
+                    group.append((doc_id, tag, first, data))
+                elif (doc_id, tag, first) != earliest:
+                    yield doc_id, tag, first, end
         if held or group:
             yield from repeated_spans(held + group)
 
@@ -282,40 +322,24 @@ def dedup_substrings(spark: SparkSession, documents: DataFrame) -> DataFrame:
     weight = F.when(F.col("twice"), 2).otherwise(1)
     often = scratch.write(segments.groupBy("h").agg(F.sum(weight).alias("c")).where("c > 1").select("h"), "often")
     scratch.release()
+    # Both lists grow with the corpus: they meet by a shuffle at every size.
     wanted = scratch.write(
-        scratch.join_small(segments, often, "h")
+        segments.join(often.hint("merge"), "h")
         .groupBy("doc_id", "tag")
         .agg(F.collect_set(F.struct("h", "first", "n")).alias("wanted")),
         "wanted",
     )
     scratch.drop(segments)
     scratch.release()
-    cut = scratch.join_small(tagged, wanted, ["doc_id", "tag"]).select("doc_id", "tag", "text", "wanted")
-    cut = scratch.write(
-        cut.mapInArrow(_cut_segments, "h long, d1 long, d2 long, doc_id long, tag long, first long, data binary"),
-        "bytes",
-        compression="zstd",
-    )
+    cut = tagged.join(wanted.hint("merge"), ["doc_id", "tag"]).select("doc_id", "tag", "text", "wanted")
+    cut = scratch.write(cut.mapInArrow(_cut_segments, _BYTES_DDL), "bytes", compression="zstd")
     scratch.drop(wanted)
     scratch.release()
-    # All copies of a segment but the earliest are covered; the earliest meet by key.
-    place = F.struct("doc_id", "tag", "first")
-    copied = scratch.write(
-        cut.groupBy("h", "d1", "d2").agg(F.min(place).alias("place"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c"),
-        "copied",
-    )
-    scratch.release()
-    placed = scratch.join_small(cut, copied, ["h", "d1", "d2"], "left").withColumn(
-        "later", F.coalesce(place != F.col("place"), F.lit(False))
-    )
-    later = placed.where("later").select(
-        "doc_id", "tag", F.col("first").alias("start"), (F.col("first") + F.octet_length("data")).alias("end")
-    )
-    earliest = placed.where("not later")
+    later = cut.where("data is null").select("doc_id", "tag", F.col("first").alias("start"), "end")
     found = (
-        earliest.select("h", "doc_id", "tag", "first", "data")
+        cut.where("data is not null")
         .repartition("h")
-        .sortWithinPartitions("h")
+        .sortWithinPartitions("h", "d1", "d2", "doc_id", "tag", "first")
         .mapInArrow(_sort_keys, "doc_id long, tag long, start long, end long")
     )
     spans = scratch.write(
