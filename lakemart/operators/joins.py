@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, functions as F
 HOT_ROWS = 1_000_000
 # Sampled rows that a key of HOT_ROWS rows is recognised by; their count is off by about 1 %.
 SAMPLED_ROWS = 10_000
+# Keys on the list, those with the most rows; any other key has less than this share of all rows.
+MOST_HOT = 65_536
 
 
 def hot_keys(
@@ -20,15 +22,16 @@ def hot_keys(
     Counted on the rows whose hash falls into one of every ``hot_rows / 10,000`` classes, so
     a hundredth of the rows is shuffled at the default, combined map-side. The hash makes
     the choice the same wherever the plan evaluates it. The list steers only where rows are
-    joined, never what is joined. It has fewer than ``rows / hot_rows`` keys by construction -
-    a million for 10^12 rows - which is what makes it safe to broadcast.
+    joined, never what is joined. It has ``MOST_HOT`` keys at most, which is what makes it safe to
+    broadcast; where more keys are that large, none of the others stands out.
     """
     every = max(1, hot_rows // SAMPLED_ROWS)
     seen = rows.where(F.col(key).isNotNull())
     if every > 1:
         seen = seen.where(F.pmod(F.xxhash64(key, *spread_by), F.lit(every)) == 0)
     counts = seen.groupBy(key).agg((F.count(F.lit(1)) * every).alias("_rows"))
-    return counts.where(F.col("_rows") > hot_rows).select(
+    largest = counts.where(F.col("_rows") > hot_rows).orderBy(F.desc("_rows"), key).limit(MOST_HOT)
+    return largest.select(
         key, F.ceil(F.col("_rows") / hot_rows).cast("int").alias("_copies")
     )
 
