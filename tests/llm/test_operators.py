@@ -345,6 +345,13 @@ def test_leaks(spark, docs, frame):
     assert not [r for r in find_leaks(spark, rows, benchmark.where("item_id < 0")).collect() if r.item_ids]
 
 
+def test_leaks_fold_case_of_all_letters(spark, docs, frame):
+    item = text_of(8, 30, ["éré", "übel", "años", "çan", "la", "öde", "ñu", "eau"])
+    rows = docs((1, f"{text_of(1, 50)} {item.upper()} {text_of(2, 50)}"), (2, text_of(3, 90)))
+    found = {r.doc_id: r.item_ids for r in find_leaks(spark, rows, frame("item_id long, text string", (4, item))).collect()}
+    assert found == {1: [4], 2: []}
+
+
 def test_leaks_in_blocks_of_items(spark, docs, frame, monkeypatch):
     from lakemart.llm import decontaminate
 
