@@ -348,6 +348,7 @@ def dedup_substrings(spark: SparkSession, documents: DataFrame) -> DataFrame:
     scratch.drop(cut)
     scratch.release()
     tags = documents.withColumn("tag", F.xxhash64("text"))
-    return scratch.join_small(tags, spans, ["doc_id", "tag"], "left").select("doc_id", "text", "spans").mapInArrow(
+    # Spans grow with the corpus too, so this join shuffles at every size.
+    return tags.join(spans.hint("merge"), ["doc_id", "tag"], "left").select("doc_id", "text", "spans").mapInArrow(
         _without, "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary"
     )
