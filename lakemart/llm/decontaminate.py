@@ -6,9 +6,11 @@
    vectors. Inner products are the same in any basis of that space, so the rotation to singular vectors
    is left out. What a passage has outside of it - its rare words - is kept as a random sketch of fixed
    length, without which passages of one language can hardly be told apart.
-3. Every passage is compared with every benchmark item by cosine of both parts. Around a candidate the longest
-   common subsequence of words with the item decides, with the item's answer (its last sentence) where words
-   have been replaced.
+3. Every passage is compared with the benchmark by cosine of both parts. Items longer than a passage are cut into
+   passages too, and shorter ones meet shorter passages, so that what is compared is of about one length. Runs
+   of words that a document shares with an item make it a candidate as well: an item copied word by word is
+   found whatever its length. Around a candidate the longest common subsequence of words with the item decides,
+   with the item's answer (its last sentence) where words have been replaced.
 
 The benchmark is the query set; it is taken in blocks of bounded size against all documents.
 """
@@ -25,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakemart.llm.bpe import batch_of
-from lakemart.llm.hashing import NOT_ALNUM, slices, words
+from lakemart.llm.hashing import NOT_ALNUM, mix, slices, words
 
 #: Hashed words, latent dimensions and those of the rest, words of half a passage (passages overlap by half).
 FEATURES, RANK, REST, HALF = 1 << 14, 32, 64, 16
@@ -33,8 +35,10 @@ FEATURES, RANK, REST, HALF = 1 << 14, 32, 64, 16
 COSINE = 0.45
 #: Share of an item's words that must recur in order: alone, or with the answer present.
 OVERLAP, OVERLAP_WITH_ANSWER = 0.75, 0.6
-#: Items of fewer words must recur whole, word by word.
+#: Items of fewer words must recur whole, word by word; of longer ones, a run of so many words makes a candidate.
 SHORT_ITEM = 8
+#: Words of half a passage, and the items (of fewer words) that meet passages of that length.
+LEVELS = [(HALF, None), (HALF // 2, 3 * HALF // 2), (HALF // 4, 3 * HALF // 4)]
 #: Items held by a task at once.
 ITEM_BLOCK = 4_096
 #: Bytes of text worked on at once, and features per row of a partial sum.
@@ -68,12 +72,12 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
-def _halves(owner: np.ndarray) -> np.ndarray:
+def _halves(owner: np.ndarray, half: int = HALF) -> np.ndarray:
     """First word of every half passage."""
     n = len(owner)
     starts = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1]))) if n else np.zeros(0, np.int64)
     within = np.arange(n) - np.repeat(starts, np.diff(np.append(starts, n)))
-    return np.flatnonzero(within % HALF == 0)
+    return np.flatnonzero(within % half == 0)
 
 
 def _passages(sums: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -200,35 +204,101 @@ def unit_rows(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
 
 
+def _runs(hashes: np.ndarray, owner: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """First word and hash of every run of ``size`` words of one text."""
+    n = len(hashes) - size + 1
+    if n < 1:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    at = np.flatnonzero(owner[:n] == owner[size - 1 :])
+    total = np.full(len(at), size, dtype=np.uint64)
+    for k in range(size):
+        total = mix(total + hashes[at + k])
+    return at, total
+
+
+class Index:
+    """What makes an item a candidate: vectors of its passages, and hashes of its runs of words."""
+
+    def __init__(self, table: np.ndarray, items: list[Item]):
+        self.table, self.n_items = table, len(items)
+        self.levels = []  # words of half a passage, vectors, item of each vector
+        for half, below in LEVELS:
+            chosen = [k for k, i in enumerate(items) if i.n >= SHORT_ITEM and (below is None or i.n < below)]
+            vectors, owner = [], []
+            for k in chosen:
+                hashes = items[k].hashes
+                whole = np.zeros(len(hashes), np.int64)
+                parts = self._vectors(hashes, whole, half)[0]
+                if len(hashes) <= 4 * half:
+                    parts = np.vstack((parts, table[_feature(hashes)].sum(axis=0)))
+                vectors.append(parts)
+                owner += [k] * len(parts)
+            if chosen:
+                self.levels.append((half, unit_rows(np.vstack(vectors)), np.array(owner)))
+        self.runs = []  # words of a run, hashes in order, item of each
+        for size in sorted({min(i.n, SHORT_ITEM) for i in items}):
+            chosen = [k for k, i in enumerate(items) if min(i.n, SHORT_ITEM) == size]
+            found = [np.unique(_runs(items[k].hashes, np.zeros(items[k].n, np.int64), size)[1]) for k in chosen]
+            hashes, owner = np.concatenate(found), np.repeat(chosen, [len(f) for f in found])
+            order = np.argsort(hashes, kind="stable")
+            self.runs.append((size, hashes[order], owner[order]))
+
+    def _vectors(self, hashes: np.ndarray, owner: np.ndarray, half: int) -> tuple[np.ndarray, np.ndarray]:
+        """Vectors of the passages, and the first word of each."""
+        halves = _halves(owner, half)
+        passages, first = _passages(np.add.reduceat(self.table[_feature(hashes)], halves, axis=0), owner[halves])
+        return passages, halves[first]
+
+    def _near(self, hashes: np.ndarray, owner: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for half, space, item in self.levels:
+            passages, first = self._vectors(hashes, owner, half)
+            passages = unit_rows(passages)
+            step = max(1, (1 << 22) // len(space))
+            for at in range(0, len(passages), step):
+                p, j = np.nonzero(passages[at : at + step] @ space.T >= COSINE)
+                yield first[p + at], item[j]
+        for size, known, item in self.runs:
+            at, run = _runs(hashes, owner, size)
+            low = np.searchsorted(known, run)
+            shared = np.flatnonzero(known[np.minimum(low, len(known) - 1)] == run)
+            low, n = low[shared], np.searchsorted(known, run[shared], side="right") - low[shared]
+            within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            yield np.repeat(at[shared], n), item[np.repeat(low, n) + within]
+
+    def candidates(self, hashes: np.ndarray, owner: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(word, item): the item may stand around the word; each half passage is named once an item."""
+        halves = _halves(owner)
+        pairs = [
+            np.unique((np.searchsorted(halves, word, side="right") - 1) * self.n_items + item)
+            for word, item in self._near(hashes, owner)
+        ]
+        pairs = np.unique(np.concatenate(pairs))
+        yield from zip(halves[pairs // self.n_items].tolist(), (pairs % self.n_items).tolist())
+
+
 _LEAKS = pa.schema([("doc_id", pa.int64()), ("item_ids", pa.list_(pa.int64())), ("overlap", pa.float64())])
 
 
 def _search(table: np.ndarray, listed: list[tuple[int, str]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = [i for i in (Item(*x) for x in listed) if i.n]
-        space = unit_rows(np.stack([table[_feature(i.hashes)].sum(axis=0) for i in items])) if items else None
+        index = Index(table, items) if items else None
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
             for first_row, n_texts, hashes, owner in _tokens(batch.column("text")):
                 found: dict[int, dict[int, float]] = {}
                 if items and len(hashes):
-                    halves = _halves(owner)
-                    passages, first = _passages(np.add.reduceat(table[_feature(hashes)], halves, axis=0), owner[halves])
-                    passages = unit_rows(passages)
                     bounds = np.searchsorted(owner, np.arange(n_texts + 1))
-                    step = max(1, (1 << 22) // len(items))
-                    for at in range(0, len(passages), step):
-                        p, j = np.nonzero(passages[at : at + step] @ space.T >= COSINE)
-                        for start, k in zip(halves[first[p + at]].tolist(), j.tolist()):
-                            text, item = int(owner[start]), items[k]
-                            known = found.setdefault(text, {})
-                            if known.get(item.item_id, 0.0) >= 1.0:
-                                continue
-                            low = max(int(bounds[text]), start - item.n)
-                            region = hashes[low : min(int(bounds[text + 1]), start + 2 * HALF + item.n)].tolist()
-                            share = item.found_in(region)
-                            if share > known.get(item.item_id, 0.0):
-                                known[item.item_id] = share
+                    for start, k in index.candidates(hashes, owner):
+                        text, item = int(owner[start]), items[k]
+                        known = found.setdefault(text, {})
+                        if known.get(item.item_id, 0.0) >= 1.0:
+                            continue
+                        low = max(int(bounds[text]), start - item.n)
+                        region = hashes[low : min(int(bounds[text + 1]), start + 2 * HALF + item.n)].tolist()
+                        share = item.found_in(region)
+                        if share > known.get(item.item_id, 0.0):
+                            known[item.item_id] = share
                 rows = []
                 for t in range(n_texts):
                     hits = found.get(t) or {}

@@ -352,6 +352,20 @@ def test_leaks_fold_case_of_all_letters(spark, docs, frame):
     assert found == {1: [4], 2: []}
 
 
+@pytest.mark.parametrize("lengths", [[*range(1, 41)], [60, 100, 160, 300, 400, 600, 800, 1000]])
+def test_leaks_of_every_length(spark, docs, frame, lengths):
+    """Copies word by word of short and long items, each in a longer document, and one copied with changes."""
+    many = [f"w{i}" for i in range(5000)]
+    items = [(n, text_of(1000 + n, n, many)) for n in lengths]
+    rows = [(n, f"{text_of(2000 + n, 150 + n % 37, WORDS)} {t} {text_of(3000 + n, 170, WORDS)}") for n, t in items]
+    changed = [(n, " ".join(f"new{i}" if i % 7 == 3 else w for i, w in enumerate(t.split()))) for n, t in items if n >= 12]
+    rows += [(5000 + n, f"{text_of(4000 + n, 150 + n % 37, WORDS)} {t} {text_of(5000 + n, 170, WORDS)}") for n, t in changed]
+    found = {r.doc_id: r for r in find_leaks(spark, docs(*rows), frame("item_id long, text string", *items)).collect()}
+    assert [n for n, _ in items if n not in found[n].item_ids or found[n].overlap < 1] == []
+    assert [n for n, _ in changed if n not in found[5000 + n].item_ids] == []
+    assert all(set(r.item_ids) <= {r.doc_id % 5000, *range(1, 4)} for r in found.values())
+
+
 def test_leaks_in_blocks_of_items(spark, docs, frame, monkeypatch):
     from lakemart.llm import decontaminate
 
