@@ -23,7 +23,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without repeated chunks of lines; documents of which nothing is left go."""
-    kept = dedup_lines(spark, docs, carry=("lang", "source", "n_chars")).where(
+    kept = dedup_lines(spark, docs, carry=("lang", "source", "n_chars"), paired=True).where(
         "size(removed) = 0 or length(text) > 0"
     )
     changed = F.size("removed") > 0

@@ -16,6 +16,8 @@ from lakemart.llm.tables import Scratch
 #: Lines under the rolling hash, and one in how many places ends a chunk.
 WINDOW, DIVISOR = 2, 4
 BASE = 31
+#: Where chunks have two lines at least: one in how many lines may end a chunk.
+PAIRED_DIVISOR = 2
 
 
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -42,8 +44,25 @@ def _ends(hashes: Column) -> Column:
     return F.filter(F.sequence(F.lit(0), last), lambda i: (i == last) | rolled(i))
 
 
-def chunks(text: Column) -> Column:
+def _paired_ends(hashes: Column) -> Column:
+    """Indexes of the lines that end a chunk, so that only a text of one line is a chunk of one line.
+
+    A line's own hash says whether it may end one; it does not directly after another that may, nor
+    where it would leave the first or the last line alone.
+    """
+    last = F.size(hashes) - 1
+
+    def may(i: Column) -> Column:
+        return hashes[F.greatest(i, F.lit(0))] % PAIRED_DIVISOR == 0
+
+    return F.filter(
+        F.sequence(F.lit(0), last), lambda i: (i == last) | (i > 0) & (i < last - 1) & may(i) & ((i == 1) | ~may(i - 1))
+    )
+
+
+def chunks(text: Column, paired: bool = False) -> Column:
     """The chunks of a text in order: n_lines and body, which joined by line breaks give the text."""
+    find_ends = _paired_ends if paired else _ends
     lines = F.split(text, "\n", -1)
 
     def cut(lines: Column) -> Column:
@@ -55,12 +74,14 @@ def chunks(text: Column) -> Column:
 
             return F.transform(ends, chunk)
 
-        return _let(F.transform(lines, line_hash), lambda h: _let(_ends(h), spans))
+        return _let(F.transform(lines, line_hash), lambda h: _let(find_ends(h), spans))
 
     return _let(lines, cut)
 
 
-def dedup_lines(spark: SparkSession, documents: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+def dedup_lines(
+    spark: SparkSession, documents: DataFrame, carry: tuple[str, ...] = (), paired: bool = False
+) -> DataFrame:
     """doc_id, text (without the removed chunks), n_chunks, removed (chunk numbers, ascending), and the
     columns named in ``carry``.
 
@@ -68,12 +89,13 @@ def dedup_lines(spark: SparkSession, documents: DataFrame, carry: tuple[str, ...
     earlier place too (smaller doc_id, or same document and earlier chunk) is removed; its
     line breaks go with it. Null texts stay null, with no chunks. Rows without doc_id remove nothing and keep
     all. Rows that share a doc_id hold one rank and treat equal chunk numbers alike. A document of removed
-    chunks only becomes the empty text. Other columns are ignored.
+    chunks only becomes the empty text. With ``paired`` no text of several lines has a chunk of one line, so nothing is
+    left of an exact copy. Other columns are ignored.
     """
     scratch = Scratch(spark, "chunks")
     documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *carry)
     placed = documents.where("doc_id is not null and text is not null").select(
-        "doc_id", F.posexplode(chunks(F.col("text"))).alias("k", "chunk")
+        "doc_id", F.posexplode(chunks(F.col("text"), paired)).alias("k", "chunk")
     ).where("chunk.n_lines > 1")
     hashed = placed.select("doc_id", "k", F.col("chunk.body").alias("body"), F.xxhash64("chunk.body").alias("h"))
     often = scratch.write(
@@ -94,7 +116,7 @@ def dedup_lines(spark: SparkSession, documents: DataFrame, carry: tuple[str, ...
         later.groupBy("doc_id").agg(F.array_sort(F.collect_set("k")).alias("removed")), "removed"
     )
     parts = scratch.join_small(documents, removed, "doc_id", "left").select(
-        "doc_id", "text", chunks(F.col("text")).alias("chunks"), "removed", *carry
+        "doc_id", "text", chunks(F.col("text"), paired).alias("chunks"), "removed", *carry
     )
     left = F.array_except(F.sequence(F.lit(0), F.size("chunks") - 1), F.col("removed"))
     body = F.array_join(F.transform(left, lambda k: F.col("chunks")[k]["body"]), "\n")

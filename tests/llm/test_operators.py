@@ -236,6 +236,20 @@ def test_line_chunks_survive_shifts(spark, docs):
     assert dedup_lines(spark, docs()).count() == 0
 
 
+def test_line_copies_leave_nothing(spark, docs, frame):
+    """Exact copies of texts of several lines, in the pipeline's stage; no two texts share lines."""
+    import corpus_pipeline
+
+    texts = {k: "\n".join(text_of(500 * k + j, 6) for j in range(2 + k)) for k in range(30)}
+    rows = [(i + 100 * copy, t, "en", "x", len(t)) for copy in range(2) for i, t in texts.items()]
+    kept = corpus_pipeline.line_dedup(spark, frame("doc_id long, text string, lang string, source string, n_chars long", *rows), "")
+    assert {r.doc_id: r.text for r in kept.collect()} == texts
+    inserted = f"{texts[29]}\nan added last line"
+    found = {r.doc_id: r for r in dedup_lines(spark, docs((1, texts[29]), (2, inserted), (3, None), (4, ""), (5, "x"), (6, "x")), paired=True).collect()}
+    assert found[1].text == texts[29] and found[2].text.endswith("an added last line") and len(found[2].text) < len(inserted) / 2
+    assert found[3].text is None and [found[i].text for i in (4, 5, 6)] == ["", "x", "x"]
+
+
 # op7
 
 
