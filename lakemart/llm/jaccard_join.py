@@ -332,6 +332,27 @@ def _in_blocks(members: DataFrame, cell: str) -> DataFrame:
     )
 
 
+def _cells(keyed: DataFrame) -> DataFrame:
+    """(key, n_blocks) of the cells of ``keyed`` (doc_id, key) with other members than all others.
+
+    The sums, unlike the exclusive or, tell a repeated doc_id apart; of 28 bits a member they hold 2^35 members.
+    """
+    member = F.xxhash64("doc_id")
+    return (
+        keyed.groupBy("key")
+        .agg(
+            F.count(F.lit(1)).alias("c"),
+            F.bit_xor(member).alias("x"),
+            F.sum(F.shiftrightunsigned(member, 36)).alias("s"),
+            F.sum(member.bitwiseAND(F.lit((1 << 28) - 1))).alias("t"),
+        )
+        .where("c > 1")
+        .groupBy("c", "x", "s", "t")
+        .agg(F.min("key").alias("key"))
+        .select("key", F.ceil(F.col("c") / CELL_BLOCK).cast("int").alias("n_blocks"))
+    )
+
+
 def _frequent(documents: DataFrame) -> np.ndarray:
     """The most frequent shingle hashes, sorted: FREQUENT of them at most."""
     counted = documents.select("text").mapInArrow(_count_frequent, "h long, n long")
@@ -362,16 +383,7 @@ def jaccard_groups(spark: SparkSession, documents: DataFrame) -> DataFrame:
 
     # Cells with other members than all others, each under its smallest shingle.
     keyed = named.where("keys is not null").select("doc_id", F.explode("keys").alias("key"))
-    member = F.xxhash64("doc_id")
-    cells = (
-        keyed.groupBy("key")
-        .agg(F.count(F.lit(1)).alias("c"), F.bit_xor(member).alias("x"), F.sum(F.shiftrightunsigned(member, 20)).alias("s"))
-        .where("c > 1")
-        .groupBy("c", "x", "s")
-        .agg(F.min("key").alias("key"))
-        .select("key", F.ceil(F.col("c") / CELL_BLOCK).cast("int").alias("n_blocks"))
-    )
-    cells = scratch.write(cells, "cells")
+    cells = scratch.write(_cells(keyed), "cells")
     members = scratch.join_small(keyed, cells, "key").select(F.col("doc_id").alias("rep"), "key", "n_blocks")
     points = named.where("keys is not null").select(
         F.col("doc_id").alias("rep"), "n", F.explode("classes").alias("size_class"), "point"

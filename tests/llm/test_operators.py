@@ -126,6 +126,13 @@ def test_jaccard_blocks_and_classes_lose_no_link(spark, docs, monkeypatch):
     assert found == groups({i: shingles(t) for i, t in rows})
 
 
+def test_jaccard_cells_of_millions(spark, frame):
+    many = spark.range(1 << 21).select(F.col("id").alias("doc_id"), F.explode(F.array(F.lit(6), F.lit(5)).cast("array<long>")).alias("key"))
+    few = frame("doc_id long, key long", (1, 7), (1, 7), (2, 7), (3, 8), (3, 8), (2, 8), (4, 9))
+    found = {r.key: r.n_blocks for r in jaccard_join._cells(many.unionByName(few)).collect()}
+    assert found == {5: (1 << 21) // jaccard_join.CELL_BLOCK, 7: 1, 8: 1}
+
+
 def test_jaccard_limit_is_included(spark, docs):
     a = [f"w{i}" for i in range(22)]  # 18 shingles, 16 of them shared with 18: 16 / 20
     b = a[:20] + ["x", "y"]
