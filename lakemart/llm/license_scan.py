@@ -1,17 +1,33 @@
 """Licence scans: whole texts and whole lines looked up by the digest of their canonical form.
 
-Canonical form: lower case, copyright lines removed, every run of other characters than letters and
+Canonical form: lower case, copyright notices removed, every run of other characters than letters and
 digits a single space, and variant spellings written one way. Known licences go through the
 same expressions, so a match is an equality of digests. Built-in functions only.
 """
 
 from __future__ import annotations
 
+import re
 from functools import reduce
+from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 COPYRIGHT_LINE = r"(?m)^[ \t*#/;>|-]*(copyright|\(c\)|©)[^\n]*$"
+#: The lines removed: copyright with (c), a year, a placeholder or "by", or with a short owner's name. COPYRIGHT_LINE,
+#: which takes reflowed prose too, is the form of the check SQL; the two differ on such prose only.
+_YEAR = r"(?:©|\(c\)|[\[<{]|\d{4}\b)"
+_PROSE = (
+    "also|and|are|as|disclaimers?|doctrines|for|holders?|if|in|interests?|is|it|laws?|licen[cs]e[sd]?|licensing|like|lines?|may|"
+    "notices?|of|on|or|owners?|ownership|patent|permissions?|protection|shall|statements?|that|this|those|to|treat(?:y|ies)|"
+    r"under|which|will|with|the(?![^\n]*\b(?:authors?|company|contributors|developers|foundation|project|regents|team|university)\b)"
+)
+NOTICE_LINE = (
+    r"(?m)^[ \t*#/;>|-]*(?:©|\(c\)[ \t]*(?:copyright\b|" + _YEAR + r")"
+    r"|copyright[ \t:,]*(?:" + _YEAR + r"|by\b)"
+    r"|copyright[ \t:]+(?!(?:" + _PROSE + r")\b)\p{L}\S*(?:[ \t]+\S+){0,7}[ \t]*$)[^\n]*$"
+)
 NOT_WORD = r"[^\p{L}\p{N}\n]+"
 
 # Equivalent spellings of public licence-matching guidelines, as patterns and replacements.
@@ -31,6 +47,17 @@ SPELLINGS = [
     (r"\bwilful", "willful"),
 ]
 
+# Lines that stand above whole texts.
+_TITLES = {
+    "MIT": ["MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)"],
+    "ISC": ["ISC License", "The ISC License", "ISC License (ISC)", "ISC License (ISCL)"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "The BSD 2-Clause License", 'BSD 2-Clause "Simplified" License', "BSD License"],
+    "BSD-3-Clause": [
+        "BSD 3-Clause License", "The BSD 3-Clause License", 'BSD 3-Clause "New" or "Revised" License', "BSD License",
+        "New BSD License", "Modified BSD License",
+    ],
+}
+
 # Public notices, and short public licences as whole texts.
 _NOTICES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0"),
@@ -81,15 +108,37 @@ IN THE SOFTWARE.""",
 ]
 
 
+def whole_licenses() -> list[tuple[str, str]]:
+    """(license_id, text): whole texts and their usual variants of title, list marks and appendix."""
+    files = sorted(Path(__file__).with_name("licenses").glob("*.txt"))
+    own_notices = re.compile(NOTICE_LINE.replace(r"\p{L}", r"[^\W\d_]"), re.IGNORECASE)
+    texts = [(f.name.removesuffix(".txt").removesuffix(".regents"), own_notices.sub("", f.read_text())) for f in files]
+    out = []
+    for name, text in [*texts, *((i, t) for i, t in _NOTICES if i in _TITLES and "\n\n" in t)]:
+        body = {text: None}
+        ends = re.search(r"(?m)^.*END OF TERMS AND CONDITIONS.*$", text)
+        if ends:  # what follows says how to apply the licence
+            body |= {text[: ends.end()]: None, text[: ends.start()]: None}
+        if name == "Apache-2.0":
+            body |= {t[t.index("TERMS AND CONDITIONS FOR USE") :]: None for t in list(body)}
+        if name.startswith("BSD"):
+            body[re.sub(r"(?m)^\d\. ", "* ", text)] = None
+        above = ["", *_TITLES.get(name, [])]
+        if name in _TITLES:
+            above += [f"{t}\nAll rights reserved." for t in above]
+        out += [(name, f"{t}\n{b}") for b in body for t in above]
+    return out
+
+
 def known_licenses(spark: SparkSession) -> DataFrame:
-    """(license_id, text) of the notices above; any table of that shape can take its place."""
-    rows = [F.struct(F.lit(i).alias("license_id"), F.lit(t).alias("text")) for i, t in _NOTICES]
-    return spark.range(1).select(F.inline(F.array(*rows)))
+    """(license_id, text) of notices and whole licences; any table of that shape can take its place."""
+    names, texts = zip(*_NOTICES, *whole_licenses())
+    return spark.createDataFrame(pa.table({"license_id": pa.array(names), "text": pa.array(texts)}))
 
 
 def canonical_lines(text: Column) -> Column:
     """The canonical lines of a text that hold a word, in order."""
-    plain = F.regexp_replace(F.regexp_replace(F.lower(text), COPYRIGHT_LINE, ""), NOT_WORD, " ")
+    plain = F.regexp_replace(F.regexp_replace(F.lower(text), NOTICE_LINE, ""), NOT_WORD, " ")
     found = plain.rlike("|".join(p for p, _ in SPELLINGS))
     spelled = reduce(lambda c, s: F.regexp_replace(c, *s), SPELLINGS, plain)
     lines = F.split(F.when(found, spelled).otherwise(plain), "\n")
@@ -98,7 +147,10 @@ def canonical_lines(text: Column) -> Column:
 
 def canonical_digest(lines: Column) -> Column:
     """SHA-256 of canonical lines as one text; where line breaks stood makes no difference."""
-    return F.sha2(F.array_join(lines, " "), 256)
+    joined = F.array_join(lines, " ")
+    across = [s for s in SPELLINGS if " " in s[0]]  # a line break may have stood inside
+    spelled = reduce(lambda c, s: F.regexp_replace(c, *s), across, joined)
+    return F.sha2(F.when(joined.rlike("|".join(p for p, _ in across)), spelled).otherwise(joined), 256)
 
 
 def scan_licenses(documents: DataFrame, known: DataFrame) -> DataFrame:

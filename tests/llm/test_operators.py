@@ -212,6 +212,35 @@ def test_known_licenses_match_themselves(spark):
     assert all(found[r.doc_id] == r.license_id for r in own.collect())
 
 
+def test_whole_licenses_titled_and_reflowed(spark, docs):
+    import re
+    import textwrap
+    from pathlib import Path
+
+    from lakemart.llm import license_scan
+
+    texts = {f.name.removesuffix(".txt").removesuffix(".regents"): f.read_text() for f in Path(license_scan.__file__).with_name("licenses").glob("*.txt")}
+    texts |= {i: t for i, t in license_scan._NOTICES if "\n\n" in t}
+    assert {"MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause", "Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0"} <= set(texts)
+    rows, want = [], []
+    for name, text in texts.items():
+        titled = f"{license_scan._TITLES.get(name, [''])[-1]}\n\nCopyright (c) 2021, Some One\nAll rights reserved.\n\n{text}"
+        forms = [text, f"Copyright 2020 Some One\n\n{text}"] + [titled] * (name in license_scan._TITLES)
+        for width in range(24, 110, 7):
+            lines = [p if re.search(r"(?i)\(c\)\s+([\d<_]|year)|\[yyyy", p) else textwrap.fill(p, width, break_long_words=False) for p in text.split("\n\n")]
+            forms.append("\n\n".join(lines))
+        for form in forms:
+            want.append((len(rows), name))
+            rows.append((len(rows), form))
+    found = {r.doc_id: r.license_id for r in scan_licenses(docs(*rows), known_licenses(spark)).collect()}
+    assert [(i, n, found[i]) for i, n in want if found[i] != n] == []
+    prose = docs((1, "copyright holders be liable"), (2, "(c) you must retain"), (3, "Copyright The Some Authors\nReleased under the MIT License"), (4, "Copyright: Some One\nReleased under the MIT License"))
+    found = {r.doc_id: r for r in scan_licenses(prose, known_licenses(spark)).collect()}
+    assert found[1].canonical_sha256 == hashlib.sha256(b"copyright owner be liable").hexdigest()
+    assert found[2].canonical_sha256 == hashlib.sha256(b"c you must retain").hexdigest()
+    assert found[3].license_id == found[4].license_id == "MIT"
+
+
 # op5, op6
 
 
