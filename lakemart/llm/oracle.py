@@ -130,10 +130,57 @@ select d.doc_id, count(k) as n_chunks, coalesce(string_agg(k::varchar, ',' order
     sha256(coalesce(string_agg(body, chr(10) order by k) filter (not later), '')) as kept_sha256
 from documents d left join ranked r using (doc_id) group by d.doc_id"""
 
+OP13 = """
+with letters as (select unnest(['A', 'B', 'C', 'D', 'E']) as l),
+orders as (
+    select a.l || b.l || c.l || d.l || e.l as filter_order
+    from letters a join letters b on b.l <> a.l join letters c on c.l not in (a.l, b.l)
+    join letters d on d.l not in (a.l, b.l, c.l) join letters e on e.l not in (a.l, b.l, c.l, d.l)
+),
+texts as (
+    select doc_id, coalesce(source, '') as part, coalesce(text, '') as text,
+        regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as w
+    from documents
+),
+firsts as (select text, min(doc_id) as first from texts group by text),
+judged as (select doc_id, max(quality = 1) as good, max(toxic = 1) as toxic from labels group by doc_id),
+failing as (
+    select part, coalesce(good, false) as good, coalesce(toxic, false) as toxic,
+        case when len(w) < 50 then 'A' else '' end
+        || case when 100 * len(list_distinct(w)) < 65 * len(w) then 'B' else '' end
+        || case when 100 * len(regexp_extract_all(text, '[A-Z]')) > 5 * length(text) then 'C' else '' end
+        || case when regexp_matches(text, '[#$%&*|]') then 'D' else '' end
+        || case when doc_id > first then 'E' else '' end as fails
+    from texts join firsts using (text) left join judged using (doc_id)
+),
+masks as (
+    select part, fails, count(*) as n, count(*) filter (good) as n_good, count(*) filter (toxic) as n_toxic
+    from failing group by all
+),
+steps as (
+    select filter_order, step::int as step, substr(filter_order, step, 1) as l, substr(filter_order, 1, step - 1) as before
+    from orders, range(1, 6) t(step)
+),
+fates as (
+    select *, contains(fails, l) as now, length(translate(fails, before, '')) < length(fails) as earlier from masks, steps
+),
+counted as (
+    select part, filter_order, step, l,
+        coalesce(sum(n) filter (not now and not earlier), 0)::bigint as kept,
+        coalesce(sum(n) filter (now and not earlier), 0)::bigint as removed,
+        coalesce(sum(n) filter (now and earlier), 0)::bigint as redundant,
+        coalesce(sum(n) filter (fails = l), 0)::bigint as unique_fails,
+        coalesce(sum(n_good) filter (now and not earlier), 0)::bigint as good_lost,
+        coalesce(sum(n_toxic) filter (now and not earlier), 0)::bigint as toxic_lost
+    from fates group by all
+)
+select * exclude (l), (sum(removed) over (partition by part, l))::bigint as shapley from counted"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_embedding_dedup": OP1,
     "op2_ngram_jaccard_join": OP2,
     "op4_license_scan": OP4,
     "op5_substring_dedup": OP5,
     "op6_line_dedup": OP6,
+    "op13_filter_audit": OP13,
 }

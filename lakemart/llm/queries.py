@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lakemart.llm.bpe import decode_documents, encode_documents
 from lakemart.llm.decontaminate import find_leaks
 from lakemart.llm.embedding_dedup import embedding_groups
+from lakemart.llm.filter_audit import audit_filters
 from lakemart.llm.jaccard_join import jaccard_groups
 from lakemart.llm.language_id import identify_languages, is_held_out, learn
 from lakemart.llm.license_scan import known_licenses, scan_licenses
@@ -112,6 +113,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_filters(spark, _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 REGISTRY: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -125,5 +130,6 @@ REGISTRY: dict[str, Query] = {
         op8_bpe,
         op9_decontamination,
         op10_token_files,
+        op13_filter_audit,
     )
 }
