@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lakemart.llm.bpe import decode_documents, encode_documents
 from lakemart.llm.decontaminate import find_leaks
 from lakemart.llm.embedding_dedup import embedding_groups
+from lakemart.llm.entropy_mix import mix_sources
 from lakemart.llm.filter_audit import audit_filters
 from lakemart.llm.jaccard_join import jaccard_groups
 from lakemart.llm.language_id import identify_languages, is_held_out, learn
@@ -113,6 +114,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(spark, _read(spark, sf_dir, "documents"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_filters(spark, _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
@@ -130,6 +135,7 @@ REGISTRY: dict[str, Query] = {
         op8_bpe,
         op9_decontamination,
         op10_token_files,
+        op12_source_mix,
         op13_filter_audit,
     )
 }

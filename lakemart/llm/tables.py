@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import gc
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from lakemart.session import folder_bytes, scratch_path
 
@@ -44,7 +44,7 @@ class Scratch:
         gc.collect()
         self.spark.sparkContext._jvm.System.gc()
 
-    def join_small(self, big: DataFrame, table: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+    def join_small(self, big: DataFrame, table: DataFrame, on: str | list[str] | Column, how: str = "inner") -> DataFrame:
         """Join to a written table, sent to every executor only if its files are small."""
         folders = {f.rsplit("/", 1)[0] for f in table.inputFiles()}
         small = folder_bytes(self.spark, *folders) <= BROADCAST_BYTES
