@@ -130,6 +130,49 @@ select d.doc_id, count(k) as n_chunks, coalesce(string_agg(k::varchar, ',' order
     sha256(coalesce(string_agg(body, chr(10) order by k) filter (not later), '')) as kept_sha256
 from documents d left join ranked r using (doc_id) group by d.doc_id"""
 
+
+def _assigned(book: str) -> str:
+    """Each part's nearest entry, the lower one on ties, as (r, p, e, error)."""
+    return f"""
+    select r, p, min(struct_pack(q := q, e := e)).e as e, min(struct_pack(q := q, e := e)).q as error from (
+        select c.r, c.p, b.e, sum((c.x - b.x) * (c.x - b.x))::bigint as q
+        from components c join {book} b using (p, d) group by c.r, c.p, b.e
+    ) group by r, p"""
+
+
+def _moved(book: str, assigned: str) -> str:
+    return f"""
+    select b.p, b.e, b.d, coalesce(m.x, b.x) as x from {book} b left join (
+        select c.p, a.e, c.d, floor(sum(c.x)::double / count(*))::bigint as x
+        from components c join {assigned} a using (r, p) group by c.p, a.e, c.d
+    ) m using (p, e, d)"""
+
+
+OP11 = f"""
+with kept as (
+    select row_number() over (order by vec_id) as r, vec_id, label,
+        list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v
+    from embeddings
+    where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+),
+components as (
+    select r, (i // (len(v) // 16))::int as p, (i % (len(v) // 16))::int as d, v[i + 1] as x
+    from (select *, unnest(range(0, len(v))) as i from kept)
+),
+book0 as (select p, (r - 1)::int as e, d, x from components where r <= 64),
+near0 as ({_assigned("book0")}),
+book1 as ({_moved("book0", "near0")}),
+near1 as ({_assigned("book1")}),
+book2 as ({_moved("book1", "near1")}),
+near2 as ({_assigned("book2")}),
+coded as (
+    select vec_id, label, string_agg(lpad(format('{{:x}}', e), 2, '0'), '' order by p) as code, sum(error)::bigint as error
+    from near2 join kept using (r) group by r, vec_id, label
+)
+select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error,
+    (select sha256(string_agg(x::varchar, ',' order by p, e, d)) from book2) as codebooks_sha256
+from coded"""
+
 OP13 = """
 with letters as (select unnest(['A', 'B', 'C', 'D', 'E']) as l),
 orders as (
@@ -182,5 +225,6 @@ ORACLE_SQL: dict[str, str] = {
     "op4_license_scan": OP4,
     "op5_substring_dedup": OP5,
     "op6_line_dedup": OP6,
+    "op11_vector_codes": OP11,
     "op13_filter_audit": OP13,
 }

@@ -19,6 +19,7 @@ from lakemart.llm.line_dedup import dedup_lines
 from lakemart.llm.substring_dedup import dedup_units
 from lakemart.llm.suffix_dedup import dedup_substrings
 from lakemart.llm.token_files import read_token_files, write_token_files
+from lakemart.llm.vector_codes import code_report
 from lakemart.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -114,6 +115,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return code_report(spark, _read(spark, sf_dir, "embeddings"))
+
+
 def op12_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(spark, _read(spark, sf_dir, "documents"))
 
@@ -135,6 +140,7 @@ REGISTRY: dict[str, Query] = {
         op8_bpe,
         op9_decontamination,
         op10_token_files,
+        op11_vector_codes,
         op12_source_mix,
         op13_filter_audit,
     )
