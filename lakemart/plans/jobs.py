@@ -9,11 +9,12 @@ from functools import partial
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from lakemart.operators.quality import GateError, enforce, gate_file_count, gate_unique
-from lakemart.operators.scd2 import scd2_merge
+from lakemart.operators.scd2 import OBSERVED, first_observed, scd2_merge, scd2_splice
 from lakemart.plans import gold, marts
 from lakemart.plans.silver import csv_to_silver
 from lakemart.schemas import SILVER
 from lakemart.session import folder_bytes, scratch_path, sized_shuffles
+from lakemart.sinks.buckets import is_bucketed
 from lakemart.sinks.tables import write_table
 from lakemart.sources.files import file_inventory, read_catalogue
 from lakemart.sources.tables import (
@@ -24,6 +25,7 @@ from lakemart.sources.tables import (
     read_table,
     versions,
 )
+from lakemart.streaming.silver import read_silver
 
 CLUSTER_BY = ("customer_id", "product_id")
 TRACKED = ("product_category_en",)
@@ -79,7 +81,7 @@ def publish_all(
 
 def current_bytes(spark: SparkSession, *paths: str) -> int:
     """Size of the current versions of some tables."""
-    folders = [current_folder(spark, p) for p in paths]
+    folders = [f"{p}/data" if is_bucketed(spark, p) else current_folder(spark, p) for p in paths]
     return folder_bytes(spark, *[f for f in folders if f])
 
 
@@ -116,11 +118,19 @@ def bronze_to_silver(
 def product_history(
     spark: SparkSession, path: str, today: DataFrame, run_date: str | Column | None
 ) -> DataFrame:
-    """Today's products folded into the written history, or the first day's rows alone."""
-    if run_date is None or not versions(spark, path):
+    """Today's products folded into the written history, or the first day's rows alone.
+
+    Days may come in any order: a run for an earlier day splits the versions it falls into. Tables written before the days
+    of a version were kept take later days only.
+    """
+    if run_date is None:
         return today
     incoming = gold.product_attributes(today)
-    return scd2_merge(read_table(spark, path), incoming, ["product_id"], TRACKED, run_date)
+    if not versions(spark, path):
+        return first_observed(incoming, run_date, run_date)
+    history = read_table(spark, path)
+    fold = scd2_splice if OBSERVED in history.columns else scd2_merge
+    return fold(history, incoming, ["product_id"], TRACKED, run_date)
 
 
 def write_clustered(
@@ -156,7 +166,7 @@ def silver_to_gold(
     clusters it. ``keep_history`` folds products into their validity intervals instead of
     overwriting them.
     """
-    table = {name: read_table(spark, f"{silver}/{name}") for name in SILVER}
+    table = {name: read_silver(spark, silver, spec) for name, spec in SILVER.items()}
     product = gold.dim_product(table["products"], read_catalogue(spark, catalogue), run_date)
     if keep_history:
         product = product_history(spark, f"{target}/dim_product", product, run_date)

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from lakemart.functions.dates import iso_month
 from lakemart.functions.money import amount, weighted_amount, weighted_steps
 from lakemart.operators.aggregates import sales_by_product
+from lakemart.operators.running import running_totals
 from lakemart.plans.marts import count_new_and_returning, current, customer_days, customer_ltv, sales_by_category
 
 SCORES = (1, 2, 3, 4, 5)
@@ -44,8 +45,7 @@ def category_share(fact: DataFrame, product: DataFrame) -> DataFrame:
 def margin_waterfall(fact: DataFrame, product: DataFrame) -> DataFrame:
     """Estimated margin per category with its running total, largest first.
 
-    The running total is over the category names of the translation table, a closed
-    vocabulary of a few dozen, so its single window group does not grow with the data.
+    The running total is made in two levels, so the number of categories has no bound.
     """
     priced = current(product).select("product_id", "product_category_en", "margin_pct")
     margins = (
@@ -54,12 +54,11 @@ def margin_waterfall(fact: DataFrame, product: DataFrame) -> DataFrame:
         .groupBy("product_category_en")
         .agg(weighted_steps(F.col("cents"), "margin_pct").alias("margin"))
     )
-    order = Window.orderBy(F.col("margin").desc_nulls_last(), F.col("product_category_en"))
-    running = F.sum("margin").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    return margins.select(
+    order = [F.col("margin").desc_nulls_last(), F.col("product_category_en").asc_nulls_first()]
+    return running_totals(margins, order, {"running": "margin"}).select(
         "product_category_en",
         weighted_amount("margin").alias("margin"),
-        weighted_amount(running).alias("running_margin"),
+        weighted_amount("running").alias("running_margin"),
     )
 
 

@@ -25,6 +25,7 @@ TRANSLATION = [
 ]
 
 CHANGED_CATEGORY = "electronics_changed"
+INTERIM_CATEGORY = "electronics_interim"
 
 
 class Inputs:
@@ -203,3 +204,23 @@ class Inputs:
                 F.col("order_status")
             ),
         )
+
+    @cached_property
+    def catalogue_interim(self) -> DataFrame:
+        """The catalogue of the day between, as far as it was noted: a third of the products, some changed."""
+        number = F.col("product_id").cast("bigint")
+        category = F.when(number % 2 == 0, F.lit(INTERIM_CATEGORY)).otherwise(F.col("category_en"))
+        return self.catalogue_all.where(number % 3 == 0).withColumn("category_en", category)
+
+    @cached_property
+    def orders_closed(self) -> DataFrame:
+        """A third day's snapshot as text: delivered orders are closed, and some rows cannot be read."""
+        number = F.col("order_id").cast("bigint")
+        bad_time = F.when(number % 10 == 0, F.lit("not a time")).otherwise(F.col("order_purchase_timestamp").cast("string"))
+        delivered = self.orders.where("order_status = 'delivered'").withColumn("order_status", F.lit("closed"))
+        return delivered.withColumns(
+            {
+                "order_purchase_timestamp": bad_time,
+                "customer_id": F.when(number % 7 != 0, F.col("customer_id")),
+            }
+        )

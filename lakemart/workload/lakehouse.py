@@ -20,6 +20,20 @@ from lakemart.workload.inputs import Inputs
 
 RUN_DATE = "2024-01-01"
 NEXT_DATE = "2024-01-02"
+LAST_DATE = "2024-01-03"
+#: Ranges of days that figures are asked for: overlapping, of one day, and without sales.
+RANGES = [
+    ("1992-01-01", "1998-12-31"),
+    ("1992-01-01", "1992-01-31"),
+    ("1993-02-14", "1993-02-14"),
+    ("1993-07-01", "1994-06-30"),
+    ("1994-01-01", "1994-12-31"),
+    ("1995-03-01", "1995-03-07"),
+    ("1995-12-31", "1996-01-01"),
+    ("1996-01-01", "1998-08-02"),
+    ("1997-04-01", "1997-06-30"),
+    ("2030-01-01", "2030-12-31"),
+]
 RUN_TS = "2024-01-01 02:00:00"
 
 _written: dict[tuple[str, str, str], str] = {}

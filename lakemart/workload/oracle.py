@@ -8,8 +8,8 @@ from __future__ import annotations
 
 import re
 
-from lakemart.workload.inputs import CHANGED_CATEGORY
-from lakemart.workload.lakehouse import NEXT_DATE, RUN_DATE, RUN_TS
+from lakemart.workload.inputs import CHANGED_CATEGORY, INTERIM_CATEGORY
+from lakemart.workload.lakehouse import LAST_DATE, NEXT_DATE, RANGES, RUN_DATE, RUN_TS
 
 MAPPING = {
     "fx_translation": """
@@ -140,6 +140,22 @@ select product_id, category_en, margin_pct,
  case when cast(product_id as bigint) % 11 = 0 then date '1900-01-01' else date '{NEXT_DATE}' end as effective_from,
  cast(null as date) as effective_to, true as is_current
 from catalogue_next where cast(product_id as bigint) % 7 = 0 or cast(product_id as bigint) % 11 = 0""",
+    "catalogue_days": f"""
+select product_id, category_en, margin_pct, date '{RUN_DATE}' as day from fx_catalogue
+union all select product_id, category_en, margin_pct, date '{LAST_DATE}' from catalogue_next
+union all select product_id, case when cast(product_id as bigint) % 2 = 0 then '{INTERIM_CATEGORY}' else category_en end,
+ margin_pct, date '{NEXT_DATE}' from catalogue_all where cast(product_id as bigint) % 3 = 0""",
+    "catalogue_runs": """
+select *, sum(begins) over (partition by product_id order by day) as island from (
+ select *, case when category_en is distinct from lag(category_en) over (partition by product_id order by day) then 1 else 0 end as begins
+ from catalogue_days) d""",
+    "catalogue_versions": """
+select product_id, island, min(category_en) as category_en, min(margin_pct) as margin_pct, min(day) as first_day,
+ cast(count(*) as int) as days_seen
+from catalogue_runs group by product_id, island""",
+    "closed_orders": f"""
+select *, cast(order_id as bigint) % 10 = 0 as bad_time, cast(order_id as bigint) % 7 = 0 as no_customer
+from fx_orders where order_status = 'delivered'""",
     "sales_by_category": """
 select p.product_category_en, sum(cast(f.gross_revenue as decimal(18,2))) as revenue, count(f.order_item_id) as items_sold
 from fact f join dim_product p on p.product_id = f.product_id group by p.product_category_en""",
@@ -513,6 +529,39 @@ select order_id, order_item_id, concat_ws(',', r1, r2) as reasons from bad_cells
 select i.order_id, i.order_item_id, i.product_id, i.seller_id, i.shipping_limit_date, i.price, i.freight_value
 from fx_order_items_raw i where cast(order_id as bigint) % 10 <> 3 and cast(order_id as bigint) % 17 <> 5""",
     "incremental_ingest": ORDERS_NEXT,
+    # upkeep
+    "scd2_late_version": """
+select product_id, category_en, margin_pct,
+ case when row_number() over w = 1 then date '1900-01-01' else first_day end as effective_from,
+ lead(first_day) over w as effective_to, lead(first_day) over w is null as is_current, days_seen
+from catalogue_versions window w as (partition by product_id order by island)""",
+    "incremental_to_silver": """
+select o.order_id, o.customer_id,
+ case when c.order_id is not null then 'closed' when o.order_status = 'processing' then 'shipped' else o.order_status end as order_status,
+ o.order_purchase_timestamp, o.order_delivered_customer_date
+from fx_orders o left join closed_orders c on c.order_id = o.order_id and not c.bad_time and not c.no_customer""",
+    "incremental_refused": f"""
+select order_id, 'closed' as order_status, date '{LAST_DATE}' as ingest_date,
+ concat_ws(',', case when no_customer then 'missing customer_id' end, case when bad_time then 'bad order_purchase_timestamp' end) as reasons
+from closed_orders where bad_time or no_customer""",
+    "fact_sales_incremental": FACT,
+    "kpis_by_range": " union all ".join(
+        f"""
+select date '{a}' as first_day, date '{b}' as last_day, count(distinct order_id) as orders, count(distinct customer_id) as customers,
+ count(distinct product_id) as products, count(distinct seller_id) as sellers,
+ cast(coalesce(sum(cast(gross_revenue as decimal(18,2))), 0) as double) as revenue,
+ floor(avg(review_score) * 100 + 0.5) / 100.0 as avg_review_score, floor(avg(delivery_days) * 10 + 0.5) / 10.0 as avg_delivery_days
+from fact where order_date between date '{a}' and date '{b}'"""
+        for a, b in RANGES
+    ),
+    "gate_outputs": """
+select 'top_categories has 3 rows' as "check", count(*) = 3 as ok, cast(count(*) as double) as observed
+from (select * from sales_by_category where product_category_en <> 'unknown' limit 3) t
+union all select 'top_categories is sorted', true, cast(0 as double)
+union all select 'top_categories has no unknown category', true, cast(0 as double)
+union all select 'top_sellers has 10 rows', count(*) = 10, cast(count(*) as double) from (select * from seller_sales limit 10) t
+union all select 'top_sellers is sorted', true, cast(0 as double)
+union all select 'revenue_trend is sorted', true, cast(0 as double)""",
 }
 
 

@@ -22,11 +22,20 @@ from lakemart.functions.text import category_tags, flat_tags, looks_like_month,
 from lakemart.operators.aggregates import first_order, order_total, payment_total, sales_by_product
 from lakemart.operators.dedup import dedup
 from lakemart.operators.joins import join_spread
-from lakemart.operators.quality import expectations, file_count, gate_unique, row_floor
+from lakemart.operators.quality import expectations, file_count, gate_output, gate_unique, row_floor
 from lakemart.operators.reviews import latest_review, latest_review_ranked
-from lakemart.operators.scd2 import FLOOR_DATE, as_of_join, scd2_merge, with_validity
+from lakemart.operators.scd2 import (
+    FLOOR_DATE,
+    OBSERVED,
+    as_of_join,
+    first_observed,
+    scd2_merge,
+    scd2_splice,
+    with_validity,
+)
 from lakemart.operators.upsert import upsert, upsert_metrics
 from lakemart.plans import gold, marts, reports
+from lakemart.plans import daily_state, fact_increment
 from lakemart.plans.catalogue import build_catalogue, margin_from_number
 from lakemart.plans.silver import csv_to_silver, latest_snapshot, split_bad_rows, with_lineage
 from lakemart.schemas import (
@@ -55,7 +64,8 @@ from lakemart.sources.files import (
 )
 from lakemart.sources.tables import read_partitioned, read_table, register_views
 from lakemart.streaming.incremental import current_rows, ingest_incremental
-from lakemart.workload.lakehouse import NEXT_DATE, RUN_DATE, Lakehouse, run_ts
+from lakemart.streaming.silver import REASONS, cleaned_rows, ingest_to_silver, refused_rows
+from lakemart.workload.lakehouse import LAST_DATE, NEXT_DATE, RANGES, RUN_DATE, Lakehouse, run_ts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -906,3 +916,80 @@ def incremental_orders(lake: Lakehouse) -> DataFrame:
         source = land_csv(rows, root, "orders", day)
         ingest_incremental(spark, source, ddl, keys, target, checkpoint)
     return current_rows(spark, target, ddl, keys)
+
+
+# ---- upkeep: days that come late, tables and figures kept up to date by what changed
+
+
+@register()
+def scd2_late_version(lake: Lakehouse) -> DataFrame:
+    """Three days of the catalogue, the one between folded in last."""
+    columns = ["product_id", "category_en", "margin_pct"]
+    key, tracked = ["product_id"], ["category_en"]
+    history = first_observed(lake.raw.catalogue.select(columns), RUN_DATE)
+    history = scd2_splice(history, lake.raw.catalogue_next.select(columns), key, tracked, LAST_DATE)
+    history = scd2_splice(history, lake.raw.catalogue_interim.select(columns), key, tracked, NEXT_DATE)
+    return history.withColumn("days_seen", F.size(OBSERVED)).drop(OBSERVED)
+
+
+def streamed_orders(lake: Lakehouse) -> tuple[str, str]:
+    """Three days of files streamed into a bucketed table, one day a run; returns it and its schema."""
+    spark, orders = lake.spark, lake.raw.orders
+    root, target, checkpoint = (scratch_path(spark, n) for n in ("landing", "silver-orders", "progress"))
+    ddl, keys, required = ddl_of(orders, "orders"), tuple(NATURAL_KEYS["orders"]), tuple(REQUIRED["orders"])
+    for day, rows in ((RUN_DATE, orders), (NEXT_DATE, lake.raw.orders_next), (LAST_DATE, lake.raw.orders_closed)):
+        source = land_csv(rows, root, "orders", day)
+        ingest_to_silver(spark, source, ddl, keys, required, target, checkpoint, buckets=16)
+    return target, ddl
+
+
+@register()
+def incremental_to_silver(lake: Lakehouse) -> DataFrame:
+    return cleaned_rows(lake.spark, *streamed_orders(lake))
+
+
+@register()
+def incremental_refused(lake: Lakehouse) -> DataFrame:
+    refused = refused_rows(lake.spark, *streamed_orders(lake))
+    return refused.select("order_id", "order_status", "ingest_date", F.array_join(REASONS, ",").alias("reasons"))
+
+
+@register()
+def fact_sales_incremental(lake: Lakehouse) -> DataFrame:
+    """The fact of an earlier state, brought up to date with items, payments and reviews that came late and changed orders."""
+    tables = {n: lake.silver(n) for n in ("order_items", "orders", "payments", "reviews")}
+    earlier = {
+        "order_items": tables["order_items"].where("order_item_id < 4"),
+        "orders": lake.raw.orders_next,
+        "payments": tables["payments"].where("payment_sequential < 3"),
+        "reviews": tables["reviews"].where("review_creation_date is not null"),
+    }
+    target = scratch_path(lake.spark, "fact-by-day")
+    fact_increment.refresh_fact(lake.spark, earlier, target, "month")
+    fact_increment.refresh_fact(lake.spark, tables, target, "month")
+    return fact_increment.read_fact(lake.spark, tables, target)
+
+
+@register()
+def kpis_by_range(lake: Lakehouse) -> DataFrame:
+    """Key figures of ten ranges of days, merged from the state of each day."""
+    spark, fact = lake.spark, lake.fact()
+    ids = {kind: daily_state.dense_ids(fact.select(key)) for kind, key in daily_state.COUNTED.items()}
+    state, sums = scratch_path(spark, "daily-bitmaps"), scratch_path(spark, "daily-sums")
+    write_table(daily_state.daily_bitmaps(fact, ids), state)
+    write_table(daily_state.daily_sums(fact), sums)
+    return daily_state.kpis_of_ranges(read_table(spark, state), read_table(spark, sums), RANGES)
+
+
+@register()
+def gate_outputs(lake: Lakehouse) -> DataFrame:
+    """Ranked answers as readers get them: size, order, no unknown category."""
+    fact, product, seller = lake.fact(), lake.product(), lake.seller()
+    categories = gate_output(
+        marts.top_categories(fact, product, 3), "top_categories", 3, [("revenue", True), ("category", False)], "category"
+    )
+    sellers = gate_output(
+        marts.top_sellers(fact, seller, 10), "top_sellers", 10, [("revenue", True), ("seller_id", False)]
+    )
+    months = gate_output(marts.revenue_trend(fact).orderBy("month"), "revenue_trend", 80, [("month", False)])
+    return categories.unionByName(sellers).unionByName(months.where("check like '%sorted'"))
