@@ -94,13 +94,14 @@ def dedup_units(
         "units",
     )
     digest = ["d1", "d2"]
+    # These lists grow with the corpus: they meet by a shuffle at every size.
     often = scratch.write(units.groupBy(digest).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(digest), "often")
-    repeats = scratch.write(scratch.join_small(units, often, digest), "repeats")
+    repeats = scratch.write(units.join(often.hint("merge"), digest), "repeats")
     firsts = scratch.write(repeats.groupBy(digest).agg(F.min(F.struct("doc_id", "start")).alias("first")), "firsts")
-    later = scratch.join_small(repeats, firsts, digest).where("doc_id <> first.doc_id or start <> first.start")
+    later = repeats.join(firsts.hint("merge"), digest).where("doc_id <> first.doc_id or start <> first.start")
     spans = scratch.write(
         later.groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("removed")), "spans"
     )
-    return scratch.join_small(documents, spans, "doc_id", "left").mapInArrow(
+    return documents.join(spans.hint("merge"), "doc_id", "left").mapInArrow(
         _without, "doc_id long, text string, removed array<struct<start: long, end: long>>"
     )
