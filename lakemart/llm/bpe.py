@@ -15,7 +15,7 @@ import json
 import os
 import re
 from collections.abc import Callable, Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,10 +29,11 @@ from lakemart.llm.tables import Scratch
 LONG_UNIT = 4_096
 #: Characters of a document above which its pieces are encoded by different tasks.
 PIECE = 65_536
-#: Distinct units of one generation; a task remembers the present and the last one.
-REMEMBERED = 350_000
+#: Bytes, about, of the units of one generation; a task remembers the present and the last one.
+REMEMBERED = 64 << 20
+#: Bytes that a remembered unit takes besides its text and ids.
+OVERHEAD = 200
 
-_IRREGULAR = re.compile(r"\s |^ | \s| $")
 _CUT = re.compile(r"(?<=\S)(?= \S)")
 
 
@@ -43,32 +44,54 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(next(spare)) for b in range(256)]
 
 
-class Coder:
-    """Encodes and decodes with one tokenizer file."""
+class Vocabulary:
+    """The bytes of every id of one tokenizer file: all that decoding needs."""
 
     def __init__(self, path: str):
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        tokens = {i: t for t, i in spec["model"]["vocab"].items()}
+        tokens.update((t["id"], t["content"]) for t in spec.get("added_tokens") or [])
+        byte_of = {letter: b for b, letter in enumerate(_byte_letters())}
+        self.size = max(tokens, default=-1) + 1
+        texts = (tokens.get(i, "") for i in range(self.size))
+        self.bytes = [bytes(byte_of[c] for c in t) if all(c in byte_of for c in t) else t.encode() for t in texts]
+
+    def decode_bytes(self, ids) -> bytes:
+        return b"".join(map(self.bytes.__getitem__, ids))
+
+    def decode(self, ids: bytes) -> str:
+        """The text of ids, special tokens included; bytes that are no UTF-8 are replaced."""
+        return self.decode_bytes(np.frombuffer(ids, dtype="<u4").tolist()).decode("utf-8", errors="replace")
+
+
+class Coder(Vocabulary):
+    """Encodes with one tokenizer file, too."""
+
+    def __init__(self, path: str):
+        super().__init__(path)
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        letters = _byte_letters()
-        self._letters = {b: letter for b, letter in enumerate(letters)}
+        self._lengths = np.array([len(b) for b in self.bytes])
+        self._letters = dict(enumerate(_byte_letters()))
         self._special = {t.content: i for i, t in self.library.get_added_tokens_decoder().items()}
         self._split = re.compile("(" + "|".join(map(re.escape, self._special)) + ")") if self._special else None
-        # The same merges without splitting or special tokens: encodes any bytes as one unit.
-        spec = json.loads(self.library.to_str())
-        spec.update(added_tokens=[], normalizer=None, pre_tokenizer=None, post_processor=None, decoder=None)
-        self._whole = Tokenizer.from_str(json.dumps(spec))
-        byte_of = {letter: b for b, letter in enumerate(letters)}
-        size = self.library.get_vocab_size(with_added_tokens=True)
-        self.vocabulary_size = size
-        self._bytes = [
-            bytes(byte_of[c] for c in t) if all(c in byte_of for c in t) else t.encode()
-            for t in (self.library.id_to_token(i) or "" for i in range(size))
-        ]
-        self._lengths = np.array([len(b) for b in self._bytes])
+        self.forget()
+
+    def forget(self) -> None:
+        """Free the memory of units."""
         self._spaced: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
+        self._held = 0
+
+    @cached_property
+    def _whole(self) -> Tokenizer:
+        """The same merges without splitting or special tokens: encodes any bytes as one unit."""
+        spec = json.loads(self.library.to_str())
+        spec.update(added_tokens=[], normalizer=None, pre_tokenizer=None, post_processor=None, decoder=None)
+        return Tokenizer.from_str(json.dumps(spec))
 
     def _library_ids(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
@@ -114,30 +137,33 @@ class Coder:
             ids += self.tree_ids(unit[start:end].encode())
         return np.array(ids, dtype="<u4").tobytes()
 
+    def _cut_ids(self, text: str) -> bytes:
+        """Text with white space of any kind, cut where it certainly may be."""
+        units = _CUT.split(text)
+        short = iter(self._library_ids([u for u in units if len(u) <= LONG_UNIT]))
+        return b"".join(self._long_ids(u) if len(u) > LONG_UNIT else next(short) for u in units)
+
+    def _learn(self, words: list[str]) -> None:
+        """Remember words that follow a single space."""
+        new = {w: ids for w in words if (ids := self._older.get(w)) is not None}
+        new.update(self._units_ids([w for w in words if w not in new and len(w) < LONG_UNIT]))
+        new.update((w, self._long_ids(f" {w}")) for w in words if w not in new)
+        self._spaced.update(new)
+        self._held += sum(map(len, new)) + sum(map(len, new.values())) + OVERHEAD * len(new)
+
     def _plain_ids(self, text: str) -> bytes:
         """Text without special tokens."""
-        if _IRREGULAR.search(text):
-            units = _CUT.split(text)
-            long = [u for u in units if len(u) > LONG_UNIT]
-            if not long:
-                return b"".join(self._library_ids(units))
-            short = iter(self._library_ids([u for u in units if len(u) <= LONG_UNIT]))
-            return b"".join(self._long_ids(u) if len(u) > LONG_UNIT else next(short) for u in units)
         first, *rest = text.split(" ")
-        found = list(map(self._spaced.get, rest))
-        if None in found:
-            missing = dict.fromkeys(w for w, f in zip(rest, found) if f is None)
-            new = {w: ids for w in missing if (ids := self._older.get(w)) is not None}
-            new.update(self._units_ids([w for w in missing if w not in new and len(w) < LONG_UNIT]))
-            for w in missing:
-                if w not in new:
-                    new[w] = self._long_ids(f" {w}")
-            found = [new[w] if f is None else f for w, f in zip(rest, found)]
-            if len(self._spaced) + len(new) > REMEMBERED:
-                self._older, self._spaced = self._spaced, {}
-            self._spaced.update((w, ids) for w, ids in new.items() if len(w) < 64)
+        if self._held > REMEMBERED:
+            self._older, self._spaced, self._held = self._spaced, {}, 0
+        missing = [w for w in dict.fromkeys(rest) if w not in self._spaced]
+        # Words next to more white space are never remembered, so such texts are found among the new words.
+        if not first or first[-1].isspace() or any(not w or w[0].isspace() or w[-1].isspace() for w in missing):
+            return self._cut_ids(text)
+        if missing:
+            self._learn(missing)
         head = self._long_ids(first) if len(first) > LONG_UNIT else self._library_ids([first])[0]
-        return b"".join([head, *found])
+        return b"".join([head, *map(self._spaced.__getitem__, rest)])
 
     def encode(self, text: str) -> bytes:
         """The ids of a text as little-endian unsigned 32-bit integers."""
@@ -151,12 +177,11 @@ class Coder:
             if p
         )
 
-    def decode_bytes(self, ids) -> bytes:
-        return b"".join(map(self._bytes.__getitem__, ids))
 
-    def decode(self, ids: bytes) -> str:
-        """The text of ids, special tokens included; bytes that are no UTF-8 are replaced."""
-        return self.decode_bytes(np.frombuffer(ids, dtype="<u4").tolist()).decode("utf-8", errors="replace")
+@lru_cache(maxsize=2)
+def vocabulary(path: str) -> Vocabulary:
+    """One vocabulary per worker process and file."""
+    return Vocabulary(path)
 
 
 @lru_cache(maxsize=2)
@@ -186,19 +211,30 @@ def in_chunks(
         yield batch_of(held, schema)
 
 
+#: What becomes of a document's ids in the process that made them.
+Finish = Callable[[bytes], bytes]
+
+
+def as_made(ids: bytes) -> bytes:
+    return ids
+
+
 _ENCODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
 _CODED_PIECE = pa.schema([("doc_id", pa.int64()), ("digest", pa.string()), ("k", pa.int32()), ("inside", pa.bool_()), ("ids", pa.binary())])
 
 
-def _encode(path: str):
+def _encode(path: str, finish: Finish):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = coder(path)
         rows = (
-            (doc_id, code.encode(text or ""))
+            (doc_id, finish(code.encode(text or "")))
             for batch in batches
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist())
         )
-        yield from in_chunks(rows, _ENCODED, lambda r: len(r[1]))
+        try:
+            yield from in_chunks(rows, _ENCODED, lambda r: len(r[1]))
+        finally:
+            code.forget()  # the process serves other tasks next
 
     return run
 
@@ -256,12 +292,15 @@ def _encode_pieces(path: str):
             for batch in batches
             for doc_id, digest, k, inside, data in zip(*(c.to_pylist() for c in batch.columns))
         )
-        yield from in_chunks(rows, _CODED_PIECE, lambda r: len(r[4]))
+        try:
+            yield from in_chunks(rows, _CODED_PIECE, lambda r: len(r[4]))
+        finally:
+            code.forget()
 
     return run
 
 
-def _join_pieces(path: str):
+def _join_pieces(path: str, finish: Finish):
     """Rows sorted by document and piece: one row per document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -275,7 +314,7 @@ def _join_pieces(path: str):
                     joined[-1] = code.join(joined[-1], new)
                 else:
                     joined.append(new)
-            return b"".join(np.array(j, dtype="<u4").tobytes() for j in joined)
+            return finish(b"".join(np.array(j, dtype="<u4").tobytes() for j in joined))
 
         def rows() -> Iterator[tuple]:
             key, parts = None, {}
@@ -295,17 +334,17 @@ def _join_pieces(path: str):
     return run
 
 
-def encode_documents(spark: SparkSession, documents: DataFrame, path: str) -> DataFrame:
+def encode_documents(spark: SparkSession, documents: DataFrame, path: str, finish: Finish = as_made) -> DataFrame:
     """doc_id, ids (little-endian unsigned 32-bit integers) for every row of ``documents`` (doc_id, text).
 
     As the library encodes with add_special_tokens=False and without truncation or padding; ``path``
     names a tokenizer file of the byte-level kind, present on every executor. A null or empty text has no
     ids. A null doc_id is kept. Rows that share a doc_id are encoded each on its own. Other columns are
-    ignored.
+    ignored. ``finish`` is applied to every document's ids where they are made.
     """
     documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     long = F.length("text") > PIECE
-    short = documents.where(~F.coalesce(long, F.lit(False))).mapInArrow(_encode(path), "doc_id long, ids binary")
+    short = documents.where(~F.coalesce(long, F.lit(False))).mapInArrow(_encode(path, finish), "doc_id long, ids binary")
     scratch = Scratch(spark, "bpe")
     texts = documents.where(long).withColumn("digest", F.sha2("text", 256))
     coded = scratch.write(
@@ -318,7 +357,7 @@ def encode_documents(spark: SparkSession, documents: DataFrame, path: str) -> Da
     whole = (
         coded.repartition("doc_id", "digest")
         .sortWithinPartitions("doc_id", "digest")
-        .mapInArrow(_join_pieces(path), "doc_id long, digest string, ids binary")
+        .mapInArrow(_join_pieces(path, finish), "doc_id long, digest string, ids binary")
     )
     a, b = texts.select("doc_id", "digest").alias("a"), whole.alias("b")
     same = F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.digest") == F.col("b.digest"))
@@ -330,10 +369,10 @@ def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
     skip_special_tokens=False); null ids count as none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code = coder(path)
+        known = vocabulary(path)
         schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("text", pa.string())])
         rows = (
-            (doc_id, ids, code.decode(ids or b""))
+            (doc_id, ids, known.decode(ids or b""))
             for batch in batches
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), batch.column("ids").to_pylist())
         )

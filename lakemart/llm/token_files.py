@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from lakemart.llm.bpe import batch_of, coder, encode_documents, in_chunks
+from lakemart.llm.bpe import encode_documents, in_chunks, vocabulary
 from lakemart.llm.tables import Scratch
 
 #: Longest code in bits, ids between checkpoints, and ids after which a block is closed.
@@ -117,29 +117,21 @@ def unpack(payload: bytes, offsets: np.ndarray, counts: np.ndarray, table: tuple
     return out.T[back][np.arange(CHECKPOINT) < counts[:, None]]
 
 
-def _narrow(path: str, end_id: int):
+def _narrow(kind: str, end_id: int):
     """Ids with the end id, in two bytes each where the vocabulary allows."""
+    tail = np.array([end_id], dtype=kind).tobytes()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = "<u2" if coder(path).vocabulary_size <= 1 << 16 else "<u4"
-        tail = np.array([end_id], dtype=kind).tobytes()
-        for batch in batches:
-            narrow = [np.frombuffer(i, "<u4").astype(kind).tobytes() + tail for i in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(narrow, pa.binary())], ["doc_id", "ids"])
+    def finish(ids: bytes) -> bytes:
+        return np.frombuffer(ids, "<u4").astype(kind).tobytes() + tail
 
-    return run
+    return finish
 
 
-def _count(path: str):
+def _count(size: int, kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size = coder(path).vocabulary_size
-        kind = "<u2" if size <= 1 << 16 else "<u4"
         total = np.zeros(size, dtype=np.int64)
         for batch in batches:
-            for ids in batch.column("ids").to_pylist():
-                total += np.bincount(np.frombuffer(ids, kind), minlength=size) if len(ids) > size else 0
-                if len(ids) <= size:
-                    np.add.at(total, np.frombuffer(ids, kind), 1)
+            total += np.bincount(np.frombuffer(b"".join(batch.column("ids").to_pylist()), kind), minlength=size)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used])], ["id", "n"])
 
@@ -166,14 +158,14 @@ _BLOCK_DDL = (
 )
 
 
-def _code(lengths: np.ndarray, bounds: np.ndarray, two_bytes: bool):
+def _code(lengths: np.ndarray, bounds: np.ndarray, kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = canonical_codes(lengths)
 
         def rows() -> Iterator[tuple]:
             for batch in batches:
                 for doc_id, data in zip(batch.column("doc_id").to_pylist(), batch.column("ids").to_pylist()):
-                    ids = np.frombuffer(data, "<u2" if two_bytes else "<u4")
+                    ids = np.frombuffer(data, kind)
                     payload, points = pack(ids, codes, lengths)
                     part = 0 if doc_id is None else 1 + int(np.searchsorted(bounds, doc_id, side="right"))
                     yield part, doc_id, len(ids), payload, points
@@ -219,12 +211,13 @@ def write_token_files(spark: SparkSession, documents: DataFrame, tokenizer: str,
     """
     scratch = Scratch(spark, "token-files")
     documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    ids = encode_documents(spark, documents, tokenizer).mapInArrow(_narrow(tokenizer, end_id), "doc_id long, ids binary")
+    size = vocabulary(tokenizer).size
+    kind = "<u2" if size <= 1 << 16 else "<u4"
+    ids = encode_documents(spark, documents, tokenizer, _narrow(kind, end_id))
     ids = scratch.write(ids, "ids", compression="zstd")
-    size = coder(tokenizer).vocabulary_size
     counts = np.zeros(size, dtype=np.int64)
     # At most one row per entry of the vocabulary.
-    for row in ids.mapInArrow(_count(tokenizer), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():
+    for row in ids.mapInArrow(_count(size, kind), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():
         counts[row.id] = row.n
     lengths = code_lengths(counts)
     used = [(int(i), int(lengths[i])) for i in np.flatnonzero(lengths)]
@@ -234,7 +227,7 @@ def write_token_files(spark: SparkSession, documents: DataFrame, tokenizer: str,
     cuts = [k / parts for k in range(1, parts)] or [0.5]
     bounds = documents.agg(F.percentile_approx("doc_id", cuts, 100 * parts)).first()[0] or []
     coded = ids.mapInArrow(
-        _code(lengths, np.unique(np.array(bounds, dtype=np.int64)), size <= 1 << 16),
+        _code(lengths, np.unique(np.array(bounds, dtype=np.int64)), kind),
         "part int, doc_id long, n long, payload binary, points array<long>",
     )
     coded.repartition(parts, "part").sortWithinPartitions("part", "doc_id", "n", "payload").mapInArrow(
