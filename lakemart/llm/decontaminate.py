@@ -2,9 +2,9 @@
 
 1. Document frequencies of hashed words, over all documents.
 2. Randomised SVD of the TF-IDF matrix A of all passages (overlapping windows of words): every task adds up
-   its part of Z = A^T (A R) for a random R; an orthonormal basis of Z spans the leading right singular
-   vectors. Inner products are the same in any basis of that space, so the rotation to singular vectors
-   is left out. What a passage has outside of it - its rare words - is kept as a random sketch of fixed
+   its part of Z = A^T (A R) for a random R of a few more columns than wanted. From Z and R^T Z follow the eigenvectors of
+   A^T A, the right singular vectors, without another pass over the texts; the leading ones are kept. What
+   a passage has outside of them - its rare words - is kept as a random sketch of fixed
    length, without which passages of one language can hardly be told apart.
 3. Every passage is compared with the benchmark by cosine of both parts. Items longer than a passage are cut into
    passages too, and shorter ones meet shorter passages, so that what is compared is of about one length. Runs
@@ -28,9 +28,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakemart.llm.bpe import batch_of
 from lakemart.llm.hashing import NOT_ALNUM, mix, slices, words
+from lakemart.llm.tables import Scratch
 
-#: Hashed words, latent dimensions and those of the rest, words of half a passage (passages overlap by half).
-FEATURES, RANK, REST, HALF = 1 << 14, 32, 64, 16
+#: Hashed words, latent dimensions, further columns of the random matrix, dimensions of the rest, and words of half a
+#: passage (passages overlap by half).
+FEATURES, RANK, MORE, REST, HALF = 1 << 14, 32, 8, 64, 16
 #: Least cosine of a candidate.
 COSINE = 0.45
 #: Share of an item's words that must recur in order: alone, or with the answer present.
@@ -39,8 +41,10 @@ OVERLAP, OVERLAP_WITH_ANSWER = 0.75, 0.6
 SHORT_ITEM = 8
 #: Words of half a passage, and the items (of fewer words) that meet passages of that length.
 LEVELS = [(HALF, None), (HALF // 2, 3 * HALF // 2), (HALF // 4, 3 * HALF // 4)]
-#: Items held by a task at once.
-ITEM_BLOCK = 4_096
+#: Items held by a task at once: by number and by bytes of text.
+ITEM_BLOCK, ITEM_BYTES = 4_096, 4 << 20
+#: Slots of the table that answers most look-ups of runs of words.
+SLOTS = 1 << 22
 #: Bytes of text worked on at once, and features per row of a partial sum.
 STEP, CHUNK_FEATURES = 1 << 18, 512
 
@@ -92,12 +96,17 @@ def _passages(sums: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return out, first
 
 
+def _directions() -> np.ndarray:
+    """The random matrix R."""
+    return np.random.default_rng(7).standard_normal((FEATURES, RANK + MORE), dtype=np.float32)
+
+
 def _sketch(idf: np.ndarray):
     """Partial sums of A^T (A R), in rows of CHUNK_FEATURES features."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.random.default_rng(7).standard_normal((FEATURES, RANK), dtype=np.float32) * idf[:, None]
-        total = np.zeros((RANK, FEATURES))
+        table = _directions() * idf[:, None]
+        total = np.zeros((FEATURES, RANK + MORE))
         for batch in batches:
             for _, _, hashes, owner in _tokens(batch.column("text")):
                 if not len(hashes):
@@ -107,14 +116,18 @@ def _sketch(idf: np.ndarray):
                 weights, _ = _passages(np.add.reduceat(idf[f] ** 2, halves), owner[halves])
                 projected /= np.maximum(weights, 1e-9)[:, None]  # rows of A have length about one
                 # A word counts in the one or two passages that hold its half.
-                per_half = np.zeros((len(halves), RANK), dtype=np.float32)
+                per_half = np.zeros((len(halves), RANK + MORE), dtype=np.float32)
                 per_half[first] += projected
                 paired = np.append(owner[halves][1:] == owner[halves][:-1], False)[first]
                 per_half[first[paired] + 1] += projected[paired]
                 half_of = np.repeat(np.arange(len(halves)), np.diff(np.append(halves, len(hashes))))
-                for k in range(RANK):
-                    total[k] += np.bincount(f, weights=per_half[half_of, k] * idf[f], minlength=FEATURES)
-        sums = total.T.astype(np.float32)
+                # All words of a feature side by side are added up in one pass.
+                order = np.argsort(f.astype(np.uint16), kind="stable")
+                ordered = f[order]
+                begin = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+                used = ordered[begin]
+                total[used] += np.add.reduceat(per_half[half_of[order]], begin, axis=0) * idf[used, None]
+        sums = total.astype(np.float32)
         rows = [(c, sums[c * CHUNK_FEATURES : (c + 1) * CHUNK_FEATURES].tobytes()) for c in range(FEATURES // CHUNK_FEATURES)]
         yield batch_of(rows, _PARTIAL)
 
@@ -133,6 +146,19 @@ def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield batch_of([(c, t.astype(np.float32).tobytes()) for c, t in sorted(total.items())], _PARTIAL)
 
 
+def leading_directions(z: np.ndarray, directions: np.ndarray) -> np.ndarray:
+    """The RANK leading eigenvectors of A^T A, from Z = A^T A R and R: those of Z (R^T Z)^-1 Z^T, which is A^T A
+    as far as R sees it."""
+    core = directions.T @ z
+    core = (core + core.T) / 2
+    # A little on the diagonal keeps directions that A lacks from being divided by nothing.
+    core += np.eye(len(core)) * max(float(np.trace(core)), 1e-9) * 1e-9
+    values, vectors = np.linalg.eigh(core)
+    values = np.maximum(values, values.max() * 1e-9)
+    root = z @ (vectors / np.sqrt(values))
+    return np.linalg.svd(root + 1e-12 * np.random.default_rng(8).standard_normal(z.shape), full_matrices=False)[0][:, :RANK]
+
+
 def fit_space(documents: DataFrame) -> np.ndarray:
     """The vector of every hashed word (FEATURES x (RANK + REST)), from all ``documents`` (text)."""
     texts = documents.select("text")
@@ -148,10 +174,10 @@ def fit_space(documents: DataFrame) -> np.ndarray:
     partial = texts.mapInArrow(_sketch(idf), "chunk int, sums binary")
     salted = partial.withColumn("salt", F.spark_partition_id() % 16).repartition("chunk", "salt").select("chunk", "sums")
     added = salted.mapInArrow(_add_up, "chunk int, sums binary").repartition("chunk").mapInArrow(_add_up, "chunk int, sums binary")
-    z = np.zeros((FEATURES, RANK))
-    for row in added.collect():  # FEATURES x RANK numbers, whatever the corpus
-        z[row.chunk * CHUNK_FEATURES : (row.chunk + 1) * CHUNK_FEATURES] += np.frombuffer(row.sums, np.float32).reshape(-1, RANK)
-    basis, _ = np.linalg.qr(z + 1e-12 * np.random.default_rng(8).standard_normal(z.shape))
+    z = np.zeros((FEATURES, RANK + MORE))
+    for row in added.collect():  # FEATURES rows of numbers, whatever the corpus
+        z[row.chunk * CHUNK_FEATURES : (row.chunk + 1) * CHUNK_FEATURES] += np.frombuffer(row.sums, np.float32).reshape(-1, RANK + MORE)
+    basis = leading_directions(z, _directions().astype(np.float64))
     rest = np.random.default_rng(9).standard_normal((FEATURES, REST))
     rest -= basis @ (basis.T @ rest)
     # A sketch is longer than what it stands for by the root of its dimensions.
@@ -209,11 +235,15 @@ def _runs(hashes: np.ndarray, owner: np.ndarray, size: int) -> tuple[np.ndarray,
     n = len(hashes) - size + 1
     if n < 1:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    at = np.flatnonzero(owner[:n] == owner[size - 1 :])
-    total = np.full(len(at), size, dtype=np.uint64)
+    total = np.full(n, size, dtype=np.uint64)
     for k in range(size):
-        total = mix(total + hashes[at + k])
-    return at, total
+        total = mix(total + hashes[k : k + n])
+    at = np.flatnonzero(owner[:n] == owner[size - 1 :])
+    return at, total[at]
+
+
+def _slots(hashes: np.ndarray) -> np.ndarray:
+    return (hashes & np.uint64(SLOTS - 1)).astype(np.int64)
 
 
 class Index:
@@ -235,13 +265,15 @@ class Index:
                 owner += [k] * len(parts)
             if chosen:
                 self.levels.append((half, unit_rows(np.vstack(vectors)), np.array(owner)))
-        self.runs = []  # words of a run, hashes in order, item of each
+        self.runs = []  # words of a run, hashes in order, item of each, slots in use
         for size in sorted({min(i.n, SHORT_ITEM) for i in items}):
             chosen = [k for k, i in enumerate(items) if min(i.n, SHORT_ITEM) == size]
             found = [np.unique(_runs(items[k].hashes, np.zeros(items[k].n, np.int64), size)[1]) for k in chosen]
             hashes, owner = np.concatenate(found), np.repeat(chosen, [len(f) for f in found])
             order = np.argsort(hashes, kind="stable")
-            self.runs.append((size, hashes[order], owner[order]))
+            table = np.zeros(SLOTS, dtype=bool)
+            table[_slots(hashes)] = True
+            self.runs.append((size, hashes[order], owner[order], table))
 
     def _vectors(self, hashes: np.ndarray, owner: np.ndarray, half: int) -> tuple[np.ndarray, np.ndarray]:
         """Vectors of the passages, and the first word of each."""
@@ -249,16 +281,28 @@ class Index:
         passages, first = _passages(np.add.reduceat(self.table[_feature(hashes)], halves, axis=0), owner[halves])
         return passages, halves[first]
 
-    def _near(self, hashes: np.ndarray, owner: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def _passages_by_level(self, hashes: np.ndarray, owner: np.ndarray) -> Iterator[tuple]:
+        """Unit vectors of the passages of every level, and their first words: words are added up once, for the
+        shortest halves, of which longer ones are made."""
+        finest = min(half for half, _, _ in self.levels)
+        halves = _halves(owner, finest)
+        sums, texts = np.add.reduceat(self.table[_feature(hashes)], halves, axis=0), owner[halves]
         for half, space, item in self.levels:
-            passages, first = self._vectors(hashes, owner, half)
-            passages = unit_rows(passages)
+            group = _halves(texts, half // finest)
+            whole = np.add.reduceat(sums, group, axis=0) if half > finest else sums
+            passages, first = _passages(whole, texts[group])
+            yield space, item, unit_rows(passages), halves[group[first]]
+
+    def _near(self, hashes: np.ndarray, owner: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for space, item, passages, first in self._passages_by_level(hashes, owner) if self.levels else ():
             step = max(1, (1 << 22) // len(space))
             for at in range(0, len(passages), step):
                 p, j = np.nonzero(passages[at : at + step] @ space.T >= COSINE)
                 yield first[p + at], item[j]
-        for size, known, item in self.runs:
+        for size, known, item, table in self.runs:
             at, run = _runs(hashes, owner, size)
+            maybe = np.flatnonzero(table[_slots(run)])
+            at, run = at[maybe], run[maybe]
             low = np.searchsorted(known, run)
             shared = np.flatnonzero(known[np.minimum(low, len(known) - 1)] == run)
             low, n = low[shared], np.searchsorted(known, run[shared], side="right") - low[shared]
@@ -279,58 +323,63 @@ class Index:
 _LEAKS = pa.schema([("doc_id", pa.int64()), ("item_ids", pa.list_(pa.int64())), ("overlap", pa.float64())])
 
 
-def _search(table: np.ndarray, listed: list[tuple[int, str]]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items = [i for i in (Item(*x) for x in listed) if i.n]
-        index = Index(table, items) if items else None
-        for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
-            for first_row, n_texts, hashes, owner in _tokens(batch.column("text")):
-                found: dict[int, dict[int, float]] = {}
-                if items and len(hashes):
-                    bounds = np.searchsorted(owner, np.arange(n_texts + 1))
-                    for start, k in index.candidates(hashes, owner):
-                        text, item = int(owner[start]), items[k]
-                        known = found.setdefault(text, {})
-                        if known.get(item.item_id, 0.0) >= 1.0:
-                            continue
-                        low = max(int(bounds[text]), start - item.n)
-                        region = hashes[low : min(int(bounds[text + 1]), start + 2 * HALF + item.n)].tolist()
-                        share = item.found_in(region)
-                        if share > known.get(item.item_id, 0.0):
-                            known[item.item_id] = share
-                rows = []
-                for t in range(n_texts):
-                    hits = found.get(t) or {}
-                    rows.append((ids[first_row + t], sorted(hits), max(hits.values(), default=0.0)))
-                yield batch_of(rows, _LEAKS)
-
-    return run
-
-
-def _item_blocks(spark: SparkSession, benchmark: DataFrame) -> list:
-    """The benchmark as broadcast lists of about ITEM_BLOCK items."""
+class Searcher:
+    """The items of a block with their index, made once in each task."""
+
+    def __init__(self, table: np.ndarray, listed: list[tuple[int, str]]):
+        self.items = [i for i in (Item(*x) for x in listed) if i.n]
+        self.index = Index(table, self.items) if self.items else None
+
+    def found_in(self, texts: pa.Array) -> Iterator[tuple[int, list[dict[int, float]]]]:
+        """For runs of texts the first one, and the share found of each item that is in them."""
+        for first_row, n_texts, hashes, owner in _tokens(texts):
+            found: list[dict[int, float]] = [{} for _ in range(n_texts)]
+            if self.index and len(hashes):
+                bounds = np.searchsorted(owner, np.arange(n_texts + 1))
+                for start, k in self.index.candidates(hashes, owner):
+                    text, item = int(owner[start]), self.items[k]
+                    known = found[text]
+                    if known.get(item.item_id, 0.0) >= 1.0:
+                        continue
+                    low = max(int(bounds[text]), start - item.n)
+                    region = hashes[low : min(int(bounds[text + 1]), start + 2 * HALF + item.n)].tolist()
+                    share = item.found_in(region)
+                    if share > known.get(item.item_id, 0.0):
+                        known[item.item_id] = share
+            yield first_row, found
+
+
+def _item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
+    """The benchmark in lists of bounded size, of which the driver holds one at a time."""
     asked = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where(
         "item_id is not null and text is not null"
     )
-    n_blocks = max(1, -(-asked.count() // ITEM_BLOCK))
+    size = asked.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("b")).first()
+    n_blocks = max(1, -(-size.n // ITEM_BLOCK), -(-size.b // ITEM_BYTES))
     number = F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks))
-    return [
-        spark.sparkContext.broadcast([tuple(r) for r in asked.where(number == k).orderBy("item_id", "text").collect()])
-        for k in range(n_blocks)
-    ]
+    for k in range(n_blocks):
+        yield [tuple(r) for r in asked.where(number == k).orderBy("item_id", "text").collect()]
 
 
 def clean_documents(spark: SparkSession, documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``documents`` (text) that hold no benchmark item, with all their columns."""
+    """The rows of ``documents`` (text) that hold no benchmark item, with all their columns.
+
+    Null and empty texts hold nothing and stay; so does every row if the benchmark is empty.
+    """
     table = spark.sparkContext.broadcast(fit_space(documents))
-    for block in _item_blocks(spark, benchmark):
+    scratch = Scratch(spark, "clean")
+    for number, listed in enumerate(_item_blocks(benchmark)):
+        if number:
+            # The rows left by the blocks before are written, so only this block is held.
+            documents = scratch.write(documents, "left")
+            block.unpersist()
+        block = spark.sparkContext.broadcast(listed)
 
         def run(batches, block=block):
+            searcher = Searcher(table.value, block.value)
             for batch in batches:
-                searched = pa.RecordBatch.from_arrays([pa.nulls(len(batch), pa.int64()), batch.column("text")], ["doc_id", "text"])
-                found = _search(table.value, block.value)([searched])
-                yield batch.filter(pa.array([not items for b in found for items in b.column("item_ids").to_pylist()], pa.bool_()))
+                found = [hits for _, part in searcher.found_in(batch.column("text")) for hits in part]
+                yield batch.filter(pa.array([not hits for hits in found], pa.bool_()))
 
         documents = documents.mapInArrow(run, documents.schema)
     return documents
@@ -340,19 +389,30 @@ def find_leaks(spark: SparkSession, documents: DataFrame, benchmark: DataFrame)
     """doc_id, item_ids (ascending), overlap (largest share of an item found, 0 to 1) for every row of
     ``documents`` (doc_id, text); ``benchmark`` has item_id and text.
 
-    Null and empty texts hold nothing; items that are null, without id or without a word are never found. Rows
+    Null and empty texts hold nothing; items that are null, without id or without a word are never found, and nothing is
+    found of an empty benchmark. Rows
     are judged each on its own (with more than one block of items, rows of one doc_id share what is found).
     Repeated item_ids are reported once. Other columns are ignored.
     """
     documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     table = spark.sparkContext.broadcast(fit_space(documents))
-    found = []
-    for block in _item_blocks(spark, benchmark):
+    scratch = Scratch(spark, "leaks")
+    ddl, found = "doc_id long, item_ids array<long>, overlap double", []
+    for number, listed in enumerate(_item_blocks(benchmark)):
+        if number:
+            found[-1] = scratch.write(found[-1].where(F.size("item_ids") > 0), "found")
+            block.unpersist()
+        block = spark.sparkContext.broadcast(listed)
 
         def run(batches, block=block):
-            yield from _search(table.value, block.value)(batches)
+            searcher = Searcher(table.value, block.value)
+            for batch in batches:
+                ids = batch.column("doc_id").to_pylist()
+                for first, part in searcher.found_in(batch.column("text")):
+                    rows = [(ids[first + t], sorted(hits), max(hits.values(), default=0.0)) for t, hits in enumerate(part)]
+                    yield batch_of(rows, _LEAKS)
 
-        found.append(documents.mapInArrow(run, "doc_id long, item_ids array<long>, overlap double"))
+        found.append(documents.mapInArrow(run, ddl))
     if len(found) == 1:
         return found[0]
     # Rows of several blocks meet again by document: only those with leaks, beside one row each.

@@ -8,6 +8,7 @@ row is marked as rejected.
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -27,8 +28,13 @@ BLOCK = 4_096
 #: Least share by which the runner-up must be larger than the winner.
 MARGIN = 0.005
 
-_LETTER = re.compile(r"[^\W\d_]")
-_NO_LETTERS = re.compile(r"[\W\d_]+")
+#: Characters that count as word characters but are no letters: digits of all kinds, fractions, circled numbers.
+_NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha())
+_NO_LETTERS = re.compile(rf"[\W_{_NUMBERS}]+")
+
+
+def has_letter(text: str) -> bool:
+    return any(map(str.isalpha, text))
 
 
 def plain(text: str) -> bytes:
@@ -88,7 +94,7 @@ def compressors_of(dictionaries: tuple[tuple[str, bytes], ...]) -> list[tuple[st
 
 def classify(text: str | None, compressors: list[tuple[str, Compressors]]) -> tuple[str, float, bool]:
     """Language, score (share of the runner-up's size that the winner saves) and whether it is rejected."""
-    if not text or not compressors or not _LETTER.search(text):
+    if not text or not compressors or not has_letter(text):
         return UNKNOWN, 0.0, True
     data = plain(text)
     blocks = [data[i : i + BLOCK] for i in range(0, len(data), BLOCK)]

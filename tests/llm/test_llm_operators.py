@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 from lakemart.llm import bpe, embedding_dedup, jaccard_join, suffix_dedup, token_files
 from lakemart.llm.components import components
 from lakemart.llm.decontaminate import Item, clean_documents, find_leaks
-from lakemart.llm.language_id import accepted, identify_languages, learn
+from lakemart.llm.language_id import accepted, has_letter, identify_languages, learn, plain
 from lakemart.llm.license_scan import known_licenses, scan_licenses
 from lakemart.llm.line_dedup import dedup_lines
 from lakemart.llm.queries import TOKENIZER
@@ -303,6 +303,11 @@ def test_languages(spark, docs, frame):
     assert identify_languages(docs(), model).count() == 0
 
 
+def test_numbers_are_no_letters():
+    assert not any(map(has_letter, ("½ ² ①", "12 ٣", "_", "", "!"))) and all(map(has_letter, ("a", "½x", "日", "é")))
+    assert plain("½Ab①c_D² e") == b" ab c d e"
+
+
 # op8, op10
 
 
@@ -422,6 +427,8 @@ def test_leaks_in_blocks_of_items(spark, docs, frame, monkeypatch):
     items = [(i, text_of(100 + i, 30)) for i in range(9)]
     rows = docs(*((i, f"{text_of(i, 40)} {t} {items[(i + 1) % 9][1]}") for i, t in items), (50, text_of(50, 90)))
     monkeypatch.setattr(decontaminate, "ITEM_BLOCK", 2)
+    plain_rows = clean_documents(spark, rows, frame("item_id long, text string", *items))
+    assert plain_rows.columns == rows.columns
     found = {r.doc_id: r.item_ids for r in find_leaks(spark, rows, frame("item_id long, text string", *items)).collect()}
     assert found == {**{i: sorted([i, (i + 1) % 9]) for i in range(9)}, 50: []}
 
@@ -457,3 +464,17 @@ def test_components(spark, frame):
         a, b = sorted((root(a), root(b)))
         parent[b] = a
     assert found == {i: root(i) for i in parent if any(i in link and link[0] != link[1] for link in links)}
+
+
+def test_leading_directions_are_those_of_the_matrix():
+    """A matrix of known singular vectors, with noise: the leading ones are found, in order and at right angles."""
+    from lakemart.llm import decontaminate as d
+
+    rng = np.random.default_rng(3)
+    true = np.linalg.qr(rng.standard_normal((d.FEATURES, d.RANK + d.MORE)))[0]
+    values = 2.0 ** -np.arange(d.RANK + d.MORE)
+    directions = rng.standard_normal((d.FEATURES, d.RANK + d.MORE))
+    found = d.leading_directions(true @ (values[:, None] * (true.T @ directions)), directions)
+    assert found.shape == (d.FEATURES, d.RANK) and np.allclose(found.T @ found, np.eye(d.RANK), atol=1e-6)
+    assert (np.abs((found * true[:, : d.RANK]).sum(0))[:12] > 0.99).all()
+    assert np.isfinite(d.leading_directions(np.zeros((d.FEATURES, d.RANK + d.MORE)), directions)).all()

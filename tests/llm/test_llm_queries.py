@@ -8,10 +8,12 @@ import zlib
 import duckdb
 import numpy as np
 import pytest
+import zstandard
 from tokenizers import Tokenizer
 
 import __spark_entry__ as contract
 import corpus_pipeline
+from lakemart.llm import decontaminate, language_id
 from lakemart.llm.oracle import ORACLE_SQL
 from lakemart.llm.queries import REGISTRY, TOKENIZER
 from tests_llm_helpers import groups, shingles
@@ -72,6 +74,47 @@ def test_language_accuracy(spark, sf_dir, duck):
     assert all(0 <= r.score <= 1 for r in found.values())
 
 
+def letters_only(text):
+    """Lower case, runs of anything but letters as one space."""
+    out = []
+    for c in text.lower():
+        if c.isalpha():
+            out.append(c)
+        elif not out or out[-1] != " ":
+            out.append(" ")
+    return "".join(out).encode()
+
+
+def test_language_by_plain_sizes(spark, sf_dir, duck):
+    """Every text compressed whole in the test, block by block, with the dictionaries that were learned."""
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    learned = language_id.learn(spark, documents.where(~language_id.is_held_out(documents.doc_id)))
+
+    def size(data, sample):
+        total = 0
+        for at in range(0, len(data), 4096):
+            block = data[at : at + 4096]
+            raw = zstandard.ZstdCompressionDict(sample, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            level = 5 if len(block) >= 512 else 19
+            total += len(zstandard.ZstdCompressor(level=level, dict_data=raw, write_content_size=False).compress(block))
+        return total
+
+    found = {r.doc_id: r for r in REGISTRY["op7_language_id"](spark, sf_dir).collect()}
+    rows = duck.execute("select doc_id, text from documents").fetchall()
+    agree = 0
+    for doc_id, text in rows:
+        if not any(map(str.isalpha, text or "")):
+            assert (found[doc_id].lang_pred, found[doc_id].score) == ("und", 0)
+            agree += 1
+            continue
+        sizes = sorted((size(letters_only(text), sample), lang) for lang, sample in learned.items())
+        # A dictionary that is prepared once may settle on slightly other matches than one that is loaded anew.
+        near = {lang for n, lang in sizes if n <= sizes[0][0] * 1.01}
+        assert found[doc_id].lang_pred in near
+        agree += found[doc_id].lang_pred == sizes[0][1]
+    assert agree >= 0.98 * len(rows)
+
+
 def test_bpe_and_files(spark, sf_dir, duck):
     library = Tokenizer.from_file(TOKENIZER)
     encoded, filed, start = [], [], 0
@@ -105,6 +148,24 @@ def test_decontamination_finds_whole_items(spark, sf_dir, duck):
         assert any(tuple(item[k : k + 4]) in runs for k in range(len(item) - 3))
 
 
+def test_decontamination_against_every_window(spark, sf_dir, duck):
+    """The subsequence rule on every window of every document; candidates may miss a tenth, and add nothing."""
+    items = [decontaminate.Item(i, t) for i, t in duck.execute("select * from benchmark where text is not null").fetchall()]
+    every = set()
+    for doc_id, text in duck.execute("select doc_id, text from documents where text is not null").fetchall():
+        hashes = decontaminate._hashes(text).tolist()
+        for item in items:
+            words, need = set(item.hashes.tolist()), min(0.6 * item.n, item.n)
+            for start in range(0, max(1, len(hashes)), decontaminate.HALF):
+                region = hashes[max(0, start - item.n) : start + 2 * decontaminate.HALF + item.n]
+                if len(words & set(region)) >= need * 0.8 and item.n and item.found_in(region):
+                    every.add((doc_id, item.item_id))
+    result = REGISTRY["op9_decontamination"](spark, sf_dir).collect()
+    found = {(r.doc_id, int(i)) for r in result if r.contaminated for i in r.item_ids.split(",")}
+    assert found <= every and every
+    assert len(found) >= 0.9 * len(every)
+
+
 def test_pipeline_against_its_parts(spark, sf_dir, duck):
     """Each stage against a plain version of its rule, on what the stage before kept."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
