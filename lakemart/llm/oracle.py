@@ -88,27 +88,60 @@ select doc_id, canonical_sha256, max(known.id) as license_id, coalesce(max(n), 0
 from wholes left join known on digest = canonical_sha256 left join hits using (r)
 group by doc_id, canonical_sha256"""
 
+_PLAIN = f"trim(regexp_replace(translate(unit, {_LETTERS}), '[\\x20\\x09-\\x0D]+', ' ', 'g'), ' ')"
+
+#: Lines of five words on, and sentences of eight words on within the lines that stay.
 OP5 = f"""
 with lines as (
     select doc_id, unnest(l) as unit, generate_subscripts(l, 1) as k
-    from (select doc_id, string_split(regexp_replace(text, '([.!?][ \\t]+|\\n)', '\\1' || chr(57344), 'g'), chr(57344)) as l
-          from documents)
+    from (select doc_id, string_split(regexp_replace(text, '(\\n)', '\\1' || chr(57344), 'g'), chr(57344)) as l from documents)
 ),
-placed as (
+placed_lines as (
     select *, coalesce(sum(strlen(unit)) over (
-        partition by doc_id order by k rows between unbounded preceding and 1 preceding), 0)::bigint as first,
-        trim(regexp_replace(translate(unit, {_LETTERS}), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') as plain
+        partition by doc_id order by k rows between unbounded preceding and 1 preceding), 0)::bigint as first
     from lines where unit <> ''
 ),
-ranked as (
-    select *, row_number() over (partition by plain order by doc_id, first) > 1
-        and len(string_split(plain, ' ')) >= 5 as later
-    from placed
+sentences as (
+    select doc_id, k, first as line_first, unnest(l) as unit, generate_subscripts(l, 1) as j
+    from (select *, string_split(regexp_replace(unit, '([.!?][ \\t]+|\\n)', '\\1' || chr(57344), 'g'), chr(57344)) as l from placed_lines)
+),
+placed_sentences as (
+    select *, line_first + coalesce(sum(strlen(unit)) over (
+        partition by doc_id, k order by j rows between unbounded preceding and 1 preceding), 0)::bigint as first
+    from sentences where unit <> ''
+),
+units as (
+    select doc_id, first, {_PLAIN} as plain, 5 as least from placed_lines
+    union all select doc_id, first, {_PLAIN}, 8 from placed_sentences
+),
+earliest as (
+    select plain, min(struct_pack(d := doc_id, f := first)) as place
+    from units where len(string_split(plain, ' ')) >= least group by plain
+),
+judged_lines as (
+    select l.doc_id, l.k, l.first, l.unit, len(string_split({_PLAIN}, ' ')) >= 5
+        and e.place is distinct from struct_pack(d := l.doc_id, f := l.first) and e.place is not null as later
+    from placed_lines l left join earliest e on e.plain = {_PLAIN}
+),
+judged as (
+    select s.doc_id, s.first, s.unit, l.later as line_later, l.first as line_first, l.unit as line,
+        len(string_split({_PLAIN.replace("unit", "s.unit")}, ' ')) >= 8
+        and e.place is distinct from struct_pack(d := s.doc_id, f := s.first) and e.place is not null as later
+    from placed_sentences s join judged_lines l using (doc_id, k)
+    left join earliest e on e.plain = {_PLAIN.replace("unit", "s.unit")}
+),
+spans as (
+    select doc_id, line_first as a, line_first + strlen(line) as b from judged where line_later group by all
+    union all select doc_id, first, first + strlen(unit) from judged where later and not line_later
+),
+cut as (
+    select doc_id, count(*) as n_removed, string_agg(a || '-' || b, ',' order by a) as removed from spans group by doc_id
+),
+rest as (
+    select doc_id, string_agg(unit, '' order by first) as kept from judged where not later and not line_later group by doc_id
 )
-select d.doc_id, count(*) filter (later) as n_removed,
-    coalesce(string_agg(first || '-' || (first + strlen(unit)), ',' order by k) filter (later), '') as removed,
-    sha256(coalesce(string_agg(unit, '' order by k) filter (not later), '')) as kept_sha256
-from documents d left join ranked r using (doc_id) group by d.doc_id"""
+select d.doc_id, coalesce(n_removed, 0) as n_removed, coalesce(removed, '') as removed, sha256(coalesce(kept, '')) as kept_sha256
+from documents d left join cut using (doc_id) left join rest using (doc_id)"""
 
 OP6 = """
 with lines as (select doc_id, string_split(text, chr(10)) as l from documents),

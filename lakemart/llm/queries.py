@@ -16,7 +16,7 @@ from lakemart.llm.jaccard_join import jaccard_groups
 from lakemart.llm.language_id import identify_languages, is_held_out, learn
 from lakemart.llm.license_scan import known_licenses, scan_licenses
 from lakemart.llm.line_dedup import dedup_lines
-from lakemart.llm.substring_dedup import dedup_units
+from lakemart.llm.substring_dedup import MIN_WITHIN, dedup_units
 from lakemart.llm.suffix_dedup import dedup_substrings
 from lakemart.llm.token_files import read_token_files, write_token_files
 from lakemart.llm.vector_codes import code_report
@@ -57,7 +57,8 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = dedup_units(spark, _read(spark, sf_dir, "documents"))
+    documents = _read(spark, sf_dir, "documents")
+    kept = dedup_units(spark, documents, "line", within=[("sentence", MIN_WITHIN)])
     cut = F.coalesce("removed", F.array().cast("array<struct<start: long, end: long>>"))
     return kept.select(
         "doc_id",
