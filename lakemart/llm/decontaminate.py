@@ -84,6 +84,22 @@ def _halves(owner: np.ndarray, half: int = HALF) -> np.ndarray:
     return np.flatnonzero(within % half == 0)
 
 
+def _with_zero(table: np.ndarray) -> np.ndarray:
+    """The rows of a table and one of zeros, for words that are not there."""
+    return np.vstack((table, np.zeros((1, table.shape[1]), table.dtype)))
+
+
+def _half_sums(padded: np.ndarray, f: np.ndarray, halves: np.ndarray, half: int) -> np.ndarray:
+    """Rows of ``padded`` (a table ``_with_zero``) added up over the words of each half, one place in the half at a time."""
+    sizes = np.diff(np.append(halves, len(f)))
+    at = np.full((len(halves), half), len(padded) - 1)
+    at[np.arange(half) < sizes[:, None]] = f
+    sums = padded[at[:, 0]]
+    for k in range(1, half):
+        sums += padded[at[:, k]]
+    return sums
+
+
 def _passages(sums: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sums of two neighbouring halves of a text (of one, if it has no more), and their first half."""
     if not len(sums):
@@ -105,14 +121,14 @@ def _sketch(idf: np.ndarray):
     """Partial sums of A^T (A R), in rows of CHUNK_FEATURES features."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = _directions() * idf[:, None]
+        table = _with_zero(_directions() * idf[:, None])
         total = np.zeros((FEATURES, RANK + MORE))
         for batch in batches:
             for _, _, hashes, owner in _tokens(batch.column("text")):
                 if not len(hashes):
                     continue
                 f, halves = _feature(hashes), _halves(owner)
-                projected, first = _passages(np.add.reduceat(table[f], halves, axis=0), owner[halves])
+                projected, first = _passages(_half_sums(table, f, halves, HALF), owner[halves])
                 weights, _ = _passages(np.add.reduceat(idf[f] ** 2, halves), owner[halves])
                 projected /= np.maximum(weights, 1e-9)[:, None]  # rows of A have length about one
                 # A word counts in the one or two passages that hold its half.
@@ -250,7 +266,7 @@ class Index:
     """What makes an item a candidate: vectors of its passages, and hashes of its runs of words."""
 
     def __init__(self, table: np.ndarray, items: list[Item]):
-        self.table, self.n_items = table, len(items)
+        self.table, self.padded, self.n_items = table, _with_zero(table), len(items)
         self.levels = []  # words of half a passage, vectors, item of each vector
         for half, below in LEVELS:
             chosen = [k for k, i in enumerate(items) if i.n >= SHORT_ITEM and (below is None or i.n < below)]
@@ -286,10 +302,10 @@ class Index:
         shortest halves, of which longer ones are made."""
         finest = min(half for half, _, _ in self.levels)
         halves = _halves(owner, finest)
-        sums, texts = np.add.reduceat(self.table[_feature(hashes)], halves, axis=0), owner[halves]
+        sums, texts = _half_sums(self.padded, _feature(hashes), halves, finest), owner[halves]
         for half, space, item in self.levels:
             group = _halves(texts, half // finest)
-            whole = np.add.reduceat(sums, group, axis=0) if half > finest else sums
+            whole = _half_sums(_with_zero(sums), np.arange(len(sums)), group, half // finest) if half > finest else sums
             passages, first = _passages(whole, texts[group])
             yield space, item, unit_rows(passages), halves[group[first]]
 
@@ -297,7 +313,8 @@ class Index:
         for space, item, passages, first in self._passages_by_level(hashes, owner) if self.levels else ():
             step = max(1, (1 << 22) // len(space))
             for at in range(0, len(passages), step):
-                p, j = np.nonzero(passages[at : at + step] @ space.T >= COSINE)
+                near = passages[at : at + step] @ space.T >= COSINE
+                p, j = np.divmod(np.flatnonzero(near), len(space))
                 yield first[p + at], item[j]
         for size, known, item, table in self.runs:
             at, run = _runs(hashes, owner, size)
