@@ -15,7 +15,7 @@ from lakemart.schemas import TableSpec
 from lakemart.session import scratch_path
 from lakemart.sinks.tables import write_table
 from lakemart.sources.files import CORRUPT, from_day, read_csv_text, read_snapshots
-from lakemart.sources.tables import delete_folder, read_table, versions
+from lakemart.sources.tables import delete_folder, drop_old_versions, read_table, versions
 
 INGEST_DATE = "ingest_date"
 INGEST_TS = "_ingest_ts"
@@ -131,6 +131,7 @@ def csv_to_silver(
         n_refused = seen.get["refused"]
         if n_refused or quarantine is not None:
             write_table(refused, refused_to)
+            drop_old_versions(spark, refused_to)
         return {**counts, "refused": n_refused}
     finally:
         if staged:

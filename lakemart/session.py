@@ -16,6 +16,8 @@ SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 BYTES_PER_PARTITION = 256 * 1024**2
 
 _local_scratch: dict[str, str] = {}
+#: Folders handed out so far, by application.
+_handed_out: dict[str, list[str]] = {}
 
 
 def build_session(app: str = "lakemart", master: str | None = None, **conf: str) -> SparkSession:
@@ -87,4 +89,24 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder; no two calls return the same."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    _handed_out.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the intermediate tables made inside, on leaving: for work whose result is then written elsewhere.
+
+    Without a scope they stay, because results are lazy and may still read them.
+    """
+    made = _handed_out.setdefault(spark.sparkContext.applicationId, [])
+    start = len(made)
+    try:
+        yield
+    finally:
+        context = spark.sparkContext
+        for path in made[start:]:
+            folder = context._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+        del made[start:]

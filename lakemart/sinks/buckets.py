@@ -17,7 +17,14 @@ from pyspark.sql.types import StructType
 from lakemart.operators.dedup import dedup
 from lakemart.session import BYTES_PER_PARTITION, scratch_path
 from lakemart.sinks.tables import write_table
-from lakemart.sources.tables import _hadoop, delete_folder, drop_old_versions, read_table, versions
+from lakemart.sources.tables import (
+    _hadoop,
+    delete_folder,
+    drop_old_versions,
+    path_exists,
+    read_table,
+    versions,
+)
 
 BUCKET = "_bucket"
 #: Buckets of a table that is not told how many: enough for a quarter of a terabyte at 256 MB each.
@@ -73,12 +80,14 @@ def merge_batch(
     latest_by: Sequence[str],
     batch: int,
     buckets: int = BUCKETS,
+    instead_of: Column | None = None,
 ) -> list[int]:
     """Fold a batch into the table and return the buckets that were rewritten.
 
     Of the rows of a key, stored or arrived, the latest stays, by the rule of ``dedup``; so the table is the
     same however the rows were cut into batches. A batch whose number is not above the last one applied changes nothing,
-    and ``buckets`` counts for a new table only. Rows need their whole key.
+    and ``buckets`` counts for a new table only. Rows need their whole key. Stored rows for which ``instead_of`` holds are
+    taken out, as far as the batch does not bring them again.
     """
     parts = read_parts(spark, path) or Parts({}, buckets, -1)
     if batch <= parts.batch:
@@ -90,9 +99,14 @@ def merge_batch(
     dedup(arrived.select(*columns), keys, latest_by).withColumn(BUCKET, number).write.parquet(staged)
     try:
         new = spark.read.schema(f"{ddl}, {BUCKET} int").parquet(staged)
-        touched = sorted(r[0] for r in new.select(BUCKET).distinct().collect())  # the number of buckets at most
+        hit = new.select(BUCKET)
+        if instead_of is not None:
+            hit = hit.unionByName(read_buckets(spark, path, ddl).where(instead_of).select(number.alias(BUCKET)))
+        touched = sorted(r[0] for r in hit.distinct().collect())  # the number of buckets at most
         if touched:
             old = read_buckets(spark, path, ddl, touched).withColumn(BUCKET, number)
+            if instead_of is not None:
+                old = old.where(~F.coalesce(instead_of, F.lit(False)))
             # One shuffle: rows of a key are in one bucket, so the ranking needs no other placing.
             together = old.unionByName(new).repartition(len(touched), BUCKET)
             merged = dedup(together, [BUCKET, *keys], latest_by)
@@ -100,6 +114,8 @@ def merge_batch(
     finally:
         delete_folder(spark, staged)
     folders = {**parts.folders, **{b: f"data/batch={batch}/{BUCKET}={b}" for b in touched}}
+    # A bucket that lost all its rows has no folder any more.
+    folders = {b: f for b, f in folders.items() if b not in touched or path_exists(spark, f"{path}/{f}")}
     rows = [(b, f, batch, parts.buckets) for b, f in sorted(folders.items())] or [(None, None, batch, parts.buckets)]
     write_table(spark.createDataFrame(rows, _PARTS_DDL).coalesce(1), f"{path}/_parts")
     _drop_unnamed(spark, path)

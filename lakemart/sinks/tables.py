@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation, functions as F
 from lakemart.functions.money import MONEY
 from lakemart.functions.text import flat_tags
 from lakemart.sinks.layout import zorder
-from lakemart.sources.tables import PENDING, VERSION
+from lakemart.sources.tables import PENDING, STAMP, VERSION
 
 
 def write_table(
@@ -29,7 +29,7 @@ def write_table(
     ``publish=False`` the version waits, unseen by readers, for ``sources.tables.publish``; its
     name is then among the counts.
     """
-    version = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
+    version = datetime.now(timezone.utc).strftime(STAMP)
     seen = Observation()
     counts = {"rows": F.count(F.lit(1)), **(metrics or {})}
     arranged = arrange(df, partition_by, zorder_by)

@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 
-# How folders of published versions, and of those that wait, begin.
-VERSION, PENDING = "version=", "pending="
+# How folders of published versions, and of those that wait, begin, and the time that follows.
+VERSION, PENDING, STAMP = "version=", "pending=", "%Y%m%dT%H%M%S%f"
+#: No run waits this long between writing a version and publishing it.
+ABANDONED = timedelta(days=2)
 
 # View names that reports query.
 TABLE_VIEWS = {
@@ -65,14 +68,25 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     fs.delete(folder, True)
 
 
+def abandoned(spark: SparkSession, path: str) -> list[str]:
+    """Versions that wait to be published since longer than any run takes. Their names tell when they were begun."""
+    fs, root = _hadoop(spark, path)
+    if not fs.exists(root):
+        return []
+    limit = f"{PENDING}{(datetime.now(timezone.utc) - ABANDONED).strftime(STAMP)}"
+    names = [s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory()]
+    return sorted(n for n in names if n.startswith(PENDING) and n < limit)
+
+
 def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
     """Delete all but the newest completed versions and return the names of those deleted.
 
-    Keep more than one while queries that started on an older version may still run.
+    Keep more than one while queries that started on an older version may still run. Versions that have waited for longer
+    than ``ABANDONED`` were left by a run that died, and go as well.
     """
     if keep < 1:
         raise ValueError("the current version has to stay")
-    old = versions(spark, path)[:-keep]
+    old = versions(spark, path)[:-keep] + abandoned(spark, path)
     for name in old:
         delete_folder(spark, f"{path}/{name}")
     return old

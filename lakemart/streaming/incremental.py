@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from lakemart.operators.dedup import dedup
@@ -27,7 +29,8 @@ def ingest_incremental(
 
     Each micro-batch is reduced to the latest row per key and written to a folder named by
     its id. A batch that is replayed after a failure writes the same folder again, so the
-    outcome is exactly once, and no batch rewrites rows of an earlier one.
+    outcome is exactly once, and no batch rewrites rows of an earlier one. Rows without a whole key are
+    no versions of each other: they are kept apart, whole, below ``target/_keyless``, which readers of the log do not see.
     """
     options = {"maxFilesPerTrigger": files_per_batch} if files_per_batch else {}
     arriving = (
@@ -37,7 +40,9 @@ def ingest_incremental(
     )
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        latest = dedup(batch, keys, [INGEST_DATE])
+        whole = reduce(and_, (F.col(k).isNotNull() for k in keys))
+        batch.where(~whole).write.mode("overwrite").parquet(f"{target}/_keyless/{BATCH}={batch_id}")
+        latest = dedup(batch.where(whole), keys, [INGEST_DATE])
         latest.write.mode("overwrite").parquet(f"{target}/{BATCH}={batch_id}")
 
     query = (

@@ -554,6 +554,20 @@ select date '{a}' as first_day, date '{b}' as last_day, count(distinct order_id)
 from fact where order_date between date '{a}' and date '{b}'"""
         for a, b in RANGES
     ),
+    "cluster_worst_periods": """
+select cast(year(order_date) as int) as order_year, count(*) as lines, false as overlaps from fact where order_date is not null group by 1""",
+    "catalogue_feed": f"""
+select product_id, 'inserted' as change, date '{RUN_DATE}' as day, cast(null as string) as category_before, category_en as category_after
+from fx_catalogue
+union all
+select n.product_id, case when o.product_id is null then 'inserted' else 'modified' end, date '{NEXT_DATE}', o.category_en, n.category_en
+from catalogue_next n left join fx_catalogue o on o.product_id = n.product_id
+where o.product_id is null or o.category_en is distinct from n.category_en""",
+    "reload_changed_days": """
+select order_id, customer_id, case when order_status = 'processing' then 'returned' else order_status end as order_status,
+ order_purchase_timestamp, order_delivered_customer_date from fx_orders""",
+    "land_tables": "select * from fx_order_items_raw",
+    "scan_silver_cells": "select * from fx_order_items",
     "gate_outputs": """
 select 'top_categories has 3 rows' as "check", count(*) = 3 as ok, cast(count(*) as double) as observed
 from (select * from sales_by_category where product_category_en <> 'unknown' limit 3) t

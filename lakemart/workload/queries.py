@@ -35,7 +35,7 @@ from lakemart.operators.scd2 import (
 )
 from lakemart.operators.upsert import upsert, upsert_metrics
 from lakemart.plans import gold, marts, reports
-from lakemart.plans import daily_state, fact_increment
+from lakemart.plans import daily_state, fact_increment, upkeep
 from lakemart.plans.catalogue import build_catalogue, margin_from_number
 from lakemart.plans.silver import csv_to_silver, latest_snapshot, split_bad_rows, with_lineage
 from lakemart.schemas import (
@@ -51,6 +51,7 @@ from lakemart.schemas import (
 from lakemart.session import scratch_path
 from lakemart.sinks.bronze import land_csv, land_jsonl
 from lakemart.sinks.layout import zorder
+from lakemart.sinks.recluster import file_ranges, overlap_depth, recluster_worst
 from lakemart.sinks.tables import export_csv, to_json_rows, write_partitioned, write_table
 from lakemart.sources.files import (
     file_inventory,
@@ -993,3 +994,70 @@ def gate_outputs(lake: Lakehouse) -> DataFrame:
     )
     months = gate_output(marts.revenue_trend(fact).orderBy("month"), "revenue_trend", 80, [("month", False)])
     return categories.unionByName(sellers).unionByName(months.where("check like '%sorted'"))
+
+
+@register()
+def catalogue_feed(lake: Lakehouse) -> DataFrame:
+    """Three runs of the catalogue job, the last one with the documents of the second: every change it made."""
+    target = scratch_path(lake.spark, "catalogue-store")
+    for day, documents in (
+        (RUN_DATE, lake.raw.catalogue),
+        (NEXT_DATE, lake.raw.catalogue_next),
+        (LAST_DATE, lake.raw.catalogue_next),
+    ):
+        upkeep.refresh_catalogue(lake.spark, documents, target, day, buckets=16)
+    return upkeep.catalogue_feed(lake.spark, target).select(
+        "product_id",
+        "change",
+        "day",
+        F.col("old.category_en").alias("category_before"),
+        F.col("new.category_en").alias("category_after"),
+    )
+
+
+@register()
+def reload_changed_days(lake: Lakehouse) -> DataFrame:
+    """Two days of orders, then the second day's files replaced by others: only that day is loaded again."""
+    spark, orders = lake.spark, lake.raw.orders
+    bronze, silver = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
+    spec = replace(SILVER["orders"], ddl=ddl_of(orders, "orders"))
+    land_csv(orders, bronze, "orders", RUN_DATE)
+    land_csv(lake.raw.orders_next, bronze, "orders", NEXT_DATE)
+    upkeep.reload_changed_days(spark, spec, bronze, silver, buckets=16)
+    returned = orders.where("order_status = 'processing'").withColumn("order_status", F.lit("returned"))
+    land_csv(returned, bronze, "orders", NEXT_DATE)
+    upkeep.reload_changed_days(spark, spec, bronze, silver, buckets=16)
+    return cleaned_rows(spark, f"{silver}/orders", spec.ddl)
+
+
+@register()
+def land_tables(lake: Lakehouse) -> DataFrame:
+    """All tables landed by the job, and every cell of the items read back."""
+    root = scratch_path(lake.spark, "bronze")
+    upkeep.land_tables(raw_tables(lake), root, RUN_DATE)
+    items = lake.raw.order_items_raw
+    return read_snapshots(lake.spark, f"{root}/order_items", ddl_of(items, "order_items")).drop("ingest_date")
+
+
+@register()
+def scan_silver_cells(lake: Lakehouse) -> DataFrame:
+    """Every cell of a cleaned table."""
+    return lake.silver("order_items").select("*")
+
+
+@register()
+def cluster_worst_periods(lake: Lakehouse) -> DataFrame:
+    """The fact by year, one year's lines arriving in two more writes: only that year is clustered again.
+
+    Returns the lines of each year, and whether its files overlap.
+    """
+    spark, path, by = lake.spark, scratch_path(lake.spark, "fact-by-year"), ["customer_id", "product_id"]
+    fact = lake.fact().withColumn("order_year", F.year("order_date"))
+    write_partitioned(fact.where("order_year <> 1995 or order_year is null or order_item_id < 3"), path, "order_year", by)
+    for late in ("order_item_id = 3", "order_item_id > 3"):
+        fact.where(f"order_year = 1995 and {late}").coalesce(1).write.partitionBy("order_year").mode("append").parquet(path)
+    recluster_worst(spark, path, fact.schema, "order_year", by, deeper_than=2, most=1)
+    written = read_partitioned(spark, path, fact.schema)
+    depths = overlap_depth(file_ranges(written, "order_year", by), "order_year", by).where("order_year is not null")
+    lines = written.groupBy("order_year").agg(F.count(F.lit(1)).alias("lines"))
+    return lines.join(depths, "order_year").select("order_year", "lines", (F.col("depth") > 2).alias("overlaps"))

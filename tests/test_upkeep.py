@@ -11,13 +11,19 @@ from pyspark.sql import functions as F
 from lakemart.operators.quality import gate_output, in_files, in_partitions, out_of_order
 from lakemart.operators.running import numbered, running_totals
 from lakemart.operators.scd2 import OBSERVED, first_observed, scd2_merge, scd2_splice, with_validity
-from lakemart.plans import daily_state, gold
+from lakemart.operators.quality import GateError
+from lakemart.plans import daily_state, gold, upkeep
 from lakemart.plans.fact_increment import read_fact, refresh_fact, unit_for
 from lakemart.plans.silver import latest_snapshot, read_checked
-from lakemart.schemas import TableSpec
+from lakemart.schemas import CATALOGUE_DDL, TableSpec
+from lakemart.session import scratch_path, scratch_scope
 from lakemart.sinks.bronze import land_csv
 from lakemart.sinks.buckets import merge_batch, read_buckets, read_parts
+from lakemart.sinks.tables import write_table
+from lakemart.sinks.recluster import file_ranges, overlap_depth, recluster_worst
+from lakemart.sources.tables import drop_old_versions, path_exists, read_partitioned
 from lakemart.streaming import silver
+from lakemart.streaming.incremental import current_rows, ingest_incremental
 from lakemart.streaming.silver import cleaned_rows, ingest_to_silver, refused_rows
 
 KEY, TRACKED = ["product_id"], ["category"]
@@ -307,3 +313,121 @@ def test_totals_skip_missing_values(frame):
     assert [r.t for r in running_totals(df, [F.col("k").asc()], {"t": "v"}).orderBy("k").collect()] == [None, 5, 5, 3]
     assert running_totals(df.where("k > 9"), [F.col("k").asc()], {"t": "v"}).count() == 0
     assert [r.n for r in numbered(df, [F.col("k").desc()], "n").orderBy("k").collect()] == [4, 3, 2, 1]
+
+
+# ---- the catalogue's feed, changed days, landing and export
+
+
+def test_catalogue_applies_differences_only(spark, frame, tmp_path, rows_of):
+    target = str(tmp_path / "catalogue")
+    make = lambda *rows: frame(CATALOGUE_DDL, *((p, "", c, ["t"], m) for p, c, m in rows))
+    first = make(*((f"p{i}", "a", 0.1) for i in range(30)))
+    assert upkeep.refresh_catalogue(spark, first, target, "2024-01-01", buckets=8) == {"inserted": 30, "modified": 0, "total": 30}
+    files = lambda: set(glob.glob(f"{target}/rows/data/*/*/*.parquet"))
+    before = files()
+    assert upkeep.refresh_catalogue(spark, first, target, "2024-01-02") == {"inserted": 0, "modified": 0, "total": 30}
+    assert files() == before and len(glob.glob(f"{target}/feed/*")) == 1
+    second = make(("p1", "b", 0.1), ("p2", "a", None), ("new", "c", 0.2))
+    counts = upkeep.refresh_catalogue(spark, second, target, "2024-01-02", str(tmp_path / "bronze"))
+    assert counts == {"inserted": 1, "modified": 2, "total": 31}
+    got = {r.product_id: (r.category_en, r.margin_pct) for r in upkeep.catalogue_rows(spark, target).collect()}
+    assert len(got) == 31 and got["p1"] == ("b", 0.1) and got["p2"] == ("a", None) and got["p3"] == ("a", 0.1)
+    feed = upkeep.catalogue_feed(spark, target).where("batch = 1").orderBy("product_id").collect()
+    assert [(r.product_id, r.change, r.old and r.old.category_en, r.new.category_en) for r in feed] == [
+        ("new", "inserted", None, "c"), ("p1", "modified", "a", "b"), ("p2", "modified", "a", "a"),
+    ]
+    assert spark.read.json(str(tmp_path / "bronze" / "product_catalogue")).count() == 3
+    with pytest.raises(GateError):
+        upkeep.refresh_catalogue(spark, make(("x", "a", 0.1), ("x", "b", 0.1)), target, "2024-01-03")
+
+
+def test_only_changed_days_are_read(spark, frame, tmp_path):
+    bronze, lake = str(tmp_path / "bronze"), str(tmp_path / "silver")
+    spec = TableSpec("things", "id string, n int", ("id",), ("id",), False)
+
+    def land(day, *rows):
+        land_csv(frame("id string, n int", *rows).coalesce(1), bronze, "things", day)
+
+    def load():
+        return upkeep.reload_changed_days(spark, spec, bronze, lake, buckets=4)
+
+    def table():
+        return {r.id: r.n for r in cleaned_rows(spark, f"{lake}/things", spec.ddl).collect()}
+
+    land("2024-01-01", ("a", 1), ("b", 1), ("c", 1))
+    land("2024-01-02", ("a", 2), ("b", 2), ("d", 2), (None, 9))
+    assert load()["new"] == ["2024-01-01", "2024-01-02"] and table() == {"a": 2, "b": 2, "c": 1, "d": 2}
+    assert load() == {"new": [], "replaced": [], "vanished": []}
+    # An unchanged day is not read: its file may even be unreadable, as long as its state is the same.
+    (old,) = glob.glob(f"{bronze}/things/ingest_date=2024-01-01/*.csv")
+    stat, size = os.stat(old), os.path.getsize(old)
+    with open(old, "r+b") as file:
+        file.write(b"?" * size)
+    os.utime(old, ns=(stat.st_atime_ns, stat.st_mtime_ns))
+    land("2024-01-02", ("a", 20), ("b", 20), ("d", 20))
+    assert load()["replaced"] == ["2024-01-02"] and table() == {"a": 20, "b": 20, "c": 1, "d": 20}
+    land("2024-01-01", ("a", 1), ("b", 1), ("c", 1))
+    assert load()["replaced"] == ["2024-01-01"]
+    # Keys that a replaced day no longer has fall back to the day before, or go.
+    land("2024-01-02", ("b", 21))
+    assert load()["replaced"] == ["2024-01-02"] and table() == {"a": 1, "b": 21, "c": 1}
+
+
+def test_landing_and_export_jobs(spark, frame, tmp_path):
+    tables = {f"t{i}": frame("a int, tags array<string>", *((k, ["x", "y"]) for k in range(i))) for i in range(6)}
+    flat = {n: df.select("a") for n, df in tables.items()}
+    assert upkeep.land_tables(flat, str(tmp_path / "bronze"), "2024-01-01") == {f"t{i}": {"rows": i} for i in range(6)}
+    done = upkeep.export_star(spark, tables, str(tmp_path / "export"))
+    for name in ("t1", "t5"):
+        sizes = [os.path.getsize(f) for f in glob.glob(f"{tmp_path}/export/{name}/*.csv")]
+        assert done[name] == {"files": len(sizes), "bytes": sum(sizes)}
+    assert [r.tags for r in spark.read.csv(str(tmp_path / "export" / "t1"), header=True).collect()] == ["x,y"]
+
+
+# ---- clustering again
+
+
+def test_only_overlapping_partitions_are_rewritten(spark, frame, tmp_path, rows_of):
+    path, ddl = str(tmp_path / "t"), "a long, b string, p int"
+    day = lambda p, lo, hi: frame(ddl, *((i, str(i % 7), p) for i in range(lo, hi))).coalesce(1)
+    for part in (day(1, 0, 50), day(1, 10, 60), day(1, 20, 70), day(2, 0, 50), day(2, 50, 99), day(None, 0, 9)):
+        part.write.partitionBy("p").mode("append").parquet(path)
+    written = read_partitioned(spark, path, ddl)
+    before = rows_of(written)
+    depth = lambda: {r.p: (r.depth, r.files) for r in overlap_depth(file_ranges(read_partitioned(spark, path, ddl), "p", ["a"]), "p", ["a"]).collect()}
+    assert depth() == {1: (3, 3), 2: (1, 2), None: (1, 1)}
+    others = set(glob.glob(f"{path}/p=2/*.parquet")) | set(glob.glob(f"{path}/p=__HIVE*/*.parquet"))
+    assert recluster_worst(spark, path, ddl, "p", ["a"], deeper_than=1) == [1]
+    assert depth()[1][0] == 1 and others == set(glob.glob(f"{path}/p=2/*.parquet")) | set(glob.glob(f"{path}/p=__HIVE*/*.parquet"))
+    assert rows_of(read_partitioned(spark, path, ddl)) == before
+    assert recluster_worst(spark, path, ddl, "p", ["a"], deeper_than=1) == []
+
+
+# ---- what is left behind
+
+
+def test_scratch_of_a_scope_goes(spark, frame):
+    kept = scratch_path(spark, "kept")
+    frame("a int", (1,)).write.parquet(kept)
+    with scratch_scope(spark):
+        inner = scratch_path(spark, "inner")
+        frame("a int", (2,)).write.parquet(inner)
+        assert path_exists(spark, inner)
+    assert path_exists(spark, kept) and not path_exists(spark, inner)
+
+
+def test_abandoned_versions_go(spark, frame, tmp_path):
+    path = str(tmp_path / "t")
+    write_table(frame("a int", (1,)), path)
+    old = "pending=20200101T000000000000"
+    os.makedirs(f"{path}/{old}")
+    waiting = write_table(frame("a int", (2,)), path, publish=False)["pending"]
+    assert drop_old_versions(spark, path) == [old] and os.path.isdir(f"{path}/{waiting}")
+
+
+def test_rows_without_key_are_kept_apart(spark, tmp_path):
+    source = land_csv(spark.createDataFrame([("a", 1), (None, 2), (None, 3)], "id string, n int"), str(tmp_path / "b"), "t", "2024-01-01")
+    target = str(tmp_path / "log")
+    ingest_incremental(spark, source, "id string, n int", ["id"], target, str(tmp_path / "progress"))
+    assert [tuple(r) for r in current_rows(spark, target, "id string, n int", ["id"]).collect()] == [("a", 1)]
+    assert sorted(r.n for r in spark.read.parquet(f"{target}/_keyless").collect()) == [2, 3]
