@@ -28,9 +28,11 @@ BLOCK = 4_096
 #: Least share by which the runner-up must be larger than the winner.
 MARGIN = 0.005
 
-#: Characters that count as word characters but are no letters: digits of all kinds, fractions, circled numbers.
-_NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha())
-_NO_LETTERS = re.compile(rf"[\W_{_NUMBERS}]+")
+_NO_LETTERS = re.compile(r"[\W\d_]+")
+#: Word characters that are no letters either, and the space that stands for them: fractions, raised and circled numbers.
+#: They are rare, and a pattern with so many characters is slow.
+_NUMBERS = {c: " " for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal()}
+_AS_SPACE = str.maketrans(_NUMBERS)
 
 
 def has_letter(text: str) -> bool:
@@ -39,7 +41,10 @@ def has_letter(text: str) -> bool:
 
 def plain(text: str) -> bytes:
     """Lower-case letters, with one space for everything between them."""
-    return _NO_LETTERS.sub(" ", text.lower()).encode()
+    found = _NO_LETTERS.sub(" ", text.lower())
+    if not found.isascii() and not _NUMBERS.keys().isdisjoint(found):
+        found = re.sub(" +", " ", found.translate(_AS_SPACE))
+    return found.encode()
 
 
 def is_held_out(doc_id: Column) -> Column:
