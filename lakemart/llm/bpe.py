@@ -30,7 +30,7 @@ LONG_UNIT = 4_096
 #: Characters of a document above which its pieces are encoded by different tasks.
 PIECE = 65_536
 #: Bytes, about, of the units of one generation; a task remembers the present and the last one.
-REMEMBERED = 64 << 20
+REMEMBERED = 128 << 20
 #: Bytes that a remembered unit takes besides its text and ids.
 OVERHEAD = 200
 
@@ -97,15 +97,16 @@ class Coder(Vocabulary):
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
-    def _units_ids(self, words: list[str]) -> dict[str, bytes]:
-        """The ids of each word with a space before it, from one call over all of them."""
-        if not words:
-            return {}
-        data = self._library_ids([" " + " ".join(words)])[0]
+    def _units_ids(self, words: list[str], joined: str) -> Iterator[tuple[str, bytes]]:
+        """Each word and its ids with a space before it, from one call over all of them, joined by spaces."""
+        data = self._library_ids([f" {joined}"])[0]
         ends = np.cumsum(self._lengths[np.frombuffer(data, dtype="<u4")])
-        stops = np.cumsum([1 + (len(w) if w.isascii() else len(w.encode())) for w in words])
-        cuts = (4 * (np.searchsorted(ends, stops) + 1)).tolist()
-        return {w: data[a:b] for w, a, b in zip(words, [0, *cuts], cuts)}
+        if joined.isascii():
+            sizes = np.fromiter(map(len, words), np.int64, len(words))
+        else:
+            sizes = np.fromiter((len(w.encode()) for w in words), np.int64, len(words))
+        cuts = (4 * (np.searchsorted(ends, np.cumsum(sizes + 1)) + 1)).tolist()
+        return zip(words, map(data.__getitem__, map(slice, [0, *cuts[:-1]], cuts)))
 
     def _unit_ids(self, data: bytes) -> list[int]:
         return self._whole.encode(data.decode("latin-1").translate(self._letters), add_special_tokens=False).ids
@@ -143,25 +144,38 @@ class Coder(Vocabulary):
         short = iter(self._library_ids([u for u in units if len(u) <= LONG_UNIT]))
         return b"".join(self._long_ids(u) if len(u) > LONG_UNIT else next(short) for u in units)
 
-    def _learn(self, words: list[str]) -> None:
+    def _learn(self, words: list[str], joined: str) -> None:
         """Remember words that follow a single space."""
-        new = {w: ids for w in words if (ids := self._older.get(w)) is not None}
-        new.update(self._units_ids([w for w in words if w not in new and len(w) < LONG_UNIT]))
-        new.update((w, self._long_ids(f" {w}")) for w in words if w not in new)
-        self._spaced.update(new)
-        self._held += sum(map(len, new)) + sum(map(len, new.values())) + OVERHEAD * len(new)
+        if self._older:
+            known = [w for w in words if w in self._older]
+            if known:
+                self._spaced.update(zip(known, map(self._older.__getitem__, known)))
+                words = [w for w in words if w not in self._older]
+                joined = " ".join(words)
+        if len(joined) >= LONG_UNIT and max(map(len, words)) >= LONG_UNIT:
+            self._spaced.update((w, self._long_ids(f" {w}")) for w in words if len(w) >= LONG_UNIT)
+            words = [w for w in words if len(w) < LONG_UNIT]
+            joined = " ".join(words)
+        if words:
+            self._spaced.update(self._units_ids(words, joined))
 
     def _plain_ids(self, text: str) -> bytes:
         """Text without special tokens."""
         first, *rest = text.split(" ")
         if self._held > REMEMBERED:
             self._older, self._spaced, self._held = self._spaced, {}, 0
-        missing = [w for w in dict.fromkeys(rest) if w not in self._spaced]
-        # Words next to more white space are never remembered, so such texts are found among the new words.
-        if not first or first[-1].isspace() or any(not w or w[0].isspace() or w[-1].isspace() for w in missing):
+        missing = list(set(rest).difference(self._spaced))
+        joined = " ".join(missing)
+        # Words next to more white space are never remembered, so such texts are found among the new words; where the
+        # new words hold no white space at all there is none.
+        if not first or first[-1].isspace():
+            return self._cut_ids(text)
+        if len(joined.split()) != len(missing) and any(not w or w[0].isspace() or w[-1].isspace() for w in missing):
             return self._cut_ids(text)
         if missing:
-            self._learn(missing)
+            self._learn(missing, joined)
+            # A token has three or four bytes of text and takes four.
+            self._held += 2 * len(joined) + OVERHEAD * len(missing)
         head = self._long_ids(first) if len(first) > LONG_UNIT else self._library_ids([first])[0]
         return b"".join([head, *map(self._spaced.__getitem__, rest)])
 
