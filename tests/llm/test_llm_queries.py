@@ -16,6 +16,7 @@ import corpus_pipeline
 from lakemart.llm import decontaminate, language_id
 from lakemart.llm.oracle import ORACLE_SQL
 from lakemart.llm.queries import REGISTRY, TOKENIZER
+from test_entropy_mix import plain_rates, plain_targets, words
 from tests_llm_helpers import groups, shingles
 
 
@@ -129,6 +130,26 @@ def test_bpe_and_files(spark, sf_dir, duck):
     assert sorted(tuple(r) for r in REGISTRY["op10_token_files"](spark, sf_dir).collect()) == filed
 
 
+def test_source_mix(spark, sf_dir, duck):
+    """Sizes and targets by the definition, rates by halving, and what each source gives."""
+    rows = duck.execute("select doc_id, text, source from documents").fetchall()
+    got = {r.doc_id: r for r in REGISTRY["op12_source_mix"](spark, sf_dir).collect()}
+    by_source = {}
+    for doc_id, text, source in rows:
+        by_source.setdefault(source, []).append((doc_id, words(text)))
+    targets = plain_targets({s: sum(n for _, n in d) for s, d in by_source.items()})
+    assert len(got) == len(rows) and len({r.target for r in got.values()}) > 1
+    for source, documents in by_source.items():
+        sizes = [n for _, n in documents]
+        rates = plain_rates(sizes, targets[source])
+        for (doc_id, n), rate in zip(documents, rates):
+            r = got[doc_id]
+            assert (r.size, r.source_size) == (n, sum(sizes)) and r.target == pytest.approx(targets[source], rel=1e-12)
+            assert r.taken == r.copies * n <= 3 * n and r.rate == pytest.approx(rate, abs=1e-3)
+        taken = sum(got[i].taken for i, _ in documents)
+        assert abs(taken - targets[source]) <= 0.02 * targets[source] + min(n for n in sizes if n)
+
+
 def plain(text):
     kept = "".join(c if ord(c) > 127 or c.isalnum() else " " for c in text)
     return kept.lower().split()
