@@ -26,16 +26,19 @@ SUMS = ("cents", "score_sum", "score_count", "days_sum", "days_count")
 
 
 def dense_ids(keys: DataFrame, known: DataFrame | None = None) -> DataFrame:
-    """(key, id): every distinct key of the one-column frame with a number from 1 up, none left out.
+    """(key, id): every distinct key of the frame's first column with a number from 1 up, none left out.
 
-    Keys that ``known`` has keep their numbers, new ones follow, so bitmaps made before stay valid. NULL has none.
+    A second column, if there is one, puts the keys in order by its smallest value: numbered by their day, the orders of a
+    day lie in few bitmaps instead of a few bits in each. Keys that ``known`` has keep their numbers, new ones follow, so bitmaps made before stay valid. NULL has none.
     """
-    key = keys.columns[0]
-    distinct = keys.where(F.col(key).isNotNull()).distinct()
+    key, *first = keys.columns
+    present = keys.where(F.col(key).isNotNull())
+    distinct = present.groupBy(key).agg(*[F.min(c).alias(c) for c in first]) if first else present.distinct()
+    order = [F.col(c) for c in (*first, key)]
     if known is None:
-        return numbered(distinct, [F.col(key)], "id")
+        return numbered(distinct, order, "id").select(key, "id")
     top = known.agg(F.coalesce(F.max("id"), F.lit(0).cast("long"))).first()[0]
-    new = numbered(distinct.join(known, key, "left_anti"), [F.col(key)], "id")
+    new = numbered(distinct.join(known, key, "left_anti"), order, "id").select(key, "id")
     return known.unionByName(new.withColumn("id", F.col("id") + F.lit(top)))
 
 
@@ -43,7 +46,8 @@ def daily_bitmaps(fact: DataFrame, ids: Mapping[str, DataFrame]) -> DataFrame:
     """(order_date, kind, bucket, bitmap): who occurs on each day; lines without a date are on none.
 
     A bitmap covers 32,768 neighbouring numbers, so a day has a row for each such stretch that occurs on it. The fact is
-    reduced to days and keys before it meets the numbers.
+    reduced to days and keys before it meets the numbers. The single bits are sent to where their bitmap is made: a
+    bitmap of few bits takes 4 KB in every task that makes and sorts it.
     """
     dated = fact.where(F.col(DAY).isNotNull())
     kinds = []
@@ -52,7 +56,7 @@ def daily_bitmaps(fact: DataFrame, ids: Mapping[str, DataFrame]) -> DataFrame:
         kinds.append(
             seen.select(DAY, F.lit(kind).alias("kind"), F.bitmap_bucket_number("id").alias("bucket"), F.bitmap_bit_position("id").alias("bit"))
         )
-    together = reduce(DataFrame.unionByName, kinds)
+    together = reduce(DataFrame.unionByName, kinds).repartition(DAY, "kind", "bucket")
     return together.groupBy(DAY, "kind", "bucket").agg(F.bitmap_construct_agg("bit").alias("bitmap"))
 
 

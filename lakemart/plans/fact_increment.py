@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import DateType, StructField, StructType
 
 from lakemart.plans import gold
@@ -117,17 +117,19 @@ def refresh_fact(
         changed_periods(read_table(spark, digests), after, unit).coalesce(1).write.parquet(staged)
         periods = spark.read.schema(f"{PERIOD} date").parquet(staged)
         wanted = {r[0] for r in periods.collect()}  # periods of the calendar
+        present = {r[0] for r in after.select(period_of(F.col(DAY), unit)).distinct().collect()}
+    if known and not present <= wanted:
         rows = fact_of_periods(tables, periods, unit)
-    else:
+    else:  # all periods: picking their lines would only send every table around once more
         rows = gold.fact_sales(*(tables[n] for n in ("order_items", "orders", "payments", "reviews")))
     rewritten: set = set()
     if wanted is None or wanted:
-        lines = scratch_path(spark, "lines")
-        rows.withColumn(PERIOD, period_of(F.col(DAY), unit)).write.parquet(lines)
-        done = spark.read.parquet(lines)
-        write_partitioned(done, fact, PERIOD)
-        rewritten = {r[0] for r in done.select(PERIOD).distinct().collect()}
-        delete_folder(spark, lines)
+        # The periods that have lines are observed on the way: the lines are made once and written once.
+        seen, period = Observation(), F.col(PERIOD)
+        dated = rows.withColumn(PERIOD, period_of(F.col(DAY), unit))
+        found = dated.observe(seen, F.collect_set(PERIOD).alias("periods"), F.count_if(period.isNull()).alias("undated"))
+        write_partitioned(found, fact, PERIOD)
+        rewritten = {*seen.get["periods"], *([None] if seen.get["undated"] else [])}
     # Periods that lost all their lines keep no folder.
     emptied = (wanted or set()) - rewritten
     for period in emptied:

@@ -1,5 +1,6 @@
 """The daily jobs end to end, and incremental ingestion."""
 
+import glob
 import os
 from datetime import date
 
@@ -15,12 +16,15 @@ from lakemart.schemas import SILVER
 from lakemart.session import (
     BYTES_PER_PARTITION,
     SHUFFLE_PARTITIONS,
+    TASK_SIZES,
     folder_bytes,
     shared_dir,
     shuffle_partitions_for,
     sized_shuffles,
+    small_tasks,
 )
 from lakemart.sinks.bronze import land_csv, land_jsonl
+from lakemart.sinks.tables import write_table
 from lakemart.sources.tables import read_table
 from lakemart.streaming.incremental import compact, current_rows, ingest_incremental
 from lakemart.workload.inputs import Inputs
@@ -161,6 +165,20 @@ def test_shuffles_grow_with_the_input(spark, tmp_path):
     assert spark.conf.get(SHUFFLE_PARTITIONS) == before
 
 
+def test_writes_run_in_small_tasks(spark, set_conf, tmp_path, monkeypatch):
+    """Tasks that sort what they read are small whatever the session says, and its settings come back."""
+    spark.range(300_000).selectExpr("id", "uuid() as text").repartition(1).write.option("parquet.block.size", 2**20).parquet(f"{tmp_path}/in")
+    set_conf(**{TASK_SIZES[0]: "128m", TASK_SIZES[1]: "8k", "spark.sql.files.minPartitionNum": "1"})
+    monkeypatch.setattr("lakemart.session.BYTES_PER_TASK", 2**20)
+    before = [spark.conf.get(k) for k in TASK_SIZES]
+    write_table(spark.read.parquet(f"{tmp_path}/in"), f"{tmp_path}/out")
+    assert len(glob.glob(f"{tmp_path}/out/*/*.parquet")) > 4
+    with pytest.raises(KeyError), small_tasks(spark), small_tasks(spark):
+        assert [spark.conf.get(k) for k in TASK_SIZES] == [f"{2**20}b", f"{8 * 2**10}b"]
+        raise KeyError
+    assert [spark.conf.get(k) for k in TASK_SIZES] == before
+
+
 def test_failed_write_fails_the_job(frame):
     def fail():
         raise OSError("disk")

@@ -12,7 +12,7 @@ from lakemart.operators.quality import gate_output, in_files, in_partitions, out
 from lakemart.operators.running import numbered, running_totals
 from lakemart.operators.scd2 import OBSERVED, first_observed, scd2_merge, scd2_splice, with_validity
 from lakemart.operators.quality import GateError
-from lakemart.plans import daily_state, gold, upkeep
+from lakemart.plans import daily_state, fact_increment, gold, upkeep
 from lakemart.plans.fact_increment import read_fact, refresh_fact, unit_for
 from lakemart.plans.silver import latest_snapshot, read_checked
 from lakemart.schemas import CATALOGUE_DDL, TableSpec
@@ -225,6 +225,19 @@ def test_changed_periods_equal_a_rebuild(spark, retail, tmp_path, rows_of, unit)
     assert kept and kept <= files() and not any("2024-03" in f for f in files())
 
 
+def test_lines_are_written_once(spark, retail, tmp_path, monkeypatch):
+    """No copy of the lines beside the fact; where all periods changed, no table is sent around to pick their lines."""
+    made, picked = [], []
+    monkeypatch.setattr(fact_increment, "scratch_path", lambda s, label: made.append(label) or f"{tmp_path}/{label}-{len(made)}")
+    monkeypatch.setattr(fact_increment, "fact_of_periods", lambda *a: picked.append(a))
+    target, first, second = str(tmp_path / "gold"), retail(), retail()
+    second["orders"] = second["orders"].withColumn("customer_id", F.lit("c9"))
+    assert refresh_fact(spark, first, target, "month") == {"rewritten": 4, "emptied": 0}
+    assert refresh_fact(spark, second, target, "month") == {"rewritten": 4, "emptied": 0}
+    assert "lines" not in made and not picked
+    assert {r.customer_id for r in read_fact(spark, second, target).collect()} == {"c9"}
+
+
 def test_unit_of_periods():
     assert unit_for(10**12, 1000) == "day" and unit_for(10**9, 1000) == "month" and unit_for(0, 0) == "month"
 
@@ -232,6 +245,15 @@ def test_unit_of_periods():
 # ---- figures from the state of days
 
 
+def test_numbers_follow_the_days(frame, rows_of):
+    """Keys of a day have neighbouring numbers, so a day's bitmaps are few; bits meet before bitmaps are made."""
+    keys = frame("order_id string, order_date int", ("a", 3), ("b", 1), ("c", 2), ("b", 5), (None, 1), ("d", None))
+    ids = daily_state.dense_ids(keys)
+    assert rows_of(ids) == rows_of(frame("order_id string, id long", ("d", 1), ("b", 2), ("c", 3), ("a", 4)))
+    more = daily_state.dense_ids(frame("order_id string, order_date int", ("f", 9), ("g", 8), ("a", 1)), ids)
+    assert {r.order_id: r.id for r in more.collect()} == {"d": 1, "b": 2, "c": 3, "a": 4, "g": 5, "f": 6}
+
+
 def test_ids_stay_and_are_dense(frame):
     first = daily_state.dense_ids(frame("k string", ("b",), ("a",), ("b",), (None,)))
     assert {r.k: r.id for r in first.collect()} == {"a": 1, "b": 2}
