@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from lakemart.plans.silver import latest_snapshot, read_checked, split_bad_rows
 from lakemart.schemas import SILVER, TableSpec
 from lakemart.sinks.bronze import land_csv, land_jsonl
+from lakemart.session import frame_bytes
 from lakemart.sinks.layout import zorder
 from lakemart.sinks.tables import export_csv, to_json_rows, write_partitioned, write_table
 from lakemart.sources.files import (
@@ -284,3 +285,19 @@ def test_zorder_spreads_rows_with_equal_columns(spark):
 def test_zorder_keeps_null_keys(spark, frame):
     df = frame("c string, p int", ("a", 1), (None, 2), ("b", None), (None, None))
     assert zorder(df, ["c", "p"]).count() == 4
+
+
+def test_zorder_cuts_large_tables_into_more_ranges_than_configured(spark, tmp_path, monkeypatch):
+    spark.range(0, 20000, 1, 4).select("id", F.xxhash64("id").alias("c"), F.lit(1).alias("p")).write.parquet(str(tmp_path / "a b"))
+    df = spark.read.parquet(str(tmp_path / "a b"))
+    size = sum(f.stat().st_size for f in (tmp_path / "a b").glob("*.parquet"))
+    assert frame_bytes(df) == size
+    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    monkeypatch.setattr("lakemart.sinks.layout.BYTES_PER_RANGE", -(-size // (configured + 5)))
+    large = zorder(df, ["c", "p"])
+    assert large.rdd.getNumPartitions() == configured + 5
+    assert large.exceptAll(df).count() == 0 and large.count() == 20000
+    shuffled = large._jdf.queryExecution().executedPlan().toString().split("Exchange")[1]
+    assert "_row" not in shuffled
+    monkeypatch.undo()
+    assert zorder(df, ["c", "p"]).rdd.getNumPartitions() <= configured
