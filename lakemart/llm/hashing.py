@@ -11,6 +11,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 # Bytes of text hashed at once: bounds the memory of a task, whatever a text's length.
 CHUNK = 1 << 20
@@ -52,23 +53,27 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers(max(CHUNK * 2, 1 << max(0, n - 1).bit_length()))
 
 
+def _as_bytes(column: pa.Array) -> pa.Array:
+    return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary())
+
+
 def byte_lists(column: pa.Array) -> list[bytes]:
     """Texts as UTF-8; a null is empty."""
-    kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()
-    return [b or b"" for b in column.cast(kind).to_pylist()]
+    return [b or b"" for b in _as_bytes(column).to_pylist()]
 
 
 def slices(column: pa.Array, most: int = CHUNK) -> Iterator[tuple[int, list[bytes]]]:
-    """Runs of texts of about ``most`` bytes, each with the index of its first; long texts alone."""
-    texts = byte_lists(column)
-    at = 0
-    while at < len(texts):
-        end, size = at, 0
-        while end < len(texts) and (end == at or size + len(texts[end]) <= most):
-            size += len(texts[end]) + 1
-            end += 1
-        yield at, texts[at:end]
-        at = end
+    """Runs of texts of about ``most`` bytes, each with the index of its first; long texts alone.
+
+    Only the texts of one run are copied out of the column at a time.
+    """
+    lengths = pc.fill_null(pc.binary_length(_as_bytes(column)), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(lengths.astype(np.int64) + 1)
+    at = base = 0
+    while at < len(ends):
+        end = max(at + 1, int(np.searchsorted(ends, base + most + 1, side="right")))
+        yield at, byte_lists(column.slice(at, end - at))
+        at, base = end, int(ends[end - 1])
 
 
 def _chunk_words(buf: np.ndarray, between: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

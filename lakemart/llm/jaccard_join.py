@@ -99,9 +99,11 @@ def _count_frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     """Shingles seen in several documents of COUNTED_TOGETHER shingles, the most frequent ones each time."""
 
     def counted(found: list[np.ndarray]) -> pa.RecordBatch:
-        values = np.sort(np.concatenate(found))
+        values = np.concatenate(found)
+        found.clear()
+        values.sort()
         starts = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1])))
-        counts = np.diff(np.append(starts, len(values)))
+        counts = np.diff(np.append(starts, len(values)).astype(np.int32))
         often = np.flatnonzero(counts > 1)
         if len(often) > FREQUENT_PER_TASK:
             often = often[np.argpartition(-counts[often], FREQUENT_PER_TASK)[:FREQUENT_PER_TASK]]
@@ -117,7 +119,7 @@ def _count_frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 size += len(found)
             if size >= COUNTED_TOGETHER:
                 yield counted(held)
-                held, size = [], 0
+                size = 0
     if size:
         yield counted(held)
 
