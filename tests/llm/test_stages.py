@@ -4,10 +4,12 @@ import hashlib
 
 import numpy as np
 import pytest
+import pyarrow as pa
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from lakemart.llm import decontaminate, hashing, language_id
 from lakemart.llm import token_files
 from lakemart.llm.decontaminate import find_leaks
 from lakemart.llm.line_dedup import dedup_lines
@@ -96,3 +98,29 @@ def test_very_long_texts(spark, docs, frame, tmp_path):
     ids_of = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in token_files.read_token_files(spark, folder).collect()}
     assert ids_of[2] == [*library.encode(long, add_special_tokens=False).ids, 0] == ids_of[1]
     assert ids_of[3] == [*library.encode(middle, add_special_tokens=False).ids, 0]
+
+
+def test_worker_holds_a_part_of_a_batch_at_a_time(monkeypatch):
+    """Batches hold 10,000 texts; what is copied out of them, and sent back, is bounded."""
+    sizes = []
+    whole = hashing.byte_lists
+    monkeypatch.setattr(hashing, "byte_lists", lambda column: sizes.append(len(column)) or whole(column))
+    texts = ["ab" * (k % 7) if k % 11 else None for k in range(500)] + ["x" * 300, "", None]
+    for column in (pa.array(texts), pa.array(texts, pa.large_string()).slice(3)):
+        sizes.clear()
+        found = list(hashing.slices(column, 100))
+        assert [t for _, part in found for t in part] == [(t or "").encode() for t in column.to_pylist()]
+        assert [at for at, _ in found] == [sum(len(part) for _, part in found[:k]) for k in range(len(found))]
+        assert all(len(part) == 1 or sum(map(len, part)) + len(part) - 1 <= 100 for _, part in found)
+        assert max(sizes) <= 101
+    assert list(hashing.slices(pa.array([], pa.string()))) == []
+    parts = list(language_id._in_parts(iter([pa.record_batch({"text": pa.array(["a"] * 2500)})])))
+    assert [p.num_rows for p in parts] == [1000, 1000, 500]
+
+
+def test_document_frequencies_count_a_word_once_a_text():
+    texts = ["Cat dog cat", "dog", None, "", "cat, CAT! bird"]
+    (found,) = decontaminate._frequencies(iter([pa.record_batch({"text": pa.array(texts)}), pa.record_batch({"text": pa.array([], pa.string())})]))
+    counts = dict(zip(found.column("f").to_pylist(), found.column("n").to_pylist()))
+    words = {int(decontaminate._feature(decontaminate._hashes(w))[0]): n for w, n in (("cat", 2), ("dog", 2), ("bird", 1))}
+    assert counts == {**words, -1: 5}
