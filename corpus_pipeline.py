@@ -15,6 +15,7 @@ from lakemart.llm.language_id import accepted, is_held_out, learn
 from lakemart.llm.line_dedup import dedup_lines
 from lakemart.llm.queries import TOKENIZER
 from lakemart.llm.tables import Scratch
+from lakemart.llm.workers import small_batches
 from lakemart.session import scratch_scope
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -26,6 +27,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Texts that are null, empty or without a letter go. Rows are judged each on its own, also those without doc_id and
     repeated ones; equal texts are judged alike.
     """
+    small_batches(spark)
     docs = docs.select(*COLUMNS)
     return accepted(docs, learn(spark, docs.where(~is_held_out(F.col("doc_id")))))
 
@@ -50,6 +52,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Null and empty texts are no copies of each other, and rows without doc_id belong to no group: they stay. Rows that
     share a doc_id stay or go together.
     """
+    small_batches(spark)
     scratch = Scratch(spark, "near-copies")
     copies = jaccard_groups(spark, docs).where("doc_id <> component_id").select("doc_id")
     return scratch.join_small(docs, scratch.write(copies, "copies"), "doc_id", "left_anti").select(*COLUMNS)
@@ -60,6 +63,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Null and empty texts hold none; an empty benchmark removes nothing. Rows are judged each on its own.
     """
+    small_batches(spark)
     return clean_documents(spark, docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
@@ -68,7 +72,10 @@ def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Null and empty texts have no ids; every row gives one row, also without doc_id.
     """
-    return decode_documents(encode_documents(spark, docs, TOKENIZER), TOKENIZER).select(
+    small_batches(spark)
+    # Written in between: else every task has two workers, each with its own vocabulary.
+    ids = Scratch(spark, "encoding").write(encode_documents(spark, docs, TOKENIZER), "ids", compression="zstd")
+    return decode_documents(ids, TOKENIZER).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

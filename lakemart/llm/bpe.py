@@ -24,6 +24,7 @@ from tokenizers import Tokenizer
 
 from lakemart.llm.hashing import CHUNK
 from lakemart.llm.tables import Scratch
+from lakemart.llm.workers import giving_back
 
 #: Characters of a unit above which it is encoded as a tree, and leaf size of the tree.
 LONG_UNIT = 4_096
@@ -358,20 +359,20 @@ def encode_documents(spark: SparkSession, documents: DataFrame, path: str, finis
     """
     documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     long = F.length("text") > PIECE
-    short = documents.where(~F.coalesce(long, F.lit(False))).mapInArrow(_encode(path, finish), "doc_id long, ids binary")
+    short = documents.where(~F.coalesce(long, F.lit(False))).mapInArrow(giving_back(_encode(path, finish)), "doc_id long, ids binary")
     scratch = Scratch(spark, "bpe")
     texts = documents.where(long).withColumn("digest", F.sha2("text", 256))
     coded = scratch.write(
         texts.select("doc_id", "digest", "text")
-        .mapInArrow(_pieces(path), "doc_id long, digest string, k int, inside boolean, data binary")
+        .mapInArrow(giving_back(_pieces(path)), "doc_id long, digest string, k int, inside boolean, data binary")
         .repartition("doc_id", "digest", "k")
-        .mapInArrow(_encode_pieces(path), "doc_id long, digest string, k int, inside boolean, ids binary"),
+        .mapInArrow(giving_back(_encode_pieces(path)), "doc_id long, digest string, k int, inside boolean, ids binary"),
         "pieces",
     )
     whole = (
         coded.repartition("doc_id", "digest")
         .sortWithinPartitions("doc_id", "digest")
-        .mapInArrow(_join_pieces(path, finish), "doc_id long, digest string, ids binary")
+        .mapInArrow(giving_back(_join_pieces(path, finish)), "doc_id long, digest string, ids binary")
     )
     a, b = texts.select("doc_id", "digest").alias("a"), whole.alias("b")
     same = F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.digest") == F.col("b.digest"))
@@ -392,4 +393,4 @@ def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
         )
         yield from in_chunks(rows, schema, lambda r: len(r[2]))
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids binary, text string")
+    return encoded.select("doc_id", "ids").mapInArrow(giving_back(run), "doc_id long, ids binary, text string")

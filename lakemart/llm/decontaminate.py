@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lakemart.llm.bpe import batch_of
 from lakemart.llm.hashing import NOT_ALNUM, mix, slices, words
 from lakemart.llm.tables import Scratch
+from lakemart.llm.workers import giving_back
 
 #: Hashed words, latent dimensions, further columns of the random matrix, dimensions of the rest, and words of half a
 #: passage (passages overlap by half).
@@ -185,7 +186,7 @@ def fit_space(documents: DataFrame) -> np.ndarray:
     """The vector of every hashed word (FEATURES x (RANK + REST)), from all ``documents`` (text)."""
     texts = documents.select("text")
     counts, n = np.zeros(FEATURES), 0
-    frequencies = texts.mapInArrow(_frequencies, "f long, n long").groupBy("f").agg(F.sum("n").alias("n"))
+    frequencies = texts.mapInArrow(giving_back(_frequencies), "f long, n long").groupBy("f").agg(F.sum("n").alias("n"))
     for row in frequencies.collect():  # FEATURES rows at most, and one for the number of documents
         if row.f < 0:
             n = row.n
@@ -193,7 +194,7 @@ def fit_space(documents: DataFrame) -> np.ndarray:
             counts[row.f] = row.n
     idf = np.log((n + 1) / (counts + 1)).astype(np.float32) + np.float32(1e-3)
     # Partial sums are added up in two steps, so no task adds those of all tasks.
-    partial = texts.mapInArrow(_sketch(idf), "chunk int, sums binary")
+    partial = texts.mapInArrow(giving_back(_sketch(idf)), "chunk int, sums binary")
     salted = partial.withColumn("salt", F.spark_partition_id() % 16).repartition("chunk", "salt").select("chunk", "sums")
     added = salted.mapInArrow(_add_up, "chunk int, sums binary").repartition("chunk").mapInArrow(_add_up, "chunk int, sums binary")
     z = np.zeros((FEATURES, RANK + MORE))
@@ -404,7 +405,7 @@ def clean_documents(spark: SparkSession, documents: DataFrame, benchmark: DataFr
                 found = [hits for _, part in searcher.found_in(batch.column("text")) for hits in part]
                 yield batch.filter(pa.array([not hits for hits in found], pa.bool_()))
 
-        documents = documents.mapInArrow(run, documents.schema)
+        documents = documents.mapInArrow(giving_back(run), documents.schema)
     return documents
 
 
@@ -435,7 +436,7 @@ def find_leaks(spark: SparkSession, documents: DataFrame, benchmark: DataFrame)
                     rows = [(ids[first + t], sorted(hits), max(hits.values(), default=0.0)) for t, hits in enumerate(part)]
                     yield batch_of(rows, _LEAKS)
 
-        found.append(documents.mapInArrow(run, ddl))
+        found.append(documents.mapInArrow(giving_back(run), ddl))
     if len(found) == 1:
         return found[0]
     # Rows of several blocks meet again by document: only those with leaks, beside one row each.

@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lakemart.llm.components import components
 from lakemart.llm.hashing import slices, windows, words
 from lakemart.llm.tables import Scratch
+from lakemart.llm.workers import giving_back
 
 SHINGLE = 5
 #: Similarity as a fraction: two documents link when TEN * shared >= EIGHT * union.
@@ -357,7 +358,7 @@ def _cells(keyed: DataFrame) -> DataFrame:
 
 def _frequent(documents: DataFrame) -> np.ndarray:
     """The most frequent shingle hashes, sorted: FREQUENT of them at most."""
-    counted = documents.select("text").mapInArrow(_count_frequent, "h long, n long")
+    counted = documents.select("text").mapInArrow(giving_back(_count_frequent), "h long, n long")
     top = counted.groupBy("h").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "h").limit(FREQUENT)
     return np.sort(np.array([r.h for r in top.collect()], dtype=np.int64).view(np.uint64))
 
@@ -377,7 +378,7 @@ def jaccard_groups(spark: SparkSession, documents: DataFrame) -> DataFrame:
     def signatures(batches):
         yield from _signatures(frequent.value)(batches)
 
-    signed = scratch.write(documents.mapInArrow(signatures, _SIGNATURE), "signatures")
+    signed = scratch.write(documents.mapInArrow(giving_back(signatures), _SIGNATURE), "signatures")
     named = signed.where("n > 0 and doc_id is not null")
     equal = scratch.write(
         named.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("c")).where("c > 1"), "equal"
@@ -395,7 +396,7 @@ def jaccard_groups(spark: SparkSession, documents: DataFrame) -> DataFrame:
         met.select(F.xxhash64("cell", "size_class").alias("cell"), "rep", "n", "size_class", "point")
         .repartition("cell")
         .sortWithinPartitions("cell", "rep")
-        .mapInArrow(_search_cells, "a long, b long")
+        .mapInArrow(giving_back(_search_cells), "a long, b long")
     )
     same = named.select("doc_id", "d1", "d2", "n").join(equal, ["d1", "d2", "n"]).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     candidates = scratch.write(candidates.distinct(), "candidates")
@@ -403,13 +404,13 @@ def jaccard_groups(spark: SparkSession, documents: DataFrame) -> DataFrame:
     counts = maybe.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / SET_BLOCK).cast("int").alias("n_blocks"))
     maybe = scratch.write(maybe.join(counts, "component").withColumnRenamed("node", "doc_id"), "maybe")
     sets = scratch.join_small(documents, maybe, "doc_id").select("doc_id", "text", "component", "n_blocks")
-    sets = sets.mapInArrow(_sets_of, "rep long, component long, n_blocks int, shingles binary")
+    sets = sets.mapInArrow(giving_back(_sets_of), "rep long, component long, n_blocks int, shingles binary")
     links = (
         _in_blocks(sets, "component")
         .select("cell", "rep", "shingles")
         .repartition("cell")
         .sortWithinPartitions("cell", "rep")
-        .mapInArrow(_verify, "a long, b long")
+        .mapInArrow(giving_back(_verify), "a long, b long")
     )
     found = scratch.write(components(links.unionByName(same), scratch), "components")
     return signed.select("doc_id", F.col("n").cast("long").alias("n_shingles")).join(

@@ -10,7 +10,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from lakemart.llm import decontaminate, hashing, language_id
-from lakemart.llm import token_files
+from lakemart.llm import token_files, workers
 from lakemart.llm.decontaminate import find_leaks
 from lakemart.llm.line_dedup import dedup_lines
 from lakemart.llm.queries import TOKENIZER
@@ -124,3 +124,24 @@ def test_document_frequencies_count_a_word_once_a_text():
     counts = dict(zip(found.column("f").to_pylist(), found.column("n").to_pylist()))
     words = {int(decontaminate._feature(decontaminate._hashes(w))[0]): n for w, n in (("cat", 2), ("dog", 2), ("bird", 1))}
     assert counts == {**words, -1: 5}
+
+
+def test_workers_get_few_rows_and_encode_apart_from_decoding(spark, docs, set_conf):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    set_conf(**{key: "10000"})
+    coded = STAGES["encoding"](spark, docs((1, "a b", "en", 3), (2, None, "en", None)), "")
+    assert 0 < int(spark.conf.get(key)) <= 1_000
+    # One worker a task: the ids that are decoded come from a written table.
+    assert coded._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert {r.doc_id: r.n_tokens for r in coded.collect()} == {1: 2, 2: 0}
+
+
+def test_tasks_give_memory_back(monkeypatch):
+    given = []
+    monkeypatch.setattr(workers, "give_back", lambda: given.append(1))
+    run = workers.giving_back(lambda batches: (b for b in batches))
+    assert list(run(iter([1, 2]))) == [1, 2] and given == [1]
+    part = run(iter([1, 2]))
+    next(part)
+    part.close()
+    assert given == [1, 1]
