@@ -29,11 +29,11 @@ def smaller_than_next(data: np.ndarray) -> np.ndarray:
 
 def _sort_directly(starts: np.ndarray, words: np.ndarray, depth: int) -> np.ndarray:
     """Suffixes in order of their first ``depth`` bytes (a multiple of eight, at least)."""
-    n = len(words)
     if not len(starts):
         return starts
-    order = starts[np.argsort(words[starts], kind="stable")]
+    order = starts[np.argsort(words[starts])]
     value = words[order]
+    words = np.concatenate((words, np.zeros(depth, dtype=np.uint64)))
     tied = np.arange(len(order))
     same = np.concatenate(([False], value[1:] == value[:-1]))
     group = np.cumsum(~same)
@@ -43,12 +43,18 @@ def _sort_directly(starts: np.ndarray, words: np.ndarray, depth: int) -> np.ndar
         tied, group = tied[more], group[more]
         if not len(tied):
             break
-        place = order[tied] + at
-        value = np.where(place < n, words[np.minimum(place, n - 1)], np.uint64(0))
-        index = np.lexsort((value, group))
-        order[tied] = order[tied[index]]
-        group, value = group[index], value[index]
-        same = np.concatenate(([False], (value[1:] == value[:-1]) & (group[1:] == group[:-1])))
+        value = words[order[tied] + at]
+        within = group[1:] == group[:-1]
+        falls = np.flatnonzero(within & (value[1:] < value[:-1]))
+        if len(falls):
+            # Copies stay in order however far they are compared: only groups that are out of it are sorted.
+            mixed = np.zeros(group[-1] + 1, dtype=bool)
+            mixed[group[falls]] = True
+            some = np.flatnonzero(mixed[group])
+            index = some[np.lexsort((value[some], group[some]))]
+            order[tied[some]] = order[tied[index]]
+            value[some] = value[index]
+        same = np.concatenate(([False], within & (value[1:] == value[:-1])))
         group = np.cumsum(~same)
     return order
 

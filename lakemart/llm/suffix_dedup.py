@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakemart.llm.bpe import batch_of, in_chunks
@@ -33,6 +34,8 @@ WINDOW = LENGTH - GRAM + 1
 FREQUENT, FREQUENT_PER_STEP, OFTEN = 65_536, 2_048, 3
 #: Bytes that are suffix-sorted together; a single key may have more.
 SORTED_TOGETHER = 1 << 21
+#: Bytes whose grams are hashed at once: the arrays of a step, eight bytes for each, stay in a core's cache.
+HASHED = 1 << 17
 #: Bytes of segments among which a task combines equal ones.
 COMBINED = 1 << 25
 
@@ -89,9 +92,9 @@ class _Frequent:
         return grams
 
 
-def _segments(texts: list[bytes], frequent: _Frequent | None) -> tuple[np.ndarray, ...]:
+def _segments(texts: list[bytes], frequent: _Frequent | None, ask_twice: bool = True) -> tuple[np.ndarray, ...]:
     """Text index, key, first window and number of windows of every segment, and whether it may hold a window
-    twice; and the texts' grams and offsets."""
+    twice (none if not asked); and the texts' grams and offsets."""
     sizes = np.array([len(t) for t in texts])
     offsets = np.concatenate(([0], np.cumsum(sizes)))
     grams = _grams(np.frombuffer(b"".join(texts), dtype=np.uint8))
@@ -102,28 +105,48 @@ def _segments(texts: list[bytes], frequent: _Frequent | None) -> tuple[np.ndarra
         return empty, empty.astype(np.uint64), empty, empty, empty.astype(bool), grams, offsets
     keys = _over_windows(grams, np.minimum)
     counts = np.maximum(0, sizes - LENGTH + 1)
-    owner = np.repeat(np.arange(len(texts)), counts)
-    within = np.arange(len(owner)) - np.repeat(np.concatenate(([0], np.cumsum(counts)[:-1])), counts)
-    key = keys[within + offsets[owner]]
-    start = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])))) if len(key) else within
-    n = np.diff(np.append(start, len(key)))
-    twice = _holds_key_twice(grams, keys, within[start] + offsets[owner[start]], n)
-    return owner[start], key[start], within[start], n, twice, grams, offsets
+    # Segments begin where the key changes, and at the first window of a text; those past its last window lie in no text.
+    edges = np.concatenate((np.flatnonzero(keys[1:] != keys[:-1]) + 1, offsets[:-1], offsets[:-1] + counts))
+    start = np.unique(edges[edges < len(keys)])
+    n = np.diff(np.append(start, len(keys)))
+    owner = np.searchsorted(offsets, start, side="right") - 1
+    inside = start - offsets[owner] < counts[owner]
+    start, n, owner = start[inside], n[inside], owner[inside]
+    twice = _holds_key_twice(grams, keys, start, n) if ask_twice else np.zeros(len(start), dtype=bool)
+    return owner, keys[start], start - offsets[owner], n, twice, grams, offsets
+
+
+def _runs(texts: list[bytes]) -> Iterator[list[bytes]]:
+    """The texts in runs of about HASHED bytes; long ones alone."""
+    held, size = [], 0
+    for text in texts:
+        if held and size + len(text) > HASHED:
+            yield held
+            held, size = [], 0
+        held.append(text)
+        size += len(text)
+    if held:
+        yield held
 
 
 def _count_frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for _, texts in slices(batch.column("text")):
-            owner, keys, first, n, _, grams, offsets = _segments(texts, None)
-            if not len(keys):
+            parts, before = [], 0
+            for run in _runs(texts):
+                owner, keys, first, n, _, grams, offsets = _segments(run, None, ask_twice=False)
+                if len(keys):
+                    parts.append((keys, first + offsets[owner] + before, n, grams))
+                    before += len(grams)
+            if not parts:
                 continue
+            keys, begin, n, grams = map(np.concatenate, zip(*parts))
             _, index, counts = np.unique(keys, return_inverse=True, return_counts=True)
             hot = counts[index] >= OFTEN
             # All grams around keys that come often, not only those that happen to be smallest.
             steps = np.zeros(len(grams) + 1, dtype=np.int64)
-            begin = first[hot] + offsets[owner[hot]]
-            np.add.at(steps, begin, 1)
-            np.add.at(steps, np.minimum(begin + n[hot] + WINDOW - 1, len(grams)), -1)
+            np.add.at(steps, begin[hot], 1)
+            np.add.at(steps, begin[hot] + n[hot] + WINDOW - 1, -1)
             values, times = np.unique(grams[np.cumsum(steps[:-1]) > 0], return_counts=True)
             often = np.flatnonzero(times >= OFTEN)
             if len(often) > FREQUENT_PER_STEP:
@@ -150,7 +173,7 @@ def _list_segments(listed: np.ndarray):
         frequent = _Frequent(listed) if len(listed) else None
         for batch in batches:
             ids, tags = batch.column("doc_id").to_numpy(), batch.column("tag").to_numpy()
-            for at, texts in slices(batch.column("text")):
+            for at, texts in slices(batch.column("text"), HASHED):
                 owner, keys, first, n, twice, _, _ = _segments(texts, frequent)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -192,12 +215,15 @@ def _cut_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         held: dict[tuple[int, int, int], tuple] = {}
         size = 0
         for batch in batches:
-            columns = [batch.column(n).to_pylist() for n in ("doc_id", "tag", "wanted")]
-            for doc_id, tag, wanted, text in zip(*columns, byte_lists(batch.column("text"))):
-                for w in wanted:
-                    first, end = w["first"], w["first"] + w["n"] + LENGTH - 1
+            columns = [batch.column(n).to_pylist() for n in ("doc_id", "tag")]
+            wanted = batch.column("wanted")
+            parts = [wanted.flatten().field(n).to_pylist() for n in ("h", "first", "n")]
+            ends = pc.list_value_length(wanted).to_numpy(zero_copy_only=False).cumsum().tolist()
+            for doc_id, tag, a, b, text in zip(*columns, [0, *ends[:-1]], ends, byte_lists(batch.column("text"))):
+                for h, first, n in zip(*(p[a:b] for p in parts)):
+                    end = first + n + LENGTH - 1
                     data = text[first:end]
-                    key = (w["h"], *struct.unpack("<qq", hashlib.blake2b(data, digest_size=16).digest()))
+                    key = (h, *struct.unpack("<qq", hashlib.blake2b(data, digest_size=16).digest()))
                     place = (doc_id, tag, first)
                     known = held.get(key)
                     if known is None:
@@ -221,60 +247,95 @@ _SPAN = pa.schema([("doc_id", pa.int64()), ("tag", pa.int64()), ("start", pa.int
 def repeated_spans(segments: list[tuple[int, int, int, bytes]]) -> list[tuple[int, int, int, int]]:
     """Spans (doc_id, tag, start, end) covered by windows of LENGTH bytes that start earlier in another
     of the segments (doc_id, tag, first, data), or earlier in the same one."""
-    ordered = list({s[:3]: s for s in sorted(segments, key=lambda s: s[:3])}.values())
-    data = np.frombuffer(b"".join(s[3] for s in ordered), dtype=np.uint8)
-    sizes = np.array([len(s[3]) for s in ordered])
-    starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-    is_window = np.zeros(len(data), dtype=bool)
-    for a, n in zip(starts.tolist(), sizes.tolist()):
-        is_window[a : a + n - LENGTH + 1] = True
-    order = suffix_array(data, LENGTH)
+    doc_id, tag, first, data = zip(*segments) if segments else ((), (), (), ())
+    places = [np.array(x, dtype=np.int64) for x in (doc_id, tag, first)]
+    return list(zip(*(x.tolist() for x in _repeated(*places, pa.array(data, pa.large_binary())))))
+
+
+def _repeated(doc_id: np.ndarray, tag: np.ndarray, first: np.ndarray, data: pa.LargeBinaryArray) -> tuple[np.ndarray, ...]:
+    """The same for segments by columns: the columns of the spans."""
+    by_place = np.lexsort((first, tag, doc_id))
+    doc_id, tag, first = doc_id[by_place], tag[by_place], first[by_place]
+    other = (doc_id[1:] != doc_id[:-1]) | (tag[1:] != tag[:-1])
+    last = np.append(other | (first[1:] != first[:-1]), len(first) > 0)[: len(first)]
+    by_place, doc_id, tag, first = by_place[last], doc_id[last], tag[last], first[last]
+    ordered = data.take(pa.array(by_place))
+    sizes = pc.binary_length(ordered).to_numpy(zero_copy_only=False).astype(np.int64)
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    joined = np.frombuffer(b"".join(ordered.to_pylist()), dtype=np.uint8)
+    steps = np.zeros(len(joined) + 1, dtype=np.int8)
+    steps[starts] += 1
+    steps[ends - LENGTH + 1] -= 1
+    is_window = np.cumsum(steps[:-1], dtype=np.int8).view(bool)
+    order = suffix_array(joined, LENGTH)
     order = order[is_window[order]]
-    new = ~equal_to_previous(data, order, LENGTH)
+    new = ~equal_to_previous(joined, order, LENGTH)
     # Buffer order is the order of places but for overlapping segments of one text: rank the places themselves.
-    owner = np.repeat(np.arange(len(ordered)), sizes)
-    document = np.cumsum([i == 0 or ordered[i][:2] != ordered[i - 1][:2] for i in range(len(ordered))])
-    place = np.arange(len(data)) - starts[owner] + np.array([s[2] for s in ordered])[owner]
-    group = np.cumsum(new)
-    rank = np.lexsort((place[order], document[owner[order]], group))
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    document = np.cumsum(np.concatenate(([True], (doc_id[1:] != doc_id[:-1]) | (tag[1:] != tag[:-1])))[: len(sizes)])
+    shared = ~new | np.append(~new[1:], False)[: len(new)]  # windows that stand alone repeat nothing
+    order, group = order[shared], np.cumsum(new)[shared]
+    mine = owner[order]
+    rank = np.lexsort((order - starts[mine] + first[mine], document[mine], group))
     earliest = np.concatenate(([True], group[rank][1:] != group[rank][:-1])) if len(rank) else np.zeros(0, bool)
-    repeated = np.zeros(len(data) + 1, dtype=bool)
+    repeated = np.zeros(len(joined) + 1, dtype=bool)
     repeated[order[rank[~earliest]]] = True
-    repeated[:-1] &= is_window
-    spans = []
     edges = np.flatnonzero(np.diff(np.concatenate(([0], repeated.view(np.int8)))))
-    for a, b in zip(edges[::2].tolist(), edges[1::2].tolist()):
-        s = ordered[owner[a]]
-        at = a - int(starts[owner[a]]) + s[2]
-        spans.append((s[0], s[1], at, at + b - a + LENGTH - 1))
-    return spans
+    a, b = edges[::2], edges[1::2]
+    mine = owner[a]
+    at = a - starts[mine] + first[mine]
+    return doc_id[mine], tag[mine], at, at + b - a + LENGTH - 1
+
+
+def _spans(*columns: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=_SPAN)
 
 
 def _sort_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by key, digest and place: copies are covered whole, the earliest of each go on, and as many
     whole keys as fit are sorted at once."""
+    held: list[tuple] = []
+    size, key, digest, earliest = 0, None, None, (0, 0, 0)
 
-    def rows() -> Iterator[tuple]:
-        held, size, group, key, digest, earliest = [], 0, [], None, None, None
-        names = ("h", "d1", "d2", "doc_id", "tag", "first", "end", "data")
-        for batch in batches:
-            for h, d1, d2, doc_id, tag, first, end, data in zip(*(batch.column(n).to_pylist() for n in names)):
-                if h != key:
-                    held += group
-                    size += sum(len(g[3]) for g in group)
-                    group, key, digest = [], h, None
-                    if size >= SORTED_TOGETHER:
-                        yield from repeated_spans(held)
-                        held, size = [], 0
-                if (d1, d2) != digest:
-                    digest, earliest = (d1, d2), (doc_id, tag, first)
-                    group.append((doc_id, tag, first, data))
-                elif (doc_id, tag, first) != earliest:
-                    yield doc_id, tag, first, end
-        if held or group:
-            yield from repeated_spans(held + group)
-
-    yield from in_chunks(rows(), _SPAN, lambda r: 32)
+    def sorted_together() -> pa.RecordBatch:
+        *places, data = zip(*held)
+        return _spans(*_repeated(*map(np.concatenate, places), pa.concat_arrays(data)))
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        h, d1, d2, *place, end = (batch.column(n).to_numpy() for n in ("h", "d1", "d2", "doc_id", "tag", "first", "end"))
+        new = np.ones(len(h), dtype=bool)
+        new[0] = (h[0], d1[0], d2[0]) != digest
+        new[1:] = (h[1:] != h[:-1]) | (d1[1:] != d1[:-1]) | (d2[1:] != d2[:-1])
+        digest = h[-1], d1[-1], d2[-1]
+        # The first row of each digest is its earliest place; that of the batch's first rows may have come before.
+        at = np.maximum.accumulate(np.where(new, np.arange(len(h)), -1))
+        first_of = [np.where(at < 0, e, p[at]) for e, p in zip(earliest, place)]
+        earliest = tuple(f[-1] for f in first_of)
+        later = ~new & np.any([p != f for p, f in zip(place, first_of)], axis=0)
+        if later.any():
+            yield _spans(*(p[later] for p in place), end[later])
+        fresh = np.flatnonzero(new)
+        if not len(fresh):
+            continue
+        place = [p[fresh] for p in place]
+        data = batch.column("data").take(pa.array(fresh)).cast(pa.large_binary())
+        bytes_to = np.concatenate(([0], np.cumsum(pc.binary_length(data).to_numpy(zero_copy_only=False))))
+        keys = h[fresh]
+        cuts = np.flatnonzero(np.concatenate(([keys[0] != key], keys[1:] != keys[:-1])))
+        key, done = keys[-1], 0
+        for cut in cuts.tolist():
+            if size + bytes_to[cut] - bytes_to[done] >= SORTED_TOGETHER:
+                if cut > done:
+                    held.append((*(p[done:cut] for p in place), data[done:cut]))
+                yield sorted_together()
+                held, size, done = [], 0, cut
+        held.append((*(p[done:] for p in place), data[done:]))
+        size += bytes_to[-1] - bytes_to[done]
+    if held:
+        yield sorted_together()
 
 
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

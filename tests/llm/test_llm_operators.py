@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -478,3 +479,42 @@ def test_leading_directions_are_those_of_the_matrix():
     assert found.shape == (d.FEATURES, d.RANK) and np.allclose(found.T @ found, np.eye(d.RANK), atol=1e-6)
     assert (np.abs((found * true[:, : d.RANK]).sum(0))[:12] > 0.99).all()
     assert np.isfinite(d.leading_directions(np.zeros((d.FEATURES, d.RANK + d.MORE)), directions)).all()
+
+
+# op3, in parts
+def _arrow(names, columns, kinds):
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+
+
+def test_segments_of_many_texts_are_those_of_each():
+    texts = [b"", text_of(1, 90).encode(), b"x" * 99, b"", b"y" * 100, text_of(2, 300).encode() * 2, b"", b"z" * 250]
+    together = suffix_dedup._segments(texts, None)
+    at = list(zip(*(x.tolist() for x in together[:5])))
+    alone = [(i, *row[1:]) for i, t in enumerate(texts) for row in zip(*(x.tolist() for x in suffix_dedup._segments([t], None)[:5]))]
+    assert sorted(at) == sorted(alone) and {i for i, *_ in at} == {1, 4, 5, 7}
+    assert not suffix_dedup._segments(texts, None, ask_twice=False)[4].any()
+
+
+@pytest.mark.parametrize("together", [1, 1 << 21])
+def test_sorted_keys_in_batches_of_any_size(monkeypatch, together):
+    monkeypatch.setattr(suffix_dedup, "SORTED_TOGETHER", together)
+    one, two = (text_of(k, 60).encode()[:200] for k in (1, 2))
+    # Copies of one digest: the earliest goes on, the others are covered; a second digest of the key shares 120 bytes.
+    rows = [(5, 1, 1, d, 0, 0, 200, one) for d in (1, 2, 2, 3)] + [(5, 2, 2, 4, 0, 10, 210, one[:120] + two[:80])]
+    rows += [(6, 3, 3, 1, 0, 300, 500, two), (6, 3, 3, 9, 7, 0, 200, two)]
+    names, kinds = ["h", "d1", "d2", "doc_id", "tag", "first", "end", "data"], [pa.int64()] * 7 + [pa.binary()]
+    for size in (1, 3, 100):
+        parts = (_arrow(names, zip(*rows[i : i + size]), kinds) for i in range(0, len(rows), size))
+        found = [r for b in suffix_dedup._sort_keys(parts) for r in b.to_pylist()]
+        assert sorted(tuple(r.values()) for r in found) == [(2, 0, 0, 200), (2, 0, 0, 200), (3, 0, 0, 200), (4, 0, 10, 130), (9, 7, 0, 200)]
+
+
+def test_copies_are_not_sorted_again(monkeypatch):
+    sorted_rows = []
+    lexsort = np.lexsort
+    monkeypatch.setattr(np, "lexsort", lambda keys: sorted_rows.append(len(keys[0])) or lexsort(keys))
+    data = np.frombuffer(text_of(3, 400).encode() * 3, np.uint8)
+    order = suffix_array(data, 100)
+    assert [bytes(data[i : i + 100]) for i in order] == sorted(bytes(data[i : i + 100]) for i in range(len(data)))
+    # Before, every round sorted every copy: twelve times the positions that are sorted directly.
+    assert sum(sorted_rows) < len(data)
