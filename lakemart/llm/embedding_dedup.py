@@ -30,6 +30,8 @@ THRESHOLD = 0.9
 BLOCK, AT_ONCE, MOST_PIVOTS = 16_384, 256, 256
 #: Rounding of distances and cosines: only widens the search, pairs this close are computed again.
 SLACK = 1e-9
+#: Pairs computed again in double precision at once: bounds the memory of a task.
+TOGETHER = 8_192
 
 
 def _valid(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,23 +171,21 @@ class _Block:
     def meet(self, ids, weights, vectors) -> list[tuple[int, int]]:
         if self.matrix is None:
             self.matrix = unit(self.vectors)
+            self.rough = self.matrix.astype(np.float32)
+            # Rounding of single precision: of the components, and of as many products and sums as there are components.
+            self.margin = (self.matrix.shape[1] + 8) * float(np.finfo(np.float32).eps)
             self.parent = list(range(len(self.ids)))
             self.links = np.zeros(len(self.ids), dtype=np.int64)
             self.own = np.array(self.ids)
         other = unit(vectors)
-        cosines = other @ self.matrix.T
-        close = np.abs(cosines - self.threshold) <= SLACK
-        for i, j in zip(*np.nonzero(close)):
-            a = np.frombuffer(vectors[i], np.float64)
-            b = np.frombuffer(self.vectors[j], np.float64)
-            a, b = a / np.abs(a).max(), b / np.abs(b).max()
-            cosines[i, j] = a @ b / (np.linalg.norm(a) * np.linalg.norm(b))
-        linked = cosines >= self.threshold
-        linked &= np.asarray(ids)[:, None] != self.own
-        self.links += np.asarray(weights) @ linked
+        members, found = self._linked(other, vectors)
+        apart = np.asarray(ids)[members] != self.own[found]
+        members, found = members[apart], found[apart]
+        np.add.at(self.links, found, np.asarray(weights, dtype=np.int64)[members])
         edges = []
-        for i in np.flatnonzero(linked.any(axis=1)):
-            first, *more = np.flatnonzero(linked[i]).tolist()
+        cuts = np.flatnonzero(np.diff(members, prepend=-1))
+        for i, linked in zip(members[cuts].tolist(), np.split(found, cuts[1:])):
+            first, *more = linked.tolist()
             edges.append((ids[i], self.ids[first]))
             root = self._root(first)
             for j in more:
@@ -195,6 +195,27 @@ class _Block:
                     edges.append((self.ids[first], self.ids[j]))
         return edges
 
+    def _linked(self, other: np.ndarray, vectors: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of ``other`` and members of the block at the threshold, in order of row and member.
+
+        Single precision tells which pairs are clearly above or below; the others are computed in double precision.
+        """
+        rough = (other.astype(np.float32) @ self.rough.T).ravel()
+        at = np.flatnonzero(rough >= np.float32(self.threshold - self.margin))
+        unsure = np.flatnonzero(rough[at] <= np.float32(self.threshold + self.margin))
+        linked = np.ones(len(at), dtype=bool)
+        for k in range(0, len(unsure), TOGETHER):
+            here = unsure[k : k + TOGETHER]
+            rows, members = np.divmod(at[here], len(self.ids))
+            cosines = np.einsum("ij,ij->i", other[rows], self.matrix[members])
+            for c in np.flatnonzero(np.abs(cosines - self.threshold) <= SLACK):
+                a = np.frombuffer(vectors[rows[c]], np.float64)
+                b = np.frombuffer(self.vectors[members[c]], np.float64)
+                a, b = a / np.abs(a).max(), b / np.abs(b).max()
+                cosines[c] = a @ b / (np.linalg.norm(a) * np.linalg.norm(b))
+            linked[here] = cosines >= self.threshold
+        return np.divmod(at[linked], len(self.ids))
+
     def counts(self) -> list[tuple[int, int]]:
         if self.matrix is None:
             return []

@@ -95,6 +95,32 @@ def test_embedding_blocks_and_pivots_lose_no_link(spark, vectors, monkeypatch):
     assert [found[i] for i in range(len(points))] == want.tolist() and want.max() > 5
 
 
+def test_embedding_pairs_far_from_the_threshold_take_single_precision(monkeypatch):
+    rng = np.random.default_rng(6)
+    around = rng.normal(size=64)
+    close = [around / np.linalg.norm(around) + rng.normal(size=64) * 0.06 for _ in range(200)]
+    angle = np.arccos(0.9)
+    at_threshold = [np.eye(64)[0] * np.cos(angle * k) + np.eye(64)[1] * np.sin(angle * k) for k in range(4)]
+    points = [*rng.normal(size=(600, 64)), *close, *at_threshold]
+    data, ids = [p.tobytes() for p in points], list(range(len(points)))
+    exact, together = [], np.einsum
+    monkeypatch.setattr(np, "einsum", lambda how, a, b: exact.append(len(a)) or together(how, a, b))
+    monkeypatch.setattr(embedding_dedup, "TOGETHER", 3)
+    block = embedding_dedup._Block(0.9)
+    block.add(ids, [1] * len(ids), data)
+    edges = [e for i in range(0, len(ids), 256) for e in block.meet(ids[i : i + 256], [1] * len(ids[i : i + 256]), data[i : i + 256])]
+    x = np.array([p / np.abs(p).max() for p in points])
+    cosines = np.array([[a @ b / (np.linalg.norm(a) * np.linalg.norm(b)) for b in x] for a in x])
+    want = (cosines >= 0.9) & ~np.eye(len(x), dtype=bool)
+    assert block.counts() == list(zip(ids, want.sum(axis=1).tolist())) and 0 < want[600:].sum() < 200 * 200
+    smallest = np.array(ids)
+    for _ in range(50):
+        for a, b in edges:
+            smallest[[a, b]] = min(smallest[a], smallest[b])
+    assert all(smallest[i] == smallest[want[i]].min(initial=i) for i in ids)
+    assert 6 <= sum(exact) <= 0.01 * len(x) ** 2 and max(exact) <= 3
+
+
 # op2
 
 
