@@ -13,8 +13,9 @@ Steps, each a Spark job over all documents:
    that are similar enough share one of them.
 3. *Cells.* The sets that share such a shingle. Cells of one set, and cells with the same members as
    another, are dropped by counts and digests that combine map-side. Each remaining cell is split by
-   classes of set size, which set the number of groups, and searched by a count-vector R-tree; only
-   links that connect are emitted, at most one per member.
+   classes of set size, which set the number of groups; sets without another of a size in reach are dropped
+   before points are sent. The rest is searched by a count-vector R-tree; only links that connect are emitted,
+   at most one per member.
 4. *Verification.* Sets that may be connected meet once, with their shingles, and are compared exactly.
    Pairs already known to be connected are skipped, so a group of m near-copies of one text
    costs about m comparisons.
@@ -29,7 +30,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from lakemart.llm.components import components
 from lakemart.llm.hashing import slices, windows, words
@@ -335,27 +336,58 @@ def _in_blocks(members: DataFrame, cell: str) -> DataFrame:
     )
 
 
+def _keyed(named: DataFrame) -> DataFrame:
+    """(doc_id, n, key) of the rows with keys, one for each key.
+
+    Keys are cut to 48 bits, which compress better. Two that agree only so far share a cell, and what meets there is compared.
+    """
+    return named.where("keys is not null").select(
+        "doc_id", "n", F.explode(F.transform("keys", lambda key: F.shiftrightunsigned(key, 16))).alias("key")
+    )
+
+
 def _cells(keyed: DataFrame) -> DataFrame:
     """(key, n_blocks) of the cells of ``keyed`` (doc_id, key) with other members than all others.
 
-    The sums, unlike the exclusive or, tell a repeated doc_id apart; of 28 bits a member they hold 2^35 members.
+    Most keys have one member, and what is summed for it is most of what is shuffled: the two halves of one hash.
+    Sums, unlike an exclusive or, tell a repeated doc_id apart; these hold 2^31 members.
     """
     member = F.xxhash64("doc_id")
     return (
         keyed.groupBy("key")
         .agg(
             F.count(F.lit(1)).alias("c"),
-            F.bit_xor(member).alias("x"),
-            F.sum(F.shiftrightunsigned(member, 36)).alias("s"),
-            F.sum(member.bitwiseAND(F.lit((1 << 28) - 1))).alias("t"),
+            F.sum(F.shiftrightunsigned(member, 32)).alias("s"),
+            F.sum(member.bitwiseAND(F.lit((1 << 32) - 1))).alias("t"),
         )
         .where("c > 1")
-        .groupBy("c", "x", "s", "t")
+        .groupBy("c", "s", "t")
         .agg(F.min("key").alias("key"))
         .select("key", F.ceil(F.col("c") / CELL_BLOCK).cast("int").alias("n_blocks"))
     )
 
 
+def _in_classes(met: DataFrame) -> DataFrame:
+    """(cell, rep, size_class) of the rows of ``met`` (cell, rep, n), cells split by size class; without the rows
+    that have no other in reach of their size there."""
+
+    def size_class(n):
+        return F.length(F.bin(n)) - 1
+
+    larger = F.floor(F.col("n").cast("long") * DENOMINATOR / NUMERATOR)
+    split = met.select(
+        "cell", "rep", "n", F.explode(F.array_distinct(F.array(size_class(F.col("n")), size_class(larger)))).alias("size_class")
+    ).select(F.xxhash64("cell", "size_class").alias("cell"), "rep", "n", "size_class")
+    by_size = Window.partitionBy("cell").orderBy("n", "rep")
+    size = F.col("n").cast("long")
+    reached = split.select(
+        "*",
+        (F.lag(size).over(by_size) * DENOMINATOR >= size * NUMERATOR).alias("below"),
+        (size * DENOMINATOR >= F.lead(size).over(by_size) * NUMERATOR).alias("above"),
+    )
+    return reached.where("below or above").select("cell", "rep", "n", "size_class")
+
+
 def _frequent(documents: DataFrame) -> np.ndarray:
     """The most frequent shingle hashes, sorted: FREQUENT of them at most."""
     counted = documents.select("text").mapInArrow(giving_back(_count_frequent), "h long, n long")
@@ -385,15 +417,14 @@ def jaccard_groups(spark: SparkSession, documents: DataFrame) -> DataFrame:
     )
 
     # Cells with other members than all others, each under its smallest shingle.
-    keyed = named.where("keys is not null").select("doc_id", F.explode("keys").alias("key"))
+    keyed = _keyed(named)
     cells = scratch.write(_cells(keyed), "cells")
-    members = scratch.join_small(keyed, cells, "key").select(F.col("doc_id").alias("rep"), "key", "n_blocks")
-    points = named.where("keys is not null").select(
-        F.col("doc_id").alias("rep"), "n", F.explode("classes").alias("size_class"), "point"
-    )
-    met = _in_blocks(members, "key").select("cell", "rep").join(points, "rep")
+    members = scratch.join_small(keyed.select(F.col("doc_id").alias("rep"), "n", "key"), cells, "key")
+    points = named.where("keys is not null").select(F.col("doc_id").alias("rep"), "n", "point")
+    met = _in_classes(_in_blocks(members, "key").select("cell", "rep", "n"))
     candidates = (
-        met.select(F.xxhash64("cell", "size_class").alias("cell"), "rep", "n", "size_class", "point")
+        met.join(points, ["rep", "n"])
+        .select("cell", "rep", "n", "size_class", "point")
         .repartition("cell")
         .sortWithinPartitions("cell", "rep")
         .mapInArrow(giving_back(_search_cells), "a long, b long")

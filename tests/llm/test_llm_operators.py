@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -160,6 +161,26 @@ def test_jaccard_cells_of_millions(spark, frame):
     assert found == {5: (1 << 21) // jaccard_join.CELL_BLOCK, 7: 1, 8: 1}
 
 
+def test_jaccard_sends_no_points_of_sets_without_another_in_reach(frame):
+    met = frame("cell long, rep long, n int", *((7, i, n) for i, n in enumerate([100, 79, 80, 126, 300, 300, 10, 1])), (8, 8, 100))
+    rows = [(r.rep, r.size_class) for r in jaccard_join._in_classes(met).collect()]
+    # 80 meets 100 in the class of the larger, 100 meets neither 79 nor 126, 300 its equal in both classes.
+    assert sorted(rows) == [(0, 6), (1, 6), (2, 6), (4, 8), (5, 8)]
+    sizes = [*range(1, 40), 4095, 4096, 4097, 5119, 5120, 5121]
+    pairs = {(a, b) for a in range(len(sizes)) for b in range(a) if 10 * sizes[b] >= 8 * sizes[a]}
+    for a, b in pairs:
+        left, right = ({*jaccard_join._classes(sizes[i])} for i in (a, b))
+        two = frame("cell long, rep long, n int", (1, a, sizes[a]), (1, b, sizes[b])) if a > 38 else None
+        assert left & right and (two is None or {r.size_class for r in jaccard_join._in_classes(two).collect()} == left & right)
+
+
+def test_jaccard_cells_shuffle_little(frame):
+    keyed = jaccard_join._keyed(frame("doc_id long, n int, keys array<long>", (1, 2, [-1, 1 << 40]), (2, 1, None)))
+    assert sorted(tuple(r) for r in keyed.collect()) == [(1, 2, 1 << 24), (1, 2, (1 << 48) - 1)]
+    sums = re.findall(r"partial_(\w+)", jaccard_join._cells(keyed)._jdf.queryExecution().executedPlan().toString().split("partial_count")[-1])
+    assert sums == ["sum", "sum"]
+
+
 def test_jaccard_limit_is_included(spark, docs):
     a = [f"w{i}" for i in range(22)]  # 18 shingles, 16 of them shared with 18: 16 / 20
     b = a[:20] + ["x", "y"]
