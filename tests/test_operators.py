@@ -6,7 +6,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from lakemart.operators.aggregates import order_total
+from lakemart.operators.aggregates import order_total, with_order_total
 from lakemart.operators.dedup import dedup, duplicate_keys
 from lakemart.operators.joins import hot_keys, join_spread
 from lakemart.operators.reviews import latest_review, latest_review_ranked
@@ -159,6 +159,12 @@ def test_adaptive_execution_splits_a_hot_key_after_salting(spark, set_conf, plan
     assert "skew=true" in plan_of(joined, final=True).lower().replace("isskew", "skew").replace(" ", "")
 
 
+def test_total_beside_the_items_is_the_total_of_the_order(frame, rows_of):
+    ddl = "order_id string, order_item_id int, price double"
+    items = frame(ddl, ("a", 1, 0.1), ("a", 2, 0.2), ("a", 2, 0.2), ("b", 1, None), ("c", 1, -1.005), ("c", 2, None))
+    assert rows_of(with_order_total(items)) == rows_of(items.join(order_total(items), "order_id").select(*items.columns, "order_total_price"))
+
+
 # ---- upsert
 
 

@@ -20,7 +20,7 @@ from lakemart.sources.files import (
     read_snapshots,
     read_translation,
 )
-from lakemart.sources.tables import drop_old_versions, read_partitioned, read_table, versions
+from lakemart.sources.tables import drop_old_versions, partition_folders, read_partitioned, read_table, versions
 
 DDL = "id string, n int, price double"
 SPEC = TableSpec("t", DDL, ("id",), ("id",), False)
@@ -181,6 +181,15 @@ def test_partitioned_write_keeps_null_and_replaces_only_its_days(spark, tmp_path
     assert got == [("a", d1), ("b2", d2), ("c", None)]
 
 
+def test_columns_made_after_rows_are_placed(spark, tmp_path, frame):
+    path, ddl = str(tmp_path / "t"), "id string, n int, day date"
+    df = frame(ddl, ("a", 1, date(2024, 1, 1)), ("b", 2, None))
+    write_partitioned(df, path, "day", finish=lambda placed: placed.select("id", (F.col("n") * 2).alias("twice"), "day"))
+    assert sorted((r.id, r.twice, r.day) for r in spark.read.parquet(path).collect()) == [("a", 2, date(2024, 1, 1)), ("b", 4, None)]
+    assert partition_folders(spark, path, "day") == {"day=2024-01-01", "day=__HIVE_DEFAULT_PARTITION__"}
+    assert partition_folders(spark, f"{path}-none", "day") == set()
+
+
 def test_hot_day_is_split_when_partitioning(spark, tmp_path, set_conf):
     set_conf(spark__sql__adaptive__advisoryPartitionSizeInBytes="20KB")
     day = F.when(F.col("id") % 3 == 0, F.lit("2024-01-01")).otherwise(F.lit("2024-01-02")).cast("date")

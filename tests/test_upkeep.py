@@ -238,6 +238,53 @@ def test_lines_are_written_once(spark, retail, tmp_path, monkeypatch):
     assert {r.customer_id for r in read_fact(spark, second, target).collect()} == {"c9"}
 
 
+def test_tables_are_sent_around_once(spark, retail, tmp_path, monkeypatch, set_conf):
+    """Digests and lines come from the same shuffles; an order's row and its total lie where its items are sent."""
+    set_conf(spark__sql__adaptive__enabled="false", spark__sql__autoBroadcastJoinThreshold="-1")
+    plans, target = [], str(tmp_path / "gold")
+    write = fact_increment.write_partitioned
+
+    def noted(rows, *a, **k):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        write(rows, *a, **k)
+
+    refresh_fact(spark, retail(), target, "month")
+    monkeypatch.setattr(fact_increment, "write_partitioned", noted)
+    assert refresh_fact(spark, retail(late=True), target, "month") == {"rewritten": 2, "emptied": 1}
+    placed = [line for line in plans[0].splitlines() if "REPARTITION_BY_COL" in line]
+    assert sorted("ReusedExchange" in line for line in placed) == [False, True]
+
+
+@pytest.mark.parametrize("unit", ["day", "month"])
+def test_periods_that_only_lost_lines(spark, retail, tmp_path, rows_of, unit):
+    """Nothing is left to write, and the folders of such periods go all the same."""
+    target, first = str(tmp_path / "gold"), retail()
+    refresh_fact(spark, first, target, unit)
+    fewer = {**first, "order_items": first["order_items"].where("order_id not in ('o3', 'o4')")}
+    assert refresh_fact(spark, fewer, target, unit) == {"rewritten": 0, "emptied": 2}
+    want = gold.fact_sales(*(fewer[n] for n in ("order_items", "orders", "payments", "reviews")))
+    assert rows_of(read_fact(spark, fewer, target)) == rows_of(want)
+    none = {**first, "order_items": first["order_items"].where("false")}
+    counts = refresh_fact(spark, none, target, unit)
+    assert counts == {"rewritten": 0, "emptied": 3 if unit == "day" else 2}
+    assert refresh_fact(spark, first, target, unit) == {"rewritten": 5 if unit == "day" else 4, "emptied": 0}
+    assert rows_of(read_fact(spark, first, target)) == rows_of(gold.fact_sales(*(first[n] for n in ("order_items", "orders", "payments", "reviews"))))
+
+
+def test_orders_with_several_days(spark, retail, tmp_path, rows_of):
+    """Rows of one order on several days, or without one: a change of it reaches the lines of all of them."""
+    target, first = str(tmp_path / "gold"), retail()
+    more = first["orders"].where("order_id = 'o1'").drop("order_purchase_timestamp")
+    for month in ("2024-03-05", "2024-05-05", None):
+        again = more.withColumn("order_purchase_timestamp", F.lit(month).cast("timestamp_ntz"))
+        first["orders"] = first["orders"].unionByName(again)
+    refresh_fact(spark, first, target, "month")
+    second = {**first, "reviews": first["reviews"].withColumn("review_score", F.lit(2))}
+    refresh_fact(spark, second, target, "month")
+    want = gold.fact_sales(*(second[n] for n in ("order_items", "orders", "payments", "reviews")))
+    assert rows_of(read_fact(spark, second, target)) == rows_of(want)
+
+
 def test_unit_of_periods():
     assert unit_for(10**12, 1000) == "day" and unit_for(10**9, 1000) == "month" and unit_for(0, 0) == "month"
 
